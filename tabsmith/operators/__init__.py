@@ -19,6 +19,7 @@ from tabsmith.operators.stats import (
     fit_next_close,
     histogram,
     kde,
+    pair_corr,
     predict_next_close,
 )
 from tabsmith.operators.timeseries import (
@@ -57,6 +58,7 @@ __all__ = [
     "normalize_symbol",
     "page",
     "page_info",
+    "pair_corr",
     "parse_dates",
     "predict_next_close",
     "random_int",

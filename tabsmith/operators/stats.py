@@ -22,6 +22,19 @@ from tabsmith.operators.quality import drop_missing
 from tabsmith.operators.timeseries import DT, SYMBOL, next_close, normalize_symbol
 
 
+def pair_corr(x: Column | str, y: Column | str) -> Column:
+    """Pearson correlation over the rows where both values are present.
+
+    Built from ``covar_samp`` and ``stddev_samp`` (stable one-pass moments)
+    with a safe division: a flat series gives null, where the built-in
+    ``corr`` raises a division-by-zero error under ANSI mode.
+    """
+    x = F.col(x) if isinstance(x, str) else x
+    y = F.col(y) if isinstance(y, str) else y
+    xp, yp = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_samp(xp, yp), F.stddev_samp(xp) * F.stddev_samp(yp))
+
+
 def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -> DataFrame:
     """Pearson correlation of every symbol's ``value`` with the benchmark's,
     over the dates where both are present. The benchmark itself is listed
@@ -32,7 +45,7 @@ def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -
         returns.select(SYMBOL, DT, value)
         .join(bench, DT)
         .groupBy(SYMBOL)
-        .agg(F.corr(value, "__bench").alias("corr"), F.count(F.col(value) * F.col("__bench")).alias("n_pairs"))
+        .agg(pair_corr(value, "__bench").alias("corr"), F.count(F.col(value) * F.col("__bench")).alias("n_pairs"))
         .withColumn("benchmark", F.lit(bench_symbol))
     )
 
@@ -54,7 +67,7 @@ def _pair_block(returns: DataFrame, left: list[str], right: list[str], value: st
         .toDF(DT, *[names[s] for s in symbols])
     )
     pairs = [(a, b) for a in left for b in right]
-    aggs = [F.corr(names[a], names[b]).alias(f"__c{k}") for k, (a, b) in enumerate(pairs)]
+    aggs = [pair_corr(names[a], names[b]).alias(f"__c{k}") for k, (a, b) in enumerate(pairs)]
     rows = F.array(
         *[
             F.struct(F.lit(a).alias("symbol_a"), F.lit(b).alias("symbol_b"), F.col(f"__c{k}").alias("corr"))
@@ -139,7 +152,7 @@ def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     closed on the right. Follows the numpy rule: index from the scaled offset,
     then a one-step correction against the exact edges ``lo + i*(hi-lo)/bins``.
     A range of zero width puts everything in bin 0."""
-    norm = F.lit(float(bins)) / (hi - lo)
+    norm = F.try_divide(F.lit(float(bins)), hi - lo)
     raw = F.least(F.floor((x - lo) * norm).cast("int"), F.lit(bins - 1))
     step = (hi - lo) / F.lit(float(bins))
 
@@ -193,7 +206,7 @@ def kde(df: DataFrame, value: str = "ret", grid: int = 200, by: str = SYMBOL) ->
     stats = _ranges(present, value, by).withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
     step = (F.col("__hi") - F.col("__lo")) / F.lit(float(grid - 1))
     point = F.when(F.col("i") == grid - 1, F.col("__hi")).otherwise(F.col("__lo") + F.col("i").cast("double") * step)
-    u = (F.col("x") - F.col(value)) / F.col("__h")
+    u = F.try_divide(F.col("x") - F.col(value), F.col("__h"))
     summed = (
         present.select(by, value)
         .join(stats.select(by, "__lo", "__hi", "__n", "__h"), by)
