@@ -50,8 +50,9 @@ def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -
     )
 
 
-def _pair_block(returns: DataFrame, left: list[str], right: list[str], value: str) -> DataFrame:
-    """Correlations for every (a, b) with a in ``left`` and b in ``right``.
+def _pair_block(returns: DataFrame, left: list[str], right: list[str], value: str, same: bool) -> DataFrame:
+    """Correlations for the pairs (a, b), a in ``left`` and b in ``right``
+    (only a <= b within one block when ``same``), emitted both ways round.
 
     One row per date carries each symbol's value in its own column (a pivot, a
     hash aggregate on ``dt``); the correlations are then plain aggregates over
@@ -66,15 +67,16 @@ def _pair_block(returns: DataFrame, left: list[str], right: list[str], value: st
         .agg(F.first(value, ignorenulls=True))
         .toDF(DT, *[names[s] for s in symbols])
     )
-    pairs = [(a, b) for a in left for b in right]
+    if same:
+        pairs = [(a, b) for i, a in enumerate(left) for b in left[i:]]
+    else:
+        pairs = [(a, b) for a in left for b in right]
     aggs = [pair_corr(names[a], names[b]).alias(f"__c{k}") for k, (a, b) in enumerate(pairs)]
-    rows = F.array(
-        *[
-            F.struct(F.lit(a).alias("symbol_a"), F.lit(b).alias("symbol_b"), F.col(f"__c{k}").alias("corr"))
-            for k, (a, b) in enumerate(pairs)
-        ]
-    )
-    return wide.agg(*aggs).select(F.inline(rows))
+    cells = []
+    for k, (a, b) in enumerate(pairs):
+        for x, y in ((a, b), (b, a)) if a != b else ((a, b),):
+            cells.append(F.struct(F.lit(x).alias("symbol_a"), F.lit(y).alias("symbol_b"), F.col(f"__c{k}").alias("corr")))
+    return wide.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
 def corr_matrix(
@@ -87,8 +89,9 @@ def corr_matrix(
 
     Pairwise-complete: each pair uses the dates where both symbols have a
     value. The matrix has ``len(symbols)**2`` cells, so the symbol list is
-    given by the caller. Symbols are processed in blocks of ``block``; each
-    pair of blocks is one aggregate over the rows of at most ``2*block``
+    given by the caller. It is symmetric, so each unordered pair is computed
+    once and listed both ways. Symbols are processed in blocks of ``block``;
+    each pair of blocks is one aggregate over the rows of at most ``2*block``
     symbols, and all blocks run as one job. Every pair is computed; nothing
     is capped.
     """
@@ -96,7 +99,11 @@ def corr_matrix(
     if not symbols:
         raise ValueError("no symbols")
     chunks = [symbols[i : i + block] for i in range(0, len(symbols), block)]
-    parts = [_pair_block(returns, a, b, value) for a in chunks for b in chunks]
+    parts = [
+        _pair_block(returns, chunks[i], chunks[j], value, same=(i == j))
+        for i in range(len(chunks))
+        for j in range(i, len(chunks))
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -74,16 +74,20 @@ def bars_from_orders(orders: DataFrame) -> DataFrame:
 def sales_from_lineitem(lineitem: DataFrame, part: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One sales feed row per line item: the part gives category, product and
     unit price, the supplier's region is the country. Quantity is missing on
-    every 4th line number, as in the feeds with gaps."""
-    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey"), F.col("r_name").alias("Country")
-    )
-    sellers = supplier.select("s_suppkey", "s_nationkey").join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
-    items = part.select("p_partkey", "p_type", "p_name", "p_retailprice")
+    every 4th line number, as in the feeds with gaps.
+
+    The joins form a left-deep chain over base tables, so each join decision
+    rests on the scanned table's own size statistics: a small dimension is
+    broadcast, a large one (part, supplier at scale) is a shuffle join. A
+    pre-joined dimension would carry an inflated size estimate and force a
+    shuffle of the line items even when it is tiny.
+    """
     return (
         lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-        .join(items, F.col("l_partkey") == F.col("p_partkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(part.select("p_partkey", "p_type", "p_name", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation.select("n_nationkey", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region.select("r_regionkey", F.col("r_name").alias("Country")), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("SaleId"),
             F.col("p_type").alias("Category"),

@@ -59,8 +59,23 @@ RANGE_SYMBOL, RANGE_START, RANGE_END = "1-urgent", "1996-01-01", "1997-01-01"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_RESOLVED: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The supplied table ``name``, resolved once per session.
+
+    Like a catalog table: the file listing and Parquet schema are resolved on
+    first use and the relation is reused by later queries (every query still
+    scans the files in full). The supplied tables are read-only.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RESOLVED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _RESOLVED[key] = df
+    return df
 
 
 def _bars(spark, sf_dir):
