@@ -26,16 +26,36 @@ SCALE_CONF = {
 }
 
 
+# Extra settings for a large cluster: start every shuffle with many partitions
+# and let AQE merge them towards ~256 MB each (instead of maximising task
+# count), split a skewed join partition once it is 4x the median and over
+# 512 MB, and read input in 256 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8192",
+}
+
+
 def get_session(
     master: str | None = None,
     app: str = "tabsmith",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
+    """A session with adaptive execution on; ``cluster=True`` adds the
+    partition sizing meant for very large inputs (``CLUSTER_CONF``)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(SCALE_CONF)
+    if cluster:
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

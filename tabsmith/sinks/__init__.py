@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
@@ -11,12 +13,45 @@ from tabsmith.operators.quality import require_rows
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
 
+def _qualified(df: DataFrame, path: str) -> tuple[str, str, str]:
+    """``(scheme, authority, path)`` of ``path`` qualified against the default
+    file system, so ``/x``, ``file:/x`` and ``file:///x`` compare equal."""
+    spark = df.sparkSession
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return _split(fs.makeQualified(hpath).toString())
+
+
+def _split(uri: str) -> tuple[str, str, str]:
+    parts = urlsplit(uri)
+    return parts.scheme, parts.netloc, parts.path.rstrip("/") or "/"
+
+
+def refuse_overwriting_inputs(df: DataFrame, path: str) -> None:
+    """Raise before writing when ``path`` holds files the plan reads.
+
+    A path-based overwrite first deletes the target folder, then runs the
+    plan; if the plan reads from that folder the input is lost and the job
+    fails half-way. Checked on the driver from the plan's file listing (no
+    job, no data read).
+    """
+    scheme, authority, target = _qualified(df, path)
+    prefix = target.rstrip("/") + "/"
+    for f in df.inputFiles():
+        f_scheme, f_authority, f_path = _split(f)
+        if (f_scheme, f_authority) == (scheme, authority) and (f_path == target or f_path.startswith(prefix)):
+            raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it ({f})")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, **options: str) -> None:
     """Write a CSV folder (one file per partition), replacing what is there.
 
-    Spark refuses at analysis time, before deleting anything, to overwrite a
-    folder the same plan reads from.
+    Overwriting a folder the same plan reads from is refused up front (see
+    :func:`refuse_overwriting_inputs`); Spark itself would delete the input
+    first.
     """
+    if mode == "overwrite":
+        refuse_overwriting_inputs(df, path)
     writer = df.write.mode(mode).option("header", str(header).lower())
     for key, value in options.items():
         writer = writer.option(key, value)
@@ -66,6 +101,8 @@ def load_table(
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table or path")
     out = conform(df, schema) if schema is not None else df
+    if path is not None and mode == "overwrite":
+        refuse_overwriting_inputs(out, path)
     require_rows(out, "No data to load")
     writer = out.write.mode(mode).format(fmt)
     if partition_by:
@@ -82,4 +119,4 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-__all__ = ["conform", "load_table", "preview", "write_csv"]
+__all__ = ["conform", "load_table", "preview", "refuse_overwriting_inputs", "write_csv"]
