@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DateType, DoubleType, FloatType, TimestampNTZType, TimestampType
 
 from tabsmith.functions import parse_date, strip_spaces, to_double
 
@@ -68,8 +68,20 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
+def _as_date(df: DataFrame, name: str, fmt: str) -> Column:
+    kind = df.schema[name].dataType
+    if isinstance(kind, DateType):
+        return F.col(name)
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.to_date(name)
+    return parse_date(name, fmt)
+
+
 def parse_dates(df: DataFrame, columns: Sequence[str], fmt: str = "yyyy-MM-dd") -> DataFrame:
-    return df.withColumns({c: parse_date(c, fmt) for c in columns})
+    """Columns to dates. Text is parsed with ``fmt`` (no match -> null); a
+    column a reader already typed as date or timestamp is kept or truncated
+    to its date, so inferred schemas give the same result as text."""
+    return df.withColumns({c: _as_date(df, c, fmt) for c in columns})
 
 
 def cast_double(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -18,11 +18,13 @@ from tabsmith.operators.timeseries import (
     daily_return,
     extremes,
     moving_average,
+    normalize_symbol,
     page,
     page_info,
     select_bars,
     tail_rows,
 )
+from tabsmith.session import checkpoint_root
 
 DEFAULT_SYMBOL = "AAPL"
 BENCHMARK = "AAPL"
@@ -44,18 +46,28 @@ def stock_views(
     per_page: int = 5,
     tail: int = 180,
     check_empty: bool = True,
+    materialize: bool = True,
 ) -> dict[str, DataFrame]:
     """The six data views: details (tail + page), return distribution,
     moving averages, correlation with the benchmark, next-close prediction
-    and price extremes."""
-    wanted = [symbols] if isinstance(symbols, str) else list(symbols)
-    chosen = select_bars(bars, wanted, start, end)
+    and price extremes.
+
+    With ``materialize`` the selected bars (chosen symbols plus the
+    benchmark, a small table) are checkpointed once into the shared
+    checkpoint folder: the views then read that copy instead of each
+    recomputing the selection, and a lost executor does not re-run it.
+    """
+    wanted = [normalize_symbol(s) for s in ([symbols] if isinstance(symbols, str) else symbols)]
+    corr_symbols = list(dict.fromkeys([normalize_symbol(benchmark)] + wanted))
+    with_bench = select_bars(bars, corr_symbols, start, end)
+    if materialize:
+        checkpoint_root(with_bench.sparkSession)
+        with_bench = with_bench.checkpoint(eager=True)
+    chosen = with_bench.filter(F.col(SYMBOL).isin(wanted))
     if check_empty:
         require_rows(chosen, "No data found.")
     last = tail_rows(chosen, tail)
     rets = returns(chosen)
-    with_bench = select_bars(bars, list(dict.fromkeys([benchmark] + wanted)), start, end)
-    corr_symbols = [s.upper() for s in dict.fromkeys([benchmark] + wanted)]
     fit = fit_next_close(chosen)
     return {
         "details": page(last, page_no, per_page),

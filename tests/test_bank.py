@@ -99,3 +99,27 @@ def test_jobs_over_nested_folders(spark, tmp_dir, raw):
     assert "007" in [r.Branch_Code for r in cleaned.collect()]
     failed = run_failed_extract(spark, tmp_dir + "/cleaned", tmp_dir + "/failed", schema=cleaned.schema)
     assert sorted(r.Transaction_ID for r in failed.collect()) == ["t1", "t5"]
+
+
+def test_parse_dates_accepts_typed_columns(spark):
+    from tabsmith.operators import parse_dates
+
+    df = spark.createDataFrame(
+        [(dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 13, 5), "2024-01-02")], "d date, ts timestamp, s string"
+    )
+    row = parse_dates(df, ["d", "ts", "s"]).first()
+    assert row.d == row.ts == row.s == dt.date(2024, 1, 2)
+
+
+def test_cleaning_with_inferred_schema(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "typed.csv")
+    with open(path, "w") as f:
+        f.write("Transaction_Date,Transaction_Amount,Fee_Charged,Branch_Code,Transaction_Status\n")
+        f.write("2024-01-02,10.5,1,007,Failed\n2024-01-03,abc,,BR 01,Declined\n")
+    from tabsmith.sources import read_csv
+
+    raw = read_csv(spark, path, infer_schema=True)
+    rows = sorted(clean_transactions(raw).collect(), key=lambda r: r.Transaction_Date)
+    assert [r.Transaction_Date for r in rows] == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    assert [r.Transaction_Amount for r in rows] == [10.5, 0.0]
+    assert [r.Branch_Code for r in rows] == ["007", "BR01"]  # mixed column stays text under inference
