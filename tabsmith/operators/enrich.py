@@ -51,7 +51,7 @@ def convert(
         rate_key = rate_key or key
         one_rate = rates.groupBy(F.col(rate_key).alias("__rate_key")).agg(
             F.when(
-                F.count_distinct(rate_col) > 1,
+                F.min(rate_col) != F.max(rate_col),
                 F.raise_error(F.concat(F.lit("conflicting rates for "), F.col("__rate_key").cast("string"))),
             )
             .otherwise(F.first(rate_col))

@@ -39,6 +39,7 @@ from tabsmith.operators import (
     tag,
     tail_rows,
     union_all,
+    with_indicators,
 )
 from tabsmith.plans.bank import clean_transactions, failed_transactions
 from tabsmith.plans.bindings import (
@@ -137,6 +138,16 @@ def q_convert_currency(spark, sf_dir):
     return convert(df, REGION_RATES).select("c_custkey", "Country", "Amount", _r("INR_Amount", 4))
 
 
+def q_convert_rate_table(spark, sf_dir):
+    """Conversion with the rates as a table (left join) instead of a dict;
+    the rate table is derived from ``region``; two regions get no rate."""
+    rates = table(spark, sf_dir, "region").filter(F.col("r_regionkey") < 3).select(
+        F.col("r_name").alias("Country"), (F.col("r_regionkey") * 2.5 + 0.5).alias("rate")
+    )
+    base = q_convert_currency(spark, sf_dir).drop("INR_Amount")
+    return convert(base, rates).select("c_custkey", "Country", "Amount", _r("INR_Amount", 4))
+
+
 def q_key_year(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey")
     return random_int(customer, "Year", 1900, 2000, key=F.col("c_custkey") * 7919 + 13)
@@ -196,6 +207,11 @@ def q_moving_average(spark, sf_dir):
     return df.select("symbol", "dt", "close", _r("ma50", 6), _r("ma200", 6))
 
 
+def q_indicators(spark, sf_dir):
+    df = with_indicators(_bars(spark, sf_dir))
+    return df.select("symbol", "dt", "close", _r("ret", 6), _r("ma50", 6), _r("ma200", 6), "next_close")
+
+
 def q_corr_benchmark(spark, sf_dir):
     return corr_with(_returns(spark, sf_dir), BENCH_SYMBOL).select("symbol", "benchmark", _r("corr", 6), "n_pairs")
 
@@ -286,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "drop_any": q_drop_any,
     "line_amount": q_line_amount,
     "convert_currency": q_convert_currency,
+    "convert_rate_table": q_convert_rate_table,
     "key_year": q_key_year,
     "random_year": q_random_year,
     "union_by_name": q_union_by_name,
@@ -294,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "bars_range": q_bars_range,
     "daily_return": q_daily_return,
     "moving_average": q_moving_average,
+    "indicators": q_indicators,
     "corr_benchmark": q_corr_benchmark,
     "corr_matrix": q_corr_matrix,
     "next_close_fit": q_next_close_fit,
@@ -401,6 +419,10 @@ ORACLE_SQL: dict[str, str] = {
           round(c_acctbal * coalesce(CASE r_name WHEN 'AMERICA' THEN 0.57::DOUBLE WHEN 'ASIA' THEN 8.21::DOUBLE
                                                   WHEN 'EUROPE' THEN 89.34::DOUBLE END, 1.0::DOUBLE), 4) AS INR_Amount
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "convert_rate_table": """
+        SELECT c_custkey, r_name AS Country, c_acctbal AS Amount,
+          round(c_acctbal * coalesce(CASE WHEN r_regionkey < 3 THEN r_regionkey * 2.5 + 0.5 END, 1.0::DOUBLE), 4) AS INR_Amount
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "key_year": "SELECT c_custkey, CAST(1900 + (((c_custkey * 7919 + 13) % 101) + 101) % 101 AS BIGINT) AS Year FROM customer",
     "union_by_name": """
         SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
@@ -440,6 +462,16 @@ ORACLE_SQL: dict[str, str] = {
         FROM bars
         WINDOW w50 AS (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
                w200 AS (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)""",
+    "indicators": f"""WITH {_BARS}
+        SELECT symbol, dt, close,
+          round(close / nullif(lag(close) OVER w, 0) - 1, 6) AS ret,
+          round(CASE WHEN count(close) OVER w50 = 50 THEN avg(close) OVER w50 END, 6) AS ma50,
+          round(CASE WHEN count(close) OVER w200 = 200 THEN avg(close) OVER w200 END, 6) AS ma200,
+          lead(close) OVER w AS next_close
+        FROM bars
+        WINDOW w AS (PARTITION BY symbol ORDER BY dt),
+               w50 AS (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
+               w200 AS (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)""",
     "corr_benchmark": f"""WITH {_RETURNS}
         SELECT r.symbol, '{BENCH_SYMBOL}' AS benchmark, round(corr(r.ret, b.ret), 6) AS corr,
           count(r.ret * b.ret) AS n_pairs

@@ -15,7 +15,7 @@ from tabsmith.plans.bindings import REGION_RATES, transactions_from_orders
 from tabsmith.plans.catalog import ORACLE_SQL, _sales_feed, table
 from tabsmith.plans.sales import FINAL_SCHEMA, transform_sales
 from tabsmith.session import scratch_path
-from tabsmith.sinks import load_table, write_csv
+from tabsmith.sinks import load_table, preview, write_csv
 from tabsmith.sources.files import read_csv, read_json
 from tabsmith.streaming.bank import run_failed_stream
 
@@ -27,6 +27,22 @@ def q_csv_round_trip(spark, sf_dir):
     return read_csv(spark, path, schema=orders.schema)
 
 
+def q_csv_nested_read(spark, sf_dir):
+    """Orders written as CSV at three folder depths, read back with one
+    recursive scan (a ``**`` glob would miss a level)."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "csv-nested")
+    for depth, status in enumerate(["F", "O", "P"]):
+        folder = "/".join([root] + ["level"] * depth + [f"batch_{status}"])
+        write_csv(orders.filter(F.col("o_orderstatus") == status), folder)
+    return read_csv(spark, root, schema=orders.schema, recursive=True, glob="*.csv")
+
+
+def q_preview_clean(spark, sf_dir):
+    """Any five cleaned transactions (a look at the data, not a report)."""
+    return preview(clean_transactions(transactions_from_orders(table(spark, sf_dir, "orders"))), 5)
+
+
 def q_json_round_trip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "json-round-trip")
@@ -53,6 +69,8 @@ def q_stream_failed(spark, sf_dir):
 
 EXTRA_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
+    "csv_nested_read": q_csv_nested_read,
+    "preview_clean": q_preview_clean,
     "json_round_trip": q_json_round_trip,
     "conform_sink": q_conform_sink,
     "stream_failed": q_stream_failed,
@@ -60,6 +78,7 @@ EXTRA_QUERIES = {
 
 EXTRA_ORACLE_SQL = {
     "csv_round_trip": "SELECT * FROM orders",
+    "csv_nested_read": "SELECT * FROM orders",
     "json_round_trip": "SELECT * FROM orders",
     "conform_sink": ORACLE_SQL["sales_load"],
     "stream_failed": ORACLE_SQL["failed_extract"],
