@@ -31,7 +31,9 @@ from tabsmith.operators.timeseries import (
     normalize_symbol,
     page,
     page_info,
+    positions,
     select_bars,
+    sequence_views,
     tail_rows,
     with_indicators,
 )
@@ -60,10 +62,12 @@ __all__ = [
     "page_info",
     "pair_corr",
     "parse_dates",
+    "positions",
     "predict_next_close",
     "random_int",
     "require_rows",
     "select_bars",
+    "sequence_views",
     "share",
     "status_in",
     "strip_columns",

@@ -1,30 +1,36 @@
-"""Operators over daily price bars ``(symbol, dt, open, high, low, close, volume)``.
+"""Operators over price bars ``(symbol, dt, open, high, low, close, volume)``.
 
-Every operator works on all symbols at once. Order-dependent ones use one
-window spec, ``partitionBy(symbol).orderBy(dt)``, so Catalyst plans them as a
-single shuffle + sort, and the views that share it (returns, moving averages,
-next close) are computed in one Window node.
+Every operator works on all symbols at once.
 
-Scale note: a bar table holds one row per symbol and trading day, so a
-symbol's window partition is bounded by the length of its calendar (about 250
-rows a year), however large the raw data the bars were aggregated from.
-Windows therefore never pull an unbounded group into one task.
+Order-dependent views (returns, moving averages, next close, pages) never
+window over a whole symbol, so a symbol holding a large share of all bars is
+still spread over many tasks:
+
+1. ``positions`` numbers the rows of each symbol by ``dt``. Row numbers are
+   taken inside (symbol, calendar segment) groups, which are small, and
+   shifted by the row counts of the earlier segments, read from a table with
+   one row per symbol and segment.
+2. The windows then run per (symbol, block of ``block`` positions). Each
+   block also receives copies of the rows just before it (``n - 1`` for an
+   ``n``-row moving average, one for a return) and just after it (one, for
+   the next close) as halo rows, which are dropped afterwards.
+
+All views computed together (``with_indicators``) share one such pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions import fmt_price
 
 SYMBOL, DT = "symbol", "dt"
-
-
-def _spec(by: str = SYMBOL, order: str = DT):
-    return Window.partitionBy(by).orderBy(order)
+# Rows per window block; halo copies cost (n - 1) / BLOCK_ROWS extra rows.
+BLOCK_ROWS = 8192
+SEGMENT_UNITS = ("year", "quarter", "month", "week", "day")
+POS, TOTAL, BLK, HALO = "__pos", "__total", "__blk", "__halo"
 
 
 def normalize_symbol(symbol: str) -> str:
@@ -56,59 +62,166 @@ def select_bars(
     return out
 
 
-def return_expr(price: str = "close", fill_gaps: bool = False, by: str = SYMBOL, order: str = DT) -> Column:
-    """``price / previous price - 1`` within a symbol; first row null.
+def _segment(unit: str) -> Column:
+    if unit not in SEGMENT_UNITS:
+        raise ValueError(f"segment unit must be one of {SEGMENT_UNITS}")
+    return F.col(DT).cast("date") if unit == "day" else F.trunc(F.col(DT), unit)
+
 
-    A zero previous price gives null (not infinity, not an ANSI error). With
-    ``fill_gaps`` a missing price is first replaced by the last known one,
-    the way older pandas ``pct_change`` padded (``[1, null, 2]`` gives
-    ``[null, 0, 1]``); by default gaps stay null.
+def positions(rows: DataFrame, unit: str = "month", by: str = SYMBOL) -> DataFrame:
+    """Add ``__pos`` (1-based row number of the row within its symbol, in
+    ``dt`` order) and ``__total`` (rows of the symbol).
+
+    Row numbers are taken within (symbol, ``unit`` segment) groups, bounded by
+    the calendar, then offset by the row counts of the symbol's earlier
+    segments. Those counts are a partial aggregate over the input (one row per
+    symbol and segment), turned into offsets by a window over that small
+    table. No window ever holds a whole symbol.
     """
-    w = _spec(by, order)
-    cur = F.col(price)
-    if fill_gaps:
-        cur = F.last(price, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        prev = F.lag(cur, 1).over(w)
-    else:
-        prev = F.lag(price, 1).over(w)
-    return F.try_divide(cur, prev) - F.lit(1.0)
+    seg = "__seg"
+    segmented = rows.withColumn(seg, _segment(unit))
+    local = segmented.withColumn("__rn", F.row_number().over(Window.partitionBy(by, seg).orderBy(DT)))
+    per_symbol = Window.partitionBy(by)
+    offsets = (
+        segmented.groupBy(by, seg)
+        .agg(F.count(F.lit(1)).alias("__cnt"))
+        .select(
+            by,
+            seg,
+            F.coalesce(
+                F.sum("__cnt").over(per_symbol.orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ).alias("__off"),
+            F.sum("__cnt").over(per_symbol).alias(TOTAL),
+        )
+    )
+    return (
+        local.join(offsets, [by, seg])
+        .withColumn(POS, (F.col("__off") + F.col("__rn")).cast("long"))
+        .drop(seg, "__rn", "__off")
+    )
 
 
-def daily_return(bars: DataFrame, price: str = "close", out: str = "ret", fill_gaps: bool = False) -> DataFrame:
-    return bars.withColumn(out, return_expr(price, fill_gaps))
+def _with_halo(ranked: DataFrame, back: int, front: int, block: int) -> DataFrame:
+    """Assign each row to block ``(pos - 1) // block``; the last ``back`` rows
+    of every block are also emitted into the next block and the first
+    ``front`` rows into the previous one, flagged as halo. One pass: each row
+    explodes into itself plus at most two copies."""
+    p0 = F.col(POS) - 1
+    at = F.pmod(p0, F.lit(block))
+    shifts = [F.lit(0)]
+    if back:
+        shifts.append(F.when(at >= block - back, F.lit(1)))
+    if front:
+        shifts.append(F.when(at < front, F.lit(-1)))
+    moved = F.explode(F.filter(F.array(*shifts), lambda d: d.isNotNull()))
+    return (
+        ranked.withColumn("__shift", moved)
+        .withColumn(BLK, F.floor(p0 / block).cast("long") + F.col("__shift"))
+        .withColumn(HALO, F.col("__shift") != 0)
+        .drop("__shift")
+    )
 
 
-def moving_average_expr(n: int, price: str = "close", by: str = SYMBOL, order: str = DT) -> Column:
-    """Mean of the last ``n`` rows (rows, not calendar days); null until the
-    window holds ``n`` non-missing values, as pandas ``rolling(n).mean()``."""
-    if n < 1:
-        raise ValueError("window must be >= 1")
-    frame = _spec(by, order).rowsBetween(-(n - 1), 0)
+def _block_window(by: str = SYMBOL):
+    return Window.partitionBy(by, BLK).orderBy(POS)
+
+
+def _moving_average(price: str, n: int) -> Column:
+    frame = _block_window().rowsBetween(-(n - 1), 0)
     return F.when(F.count(price).over(frame) == n, F.avg(price).over(frame))
 
 
+def _filled_return(real: DataFrame, price: str, out: str) -> DataFrame:
+    """Return on prices with gaps filled by the last known price: inside a
+    block a running ``last(ignorenulls)``; across blocks the last known price
+    of the earlier blocks, carried through the per-block table."""
+    per_block = real.groupBy(SYMBOL, BLK).agg(
+        F.max_by(price, F.when(F.col(price).isNotNull(), F.col(POS))).alias("__last")
+    )
+    carry = per_block.select(
+        SYMBOL,
+        BLK,
+        F.last("__last", ignorenulls=True)
+        .over(Window.partitionBy(SYMBOL).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1))
+        .alias("__carry"),
+    )
+    w = _block_window()
+    filled = real.join(carry, [SYMBOL, BLK]).withColumn(
+        "__filled",
+        F.coalesce(F.last(price, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("__carry")),
+    )
+    prev = F.when(F.row_number().over(w) == 1, F.col("__carry")).otherwise(F.lag("__filled", 1).over(w))
+    return filled.withColumn(out, F.try_divide(F.col("__filled"), prev) - F.lit(1.0)).drop("__carry", "__filled")
+
+
+def sequence_views(
+    bars: DataFrame,
+    price: str = "close",
+    ret: str | None = None,
+    windows: Sequence[int] = (),
+    lead: str | None = None,
+    fill_gaps: bool = False,
+    unit: str = "month",
+    block: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Add the requested order-dependent columns in one pass:
+
+    * ``ret``: ``price / previous price - 1`` within the symbol; the first row
+      is null, and so is a return on a zero previous price (not infinity, not
+      an ANSI error). With ``fill_gaps`` a missing price is first replaced by
+      the last known one (``[1, null, 2]`` gives ``[null, 0, 1]``); by default
+      gaps stay null.
+    * ``ma{n}`` for each ``n`` in ``windows``: mean of the last ``n`` rows (rows,
+      not calendar days), null until the window holds ``n`` non-missing values.
+    * ``lead``: the next row's price; null on the last row.
+    """
+    if any(n < 1 for n in windows):
+        raise ValueError("window must be >= 1")
+    back = max([n - 1 for n in windows] + [1 if ret and not fill_gaps else 0])
+    front = 1 if lead else 0
+    block = max(block, back, front, 1)
+    framed = _with_halo(positions(bars, unit), back, front, block)
+    w = _block_window()
+    cols: dict[str, Column] = {}
+    if ret and not fill_gaps:
+        cols[ret] = F.try_divide(F.col(price), F.lag(price, 1).over(w)) - F.lit(1.0)
+    for n in windows:
+        cols[f"ma{n}"] = _moving_average(price, n)
+    if lead:
+        cols[lead] = F.lead(price, 1).over(w)
+    out = framed.withColumns(cols) if cols else framed
+    out = out.filter(~F.col(HALO))
+    if ret and fill_gaps:
+        out = _filled_return(out, price, ret)
+    return out.drop(POS, TOTAL, BLK, HALO)
+
+
+def daily_return(bars: DataFrame, price: str = "close", out: str = "ret", fill_gaps: bool = False) -> DataFrame:
+    return sequence_views(bars, price, ret=out, fill_gaps=fill_gaps)
+
+
 def moving_average(bars: DataFrame, n: int, price: str = "close", out: str | None = None) -> DataFrame:
-    return bars.withColumn(out or f"ma{n}", moving_average_expr(n, price))
+    df = sequence_views(bars, price, windows=[n])
+    return df.withColumnRenamed(f"ma{n}", out) if out and out != f"ma{n}" else df
 
 
 def next_close(bars: DataFrame, price: str = "close", out: str = "next_close") -> DataFrame:
     """The following row's price within the symbol; null on the last row."""
-    return bars.withColumn(out, F.lead(price, 1).over(_spec()))
+    return sequence_views(bars, price, lead=out)
 
 
 def with_indicators(bars: DataFrame, windows: Sequence[int] = (50, 200), price: str = "close") -> DataFrame:
-    """Return, moving averages and next close in one pass (one sort, one Window node)."""
-    cols = {"ret": return_expr(price)}
-    cols.update({f"ma{n}": moving_average_expr(n, price) for n in windows})
-    cols["next_close"] = F.lead(price, 1).over(_spec())
-    return bars.withColumns(cols)
+    """Return, moving averages and next close in one pass."""
+    return sequence_views(bars, price, ret="ret", windows=windows, lead="next_close")
 
 
 def tail_rows(bars: DataFrame, n: int = 180, by: str = SYMBOL, order: str = DT) -> DataFrame:
     """Last ``n`` rows per symbol.
 
     ``row_number() <= n`` is planned with a partial WindowGroupLimit before the
-    shuffle, so each task forwards at most ``n`` rows per symbol.
+    shuffle, so each map task forwards at most ``n`` rows per symbol and the
+    final window sees at most ``n`` rows per symbol and map task, however
+    many rows the symbol has.
     """
     w = Window.partitionBy(by).orderBy(F.col(order).desc())
     return bars.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
@@ -119,21 +232,21 @@ def page(
     page_no: int,
     per_page: int = 5,
     shift: int = 0,
-    by: str = SYMBOL,
-    order: str = DT,
     position: str = "row_no",
+    unit: str = "month",
 ) -> DataFrame:
     """Rows ``(page_no-1)*per_page+1 .. page_no*per_page`` of each symbol in
-    ``order``, numbered from 1 in ``position``.
+    ``dt`` order, numbered from 1 in ``position``.
 
     ``shift=1`` moves the slice one row later, reproducing a display that
     labels rows 1-5 but shows rows 2-6 (so the first row is never shown and
-    the last page is one short).
+    the last page is one short). Row numbers come from :func:`positions`, so
+    no task holds a whole symbol.
     """
     if page_no < 1 or per_page < 1:
         raise ValueError("page_no and per_page must be >= 1")
     start = (page_no - 1) * per_page + shift
-    numbered = rows.withColumn(position, F.row_number().over(Window.partitionBy(by).orderBy(order)))
+    numbered = positions(rows, unit).withColumn(position, F.col(POS).cast("int")).drop(POS, TOTAL)
     return numbered.filter((F.col(position) > start) & (F.col(position) <= start + per_page))
 
 

@@ -28,12 +28,12 @@ from tabsmith.operators import (
     fit_next_close,
     histogram,
     kde,
-    moving_average,
     page,
     page_info,
     predict_next_close,
     random_int,
     select_bars,
+    sequence_views,
     share,
     status_in,
     tag,
@@ -51,6 +51,7 @@ from tabsmith.plans.bindings import (
 )
 from tabsmith.plans.sales import final_sales
 from tabsmith.plans.stocks import returns
+from tabsmith.session import materialize
 
 # The five order priorities, which play the part of ticker symbols.
 SYMBOLS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -83,8 +84,15 @@ def _bars(spark, sf_dir):
     return bars_from_orders(table(spark, sf_dir, "orders"))
 
 
+def _bars_once(spark, sf_dir):
+    """Bars aggregated once and checkpointed: the order-dependent views read
+    them in more than one branch (segment counts and rows, per-symbol stats
+    and rows), which must not re-aggregate the orders table each time."""
+    return materialize(_bars(spark, sf_dir))
+
+
 def _returns(spark, sf_dir):
-    return returns(_bars(spark, sf_dir))
+    return returns(_bars_once(spark, sf_dir))
 
 
 def _r(c: str, digits: int):
@@ -199,16 +207,16 @@ def q_bars_range(spark, sf_dir):
 
 
 def q_daily_return(spark, sf_dir):
-    return daily_return(_bars(spark, sf_dir)).select("symbol", "dt", "close", _r("ret", 6))
+    return daily_return(_bars_once(spark, sf_dir)).select("symbol", "dt", "close", _r("ret", 6))
 
 
 def q_moving_average(spark, sf_dir):
-    df = moving_average(moving_average(_bars(spark, sf_dir), 50), 200)
+    df = sequence_views(_bars_once(spark, sf_dir), windows=(50, 200))
     return df.select("symbol", "dt", "close", _r("ma50", 6), _r("ma200", 6))
 
 
 def q_indicators(spark, sf_dir):
-    df = with_indicators(_bars(spark, sf_dir))
+    df = with_indicators(_bars_once(spark, sf_dir))
     return df.select("symbol", "dt", "close", _r("ret", 6), _r("ma50", 6), _r("ma200", 6), "next_close")
 
 
@@ -221,12 +229,12 @@ def q_corr_matrix(spark, sf_dir):
 
 
 def q_next_close_fit(spark, sf_dir):
-    fit = fit_next_close(_bars(spark, sf_dir))
+    fit = fit_next_close(_bars_once(spark, sf_dir))
     return fit.select("symbol", _r("slope", 8), _r("intercept", 4), _r("r2", 8), "n")
 
 
 def q_next_close_predict(spark, sf_dir):
-    pred = predict_next_close(_bars(spark, sf_dir))
+    pred = predict_next_close(_bars_once(spark, sf_dir))
     return pred.select("symbol", "dt", "close", "next_close", _r("predicted", 4))
 
 
@@ -245,11 +253,11 @@ def q_tail_180(spark, sf_dir):
 
 
 def q_page_3(spark, sf_dir):
-    return page(tail_rows(_bars(spark, sf_dir), 180), 3, 5)
+    return page(tail_rows(_bars_once(spark, sf_dir), 180), 3, 5)
 
 
 def q_page_shift(spark, sf_dir):
-    return page(tail_rows(_bars(spark, sf_dir), 180), 36, 5, shift=1)
+    return page(tail_rows(_bars_once(spark, sf_dir), 180), 36, 5, shift=1)
 
 
 def q_page_info(spark, sf_dir):

@@ -17,14 +17,14 @@ from tabsmith.operators.timeseries import (
     SYMBOL,
     daily_return,
     extremes,
-    moving_average,
+    sequence_views,
     normalize_symbol,
     page,
     page_info,
     select_bars,
     tail_rows,
 )
-from tabsmith.session import checkpoint_root
+from tabsmith.session import materialize
 
 DEFAULT_SYMBOL = "AAPL"
 BENCHMARK = "AAPL"
@@ -61,8 +61,7 @@ def stock_views(
     corr_symbols = list(dict.fromkeys([normalize_symbol(benchmark)] + wanted))
     with_bench = select_bars(bars, corr_symbols, start, end)
     if materialize:
-        checkpoint_root(with_bench.sparkSession)
-        with_bench = with_bench.checkpoint(eager=True)
+        with_bench = materialize(with_bench)
     chosen = with_bench.filter(F.col(SYMBOL).isin(wanted))
     if check_empty:
         require_rows(chosen, "No data found.")
@@ -74,7 +73,7 @@ def stock_views(
         "details_pages": page_info(last, per_page),
         "return_histogram": histogram(rets, "ret", 100),
         "return_density": kde(rets, "ret", 200),
-        "averages": moving_average(moving_average(chosen, 50), 200),
+        "averages": sequence_views(chosen, windows=(50, 200)),
         "correlation": corr_matrix(returns(with_bench), corr_symbols),
         "prediction_fit": fit,
         "prediction": predict_next_close(chosen, fit=fit),

@@ -23,6 +23,8 @@ SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the checkpointed DataFrame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -84,10 +86,17 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
+def materialize(df):
+    """``df.checkpoint()`` into the shared checkpoint folder: the plan runs
+    once, later jobs read the written copy, and a lost executor never re-runs
+    the upstream work. For small derived tables read by several branches."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)

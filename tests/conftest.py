@@ -15,7 +15,10 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("local[4]", app="tabsmith-tests", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="tabsmith-warehouse-")
+    session = get_session(
+        "local[4]", app="tabsmith-tests", shuffle_partitions=4, conf={"spark.sql.warehouse.dir": warehouse}
+    )
     yield session
     session.stop()
 

@@ -132,3 +132,14 @@ def test_csv_missing_tokens_read(spark, tmp_dir):
         f.write("a,b\nNA,1\nnull,2\nx,3\n")
     df = read_csv(spark, path, missing_tokens=["NA", "null"])
     assert [r.a for r in df.orderBy("b").collect()] == [None, None, "x"]
+
+
+def test_load_table_by_name(spark):
+    feed = _feed(spark, [("A", "Shoes", "x", 2.0, 1.5), ("B", "Jeans", "y", 1.0, 4.0)], "Japan")
+    load_table(transform_sales(feed, seed=1), table="final_sales_test", schema=FINAL_SCHEMA)
+    stored = spark.table("final_sales_test")
+    assert stored.columns == FINAL_SCHEMA.fieldNames() and stored.count() == 2
+    # replacing the table with a frame that reads it is refused by Spark before anything is deleted
+    with pytest.raises(Exception):
+        load_table(stored.filter("Qty > 1"), table="final_sales_test", schema=FINAL_SCHEMA)
+    assert spark.table("final_sales_test").count() == 2

@@ -196,3 +196,38 @@ def test_stock_views(bars):
     assert views["price"].count() == 2
     with pytest.raises(ValueError, match="No data"):
         stock_views(bars, "zzz")
+
+
+@pytest.mark.parametrize("block,unit", [(4, "month"), (7, "day"), (64, "year"), (5, "week")])
+def test_blocked_windows_match_whole_series(spark, bars_pd, block, unit):
+    from tabsmith.operators import positions, sequence_views
+
+    # gaps, including a run of missing prices longer than a block
+    pdf = bars_pd.copy()
+    holes = pdf.index[(pdf.symbol == "AAA") & pdf.index.isin(list(range(20, 31)) + [60, 61, 99])]
+    pdf.loc[holes, ["close"]] = np.nan
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), BAR_SCHEMA)
+    got = (
+        sequence_views(df, ret="ret", windows=[3, 5], lead="nxt", unit=unit, block=block)
+        .toPandas()
+        .sort_values(["symbol", "dt"])
+        .reset_index(drop=True)
+    )
+    exp = pdf.sort_values(["symbol", "dt"]).reset_index(drop=True)
+    g = exp.groupby("symbol")["close"]
+    np.testing.assert_allclose(got["ret"].astype(float), g.pct_change(fill_method=None), rtol=1e-12, equal_nan=True)
+    np.testing.assert_allclose(got["ma3"].astype(float), g.transform(lambda s: s.rolling(3).mean()), rtol=1e-12, equal_nan=True)
+    np.testing.assert_allclose(got["ma5"].astype(float), g.transform(lambda s: s.rolling(5).mean()), rtol=1e-12, equal_nan=True)
+    np.testing.assert_allclose(got["nxt"].astype(float), g.shift(-1), rtol=0, equal_nan=True)
+    filled = (
+        sequence_views(df, ret="ret", fill_gaps=True, unit=unit, block=block)
+        .toPandas()
+        .sort_values(["symbol", "dt"])
+        .reset_index(drop=True)
+    )
+    padded = g.transform(lambda s: s.ffill())
+    exp_filled = padded / padded.groupby(exp["symbol"]).shift(1) - 1
+    np.testing.assert_allclose(filled["ret"].astype(float), exp_filled, rtol=1e-12, equal_nan=True)
+    pos = positions(df, unit).toPandas().sort_values(["symbol", "dt"]).reset_index(drop=True)
+    assert list(pos["__pos"]) == list(exp.groupby("symbol").cumcount() + 1)
+    assert list(pos["__total"]) == list(exp.groupby("symbol")["dt"].transform("size"))
