@@ -46,13 +46,13 @@ def stock_views(
     per_page: int = 5,
     tail: int = 180,
     check_empty: bool = True,
-    materialize: bool = True,
+    checkpoint_bars: bool = True,
 ) -> dict[str, DataFrame]:
     """The six data views: details (tail + page), return distribution,
     moving averages, correlation with the benchmark, next-close prediction
     and price extremes.
 
-    With ``materialize`` the selected bars (chosen symbols plus the
+    With ``checkpoint_bars`` the selected bars (chosen symbols plus the
     benchmark, a small table) are checkpointed once into the shared
     checkpoint folder: the views then read that copy instead of each
     recomputing the selection, and a lost executor does not re-run it.
@@ -60,7 +60,7 @@ def stock_views(
     wanted = [normalize_symbol(s) for s in ([symbols] if isinstance(symbols, str) else symbols)]
     corr_symbols = list(dict.fromkeys([normalize_symbol(benchmark)] + wanted))
     with_bench = select_bars(bars, corr_symbols, start, end)
-    if materialize:
+    if checkpoint_bars:
         with_bench = materialize(with_bench)
     chosen = with_bench.filter(F.col(SYMBOL).isin(wanted))
     if check_empty:
