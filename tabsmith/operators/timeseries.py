@@ -29,7 +29,7 @@ from tabsmith.functions import fmt_price
 SYMBOL, DT = "symbol", "dt"
 # Rows per window block; halo copies cost (n - 1) / BLOCK_ROWS extra rows.
 BLOCK_ROWS = 8192
-SEGMENT_UNITS = ("year", "quarter", "month", "week", "day")
+SEGMENT_UNITS = ("year", "quarter", "month", "week", "day", "hour", "minute")
 POS, TOTAL, BLK, HALO = "__pos", "__total", "__blk", "__halo"
 
 
@@ -63,8 +63,12 @@ def select_bars(
 
 
 def _segment(unit: str) -> Column:
+    """Calendar segment of ``dt``; ``hour`` / ``minute`` are for intraday bars
+    whose ``dt`` is a timestamp."""
     if unit not in SEGMENT_UNITS:
         raise ValueError(f"segment unit must be one of {SEGMENT_UNITS}")
+    if unit in ("hour", "minute"):
+        return F.date_trunc(unit, F.col(DT))
     return F.col(DT).cast("date") if unit == "day" else F.trunc(F.col(DT), unit)
 
 

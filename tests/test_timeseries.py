@@ -231,3 +231,16 @@ def test_blocked_windows_match_whole_series(spark, bars_pd, block, unit):
     pos = positions(df, unit).toPandas().sort_values(["symbol", "dt"]).reset_index(drop=True)
     assert list(pos["__pos"]) == list(exp.groupby("symbol").cumcount() + 1)
     assert list(pos["__total"]) == list(exp.groupby("symbol")["dt"].transform("size"))
+
+
+def test_intraday_segments(spark):
+    from tabsmith.operators import positions, sequence_views
+
+    rows = [("I", dt.datetime(2024, 1, 2, 9, 30) + dt.timedelta(minutes=7 * i), float(100 + i % 13)) for i in range(300)]
+    df = spark.createDataFrame(rows, "symbol string, dt timestamp, close double")
+    pos = [r["__pos"] for r in positions(df, "hour").orderBy("dt").collect()]
+    assert pos == list(range(1, 301))
+    got = sequence_views(df, ret="ret", windows=[20], unit="minute", block=16).orderBy("dt").toPandas()
+    s = pd.Series([float(100 + i % 13) for i in range(300)])
+    np.testing.assert_allclose(got["ma20"].astype(float), s.rolling(20).mean(), rtol=1e-12, equal_nan=True)
+    np.testing.assert_allclose(got["ret"].astype(float), s.pct_change(), rtol=1e-12, equal_nan=True)
