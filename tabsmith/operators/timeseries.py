@@ -21,6 +21,7 @@ All views computed together (``with_indicators``) share one such pass.
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

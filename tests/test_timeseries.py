@@ -51,11 +51,6 @@ def bars(spark, bars_pd):
     return spark.createDataFrame(bars_pd, BAR_SCHEMA).cache()
 
 
-def _by_symbol(df, cols):
-    out = df.toPandas().sort_values(["symbol", "dt"]) if "dt" in df.columns else df.toPandas()
-    return out[cols]
-
-
 def test_returns_and_moving_averages(bars, bars_pd):
     got = with_indicators(bars).toPandas().sort_values(["symbol", "dt"]).reset_index(drop=True)
     exp = bars_pd.sort_values(["symbol", "dt"]).reset_index(drop=True)
@@ -70,6 +65,13 @@ def test_returns_and_moving_averages(bars, bars_pd):
     assert got[got.symbol == "CCC"]["ma50"].isna().all()
 
 
+def test_moving_average_rename(bars, bars_pd):
+    got = moving_average(bars, 3, out="m3").toPandas().sort_values(["symbol", "dt"]).reset_index(drop=True)
+    exp = bars_pd.sort_values(["symbol", "dt"]).reset_index(drop=True).groupby("symbol")["close"]
+    np.testing.assert_allclose(got["m3"], exp.transform(lambda s: s.rolling(3).mean()), rtol=1e-12, equal_nan=True)
+    assert "ma3" not in got.columns
+
+
 def test_return_edge_cases(spark):
     df = spark.createDataFrame(
         [("Z", dt.date(2020, 1, d), c, c, c, c, 1) for d, c in [(1, 1.0), (2, None), (3, 2.0), (4, 0.0), (5, 3.0)]],
