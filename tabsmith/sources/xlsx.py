@@ -74,32 +74,48 @@ def _cell_text(cell: ET.Element, shared: list[str]) -> str | None:
     return value.text
 
 
-def sheet_rows(content: bytes) -> list[list[str | None]]:
-    """All rows of the first sheet as lists of cell text (gaps are None)."""
+def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+    """Rows of the first sheet as lists of cell text (gaps are None),
+    streamed from the zip member so a large sheet is never held whole."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = _shared_strings(book)
-        sheet = ET.fromstring(book.read(_first_sheet_path(book)))
-    rows: list[list[str | None]] = []
-    for row in sheet.iter(f"{{{_NS['m']}}}row"):
-        values: dict[int, str | None] = {}
-        for pos, cell in enumerate(row.findall("m:c", _NS)):
-            ref = cell.get("r")
-            col = _column_index(_CELL_REF.match(ref).group(1)) if ref else pos
-            values[col] = _cell_text(cell, shared)
-        width = max(values) + 1 if values else 0
-        rows.append([values.get(i) for i in range(width)])
-    return rows
+        row_tag, cell_tag = f"{{{_NS['m']}}}row", f"{{{_NS['m']}}}c"
+        with book.open(_first_sheet_path(book)) as sheet:
+            for _, elem in ET.iterparse(sheet, events=("end",)):
+                if elem.tag != row_tag:
+                    continue
+                values: dict[int, str | None] = {}
+                for pos, cell in enumerate(elem.findall(cell_tag)):
+                    ref = cell.get("r")
+                    col = _column_index(_CELL_REF.match(ref).group(1)) if ref else pos
+                    values[col] = _cell_text(cell, shared)
+                width = max(values) + 1 if values else 0
+                yield [values.get(i) for i in range(width)]
+                elem.clear()
+
+
+def sheet_rows(content: bytes) -> list[list[str | None]]:
+    """All rows of the first sheet (for small workbooks and tests)."""
+    return list(iter_sheet_rows(content))
 
 
 def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            rows = sheet_rows(content)
-            header = rows[0] if rows else []
+            header = next(iter_sheet_rows(content), [])
             yield pd.DataFrame({"path": [path] * len(header), "pos": range(len(header)), "name": header})
 
 
-def read_xlsx(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
+def _frame(body: list[list[str | None]], names: list[str], where: dict[str, int]) -> pd.DataFrame:
+    out = {
+        name: [(r[where[name]] if name in where and where[name] < len(r) else None) for r in body] for name in names
+    }
+    return pd.DataFrame(out, columns=names, dtype=object)
+
+
+def read_xlsx(
+    spark: SparkSession, path: str | list[str], schema: StructType | None = None, batch_rows: int = 10000
+) -> DataFrame:
     """Rows of the first sheet of every workbook under ``path``.
 
     Without ``schema`` the columns are the union of the header names (text);
@@ -121,17 +137,20 @@ def read_xlsx(spark: SparkSession, path: str | list[str], schema: StructType | N
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                rows = sheet_rows(content)
-                if not rows:
+                rows = iter_sheet_rows(content)
+                header = next(rows, None)
+                if header is None:
                     continue
-                header = [h for h in rows[0]]
                 where = {name: header.index(name) for name in names if name in header}
-                body = [r for r in rows[1:] if any(v is not None for v in r)]
-                out = {
-                    name: [(r[where[name]] if name in where and where[name] < len(r) else None) for r in body]
-                    for name in names
-                }
-                yield pd.DataFrame(out, columns=names, dtype=object)
+                body: list[list[str | None]] = []
+                for r in rows:
+                    if any(v is not None for v in r):
+                        body.append(r)
+                    if len(body) >= batch_rows:
+                        yield _frame(body, names, where)
+                        body = []
+                if body:
+                    yield _frame(body, names, where)
 
     text_schema = StructType([StructField(n, StringType(), True) for n in names])
     parsed = files.select("content").mapInPandas(parse, text_schema)
