@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabsmith.functions import PANDAS_NA_TOKENS
 from tabsmith.operators.enrich import tag, union_all
 from tabsmith.sources.files import read_csv, read_json
 from tabsmith.sources.jdbc import read_jdbc
@@ -36,6 +37,8 @@ def read_source(spark: SparkSession, spec: SourceSpec, tag_column: str = "Countr
     kind = spec.kind.lower()
     opts = dict(spec.options)
     if kind == "csv":
+        # feeds were read with pandas' defaults: its missing-value tokens are nulls
+        opts.setdefault("missing_tokens", PANDAS_NA_TOKENS)
         df = read_csv(spark, spec.location, **opts)
     elif kind == "json":
         df = read_json(spark, spec.location, **opts)

@@ -143,3 +143,12 @@ def test_load_table_by_name(spark):
     with pytest.raises(Exception):
         load_table(stored.filter("Qty > 1"), table="final_sales_test", schema=FINAL_SCHEMA)
     assert spark.table("final_sales_test").count() == 2
+
+
+def test_csv_feed_pandas_missing_tokens_by_default(spark, tmp_dir):
+    path = tmp_dir + "/Feed.csv"
+    with open(path, "w") as f:
+        f.write("SaleId,Category,Product,Qty,Sale\nA,Shoes,x,NaN,1\nB,Shoes,y,N/A,1\nC,Shoes,z,3,2\nD,Shoes,w,#N/A,1\n")
+    combined = load_sources(spark, [SourceSpec("csv", path, "Japan")])
+    assert combined.filter("Qty IS NULL").count() == 3
+    assert [r.SaleId for r in transform_sales(combined, seed=1).collect()] == ["C"]
