@@ -118,9 +118,10 @@ def _with_halo(ranked: DataFrame, back: int, front: int, block: int) -> DataFram
         shifts.append(F.when(at >= block - back, F.lit(1)))
     if front:
         shifts.append(F.when(at < front, F.lit(-1)))
-    moved = F.explode(F.filter(F.array(*shifts), lambda d: d.isNotNull()))
+    # explode then drop the null shifts: plain expressions, all code-generated
     return (
-        ranked.withColumn("__shift", moved)
+        ranked.withColumn("__shift", F.explode(F.array(*shifts)))
+        .filter(F.col("__shift").isNotNull())
         .withColumn(BLK, F.floor(p0 / block).cast("long") + F.col("__shift"))
         .withColumn(HALO, F.col("__shift") != 0)
         .drop("__shift")
