@@ -109,20 +109,22 @@ def positions(rows: DataFrame, unit: str = "month", by: str = SYMBOL) -> DataFra
 def _with_halo(ranked: DataFrame, back: int, front: int, block: int) -> DataFrame:
     """Assign each row to block ``(pos - 1) // block``; the last ``back`` rows
     of every block are also emitted into the next block and the first
-    ``front`` rows into the previous one, flagged as halo. One pass: each row
-    explodes into itself plus at most two copies."""
+    ``front`` rows into the previous one, flagged as halo, when that block
+    exists. One pass: each row explodes into itself plus at most two copies."""
     p0 = F.col(POS) - 1
     at = F.pmod(p0, F.lit(block))
+    own = F.floor(p0 / block).cast("long")
     shifts = [F.lit(0)]
     if back:
-        shifts.append(F.when(at >= block - back, F.lit(1)))
+        has_next = (own + 1) * block < F.col(TOTAL)
+        shifts.append(F.when((at >= block - back) & has_next, F.lit(1)))
     if front:
-        shifts.append(F.when(at < front, F.lit(-1)))
+        shifts.append(F.when((at < front) & (own > 0), F.lit(-1)))
     # explode then drop the null shifts: plain expressions, all code-generated
     return (
         ranked.withColumn("__shift", F.explode(F.array(*shifts)))
         .filter(F.col("__shift").isNotNull())
-        .withColumn(BLK, F.floor(p0 / block).cast("long") + F.col("__shift"))
+        .withColumn(BLK, own + F.col("__shift"))
         .withColumn(HALO, F.col("__shift") != 0)
         .drop("__shift")
     )

@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tabsmith.operators import (
     close_matrix,
@@ -246,3 +247,36 @@ def test_intraday_segments(spark):
     s = pd.Series([float(100 + i % 13) for i in range(300)])
     np.testing.assert_allclose(got["ma20"].astype(float), s.rolling(20).mean(), rtol=1e-12, equal_nan=True)
     np.testing.assert_allclose(got["ret"].astype(float), s.pct_change(), rtol=1e-12, equal_nan=True)
+
+
+def test_hot_symbol_is_spread_over_blocks(spark):
+    from tabsmith.operators.timeseries import BLK, HALO, _with_halo, positions
+
+    hot = [("HOT", dt.date(2000, 1, 1) + dt.timedelta(days=i), float(i % 17 + 1)) for i in range(3000)]
+    cold = [("COLD", dt.date(2000, 1, 1) + dt.timedelta(days=i), 1.0) for i in range(30)]
+    df = spark.createDataFrame(hot + cold, "symbol string, dt date, close double")
+    framed = _with_halo(positions(df, "month"), back=49, front=1, block=500)
+    per_block = {
+        (r.symbol, r[BLK]): (r.rows, r.halo)
+        for r in framed.groupBy("symbol", BLK).agg(F.count("*").alias("rows"), F.sum(F.col(HALO).cast("int")).alias("halo")).collect()
+    }
+    hot_blocks = [k for k in per_block if k[0] == "HOT"]
+    assert len(hot_blocks) == 6  # 3000 rows in blocks of 500: no task holds the whole symbol
+    assert max(v[0] for v in per_block.values()) <= 500 + 49 + 1
+    assert per_block[("HOT", 0)] == (501, 1) and per_block[("HOT", 3)] == (550, 50)
+    assert per_block[("COLD", 0)] == (30, 0)
+
+
+def test_fill_gaps_with_windows_and_lead(spark):
+    from tabsmith.operators import sequence_views
+
+    closes = [1.0, None, 2.0, None, None, 4.0, 5.0, None]
+    df = spark.createDataFrame(
+        [("Z", dt.date(2020, 1, 1) + dt.timedelta(days=i), c) for i, c in enumerate(closes)], "symbol string, dt date, close double"
+    )
+    got = sequence_views(df, ret="ret", windows=[2], lead="nxt", fill_gaps=True, block=3).orderBy("dt").toPandas()
+    s = pd.Series(closes, dtype=float)
+    padded = s.ffill()
+    np.testing.assert_allclose(got["ret"].astype(float), padded / padded.shift(1) - 1, equal_nan=True)
+    np.testing.assert_allclose(got["ma2"].astype(float), s.rolling(2).mean(), equal_nan=True)
+    np.testing.assert_allclose(got["nxt"].astype(float), s.shift(-1), equal_nan=True)
