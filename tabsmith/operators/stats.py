@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.operators.quality import drop_missing
 from tabsmith.operators.timeseries import DT, SYMBOL, next_close, normalize_symbol
+from tabsmith.session import materialize
 
 
 def pair_corr(x: Column | str, y: Column | str) -> Column:
@@ -93,12 +94,16 @@ def corr_matrix(
     once and listed both ways. Symbols are processed in blocks of ``block``;
     each pair of blocks is one aggregate over the rows of at most ``2*block``
     symbols, and all blocks run as one job. Every pair is computed; nothing
-    is capped.
+    is capped. With more than one block the returns are checkpointed first,
+    so the block pairs do not each recompute them.
     """
     symbols = list(dict.fromkeys(symbols))
     if not symbols:
         raise ValueError("no symbols")
     chunks = [symbols[i : i + block] for i in range(0, len(symbols), block)]
+    if len(chunks) > 1:
+        # every block pair reads the returns: compute them once
+        returns = materialize(returns.select(SYMBOL, DT, value).filter(F.col(SYMBOL).isin(symbols)))
     parts = [
         _pair_block(returns, chunks[i], chunks[j], value, same=(i == j))
         for i in range(len(chunks))

@@ -23,6 +23,7 @@ RAW_ROWS = [
     ("t7", "2024-03-03", "5", "0.5", "BR 03", "Success", "g"),
     ("t7", "2024-03-03", "5", "0.5", "BR03", "Success", "g"),  # differs only in spacing
     ("t8", "2024-03-04", "7", "0.1", "BR04", None, "h"),
+    ("t9", "2024-03-05", "7", "0.1", "BR05", "", "i"),  # empty status is not failed
 ]
 
 
@@ -33,7 +34,7 @@ def raw(spark):
 
 def test_clean_transactions(raw):
     rows = clean_transactions(raw).collect()
-    assert sorted(r.Transaction_ID for r in rows) == ["t1", "t5", "t6", "t7", "t7", "t8"]
+    assert sorted(r.Transaction_ID for r in rows) == ["t1", "t5", "t6", "t7", "t7", "t8", "t9"]
     out = {(r.Transaction_ID, r.Branch_Code): r for r in rows}
     t1 = out[("t1", "BR01")]
     assert t1.Transaction_Date == dt.date(2024, 1, 31)
@@ -94,7 +95,7 @@ def test_jobs_over_nested_folders(spark, tmp_dir, raw):
         folder = os.path.join(tmp_dir, "raw", *["sub"] * depth)
         spark.createDataFrame(part, RAW_SCHEMA).coalesce(1).write.mode("overwrite").option("header", "true").csv(folder + "/batch")
     cleaned = run_cleaning(spark, tmp_dir + "/raw", tmp_dir + "/cleaned", schema=raw.schema)
-    assert cleaned.count() == 6
+    assert cleaned.count() == 7
     assert dict(cleaned.dtypes)["Branch_Code"] == "string"
     assert "007" in [r.Branch_Code for r in cleaned.collect()]
     failed = run_failed_extract(spark, tmp_dir + "/cleaned", tmp_dir + "/failed", schema=cleaned.schema)

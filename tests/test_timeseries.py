@@ -280,3 +280,12 @@ def test_fill_gaps_with_windows_and_lead(spark):
     np.testing.assert_allclose(got["ret"].astype(float), padded / padded.shift(1) - 1, equal_nan=True)
     np.testing.assert_allclose(got["ma2"].astype(float), s.rolling(2).mean(), equal_nan=True)
     np.testing.assert_allclose(got["nxt"].astype(float), s.shift(-1), equal_nan=True)
+
+
+@pytest.mark.parametrize("n", [1, 49, 50, 199, 200])
+def test_window_fill_boundaries(spark, n):
+    df = spark.createDataFrame(_series("S", n, 11), BAR_SCHEMA)
+    got = with_indicators(df).toPandas()
+    assert got["ma50"].notna().sum() == max(0, n - 49)
+    assert got["ma200"].notna().sum() == max(0, n - 199)
+    assert got["ret"].notna().sum() == n - 1 and got["next_close"].notna().sum() == n - 1
