@@ -17,6 +17,7 @@ from tabsmith.plans.sales import FINAL_SCHEMA, transform_sales
 from tabsmith.session import scratch_path
 from tabsmith.sinks import load_table, preview, write_csv
 from tabsmith.sources.files import read_csv, read_json
+from tabsmith.sources.registry import SourceSpec, load_sources
 from tabsmith.streaming.bank import run_failed_stream
 
 
@@ -58,6 +59,29 @@ def q_conform_sink(spark, sf_dir):
     return back.withColumn("INR_Amount", F.round("INR_Amount", 4)).withColumn("Amount", F.round("Amount", 4))
 
 
+def q_sales_feeds_load(spark, sf_dir):
+    """The sales load end to end through the source registry: the feeds are
+    written as CSV (three regions) and line-delimited JSON (two regions),
+    each folder partitioned by ``Country``, then read back as two sources,
+    unioned by name, cleaned, converted, conformed and loaded as a table."""
+    feed = _sales_feed(spark, sf_dir)
+    root = scratch_path(spark, "sales-feeds")
+    csv_regions, json_regions = ["AFRICA", "AMERICA", "ASIA"], ["EUROPE", "MIDDLE EAST"]
+    in_csv = feed.filter(F.col("Country").isin(csv_regions))
+    in_csv.write.partitionBy("Country").option("header", "true").csv(f"{root}/csv")
+    feed.filter(F.col("Country").isin(json_regions)).write.partitionBy("Country").json(f"{root}/json")
+    file_schema = feed.drop("Country").schema
+    specs = [
+        SourceSpec("csv", f"{root}/csv", options={"schema": file_schema}),
+        SourceSpec("json", f"{root}/json", options={"schema": file_schema, "multi_line": False}),
+    ]
+    cleaned = transform_sales(load_sources(spark, specs), rates=REGION_RATES, year_key="sale_key")
+    table_path = f"{root}/final_sales"
+    load_table(cleaned, path=table_path, schema=FINAL_SCHEMA)
+    back = spark.read.parquet(table_path)
+    return back.withColumn("INR_Amount", F.round("INR_Amount", 4)).withColumn("Amount", F.round("Amount", 4))
+
+
 def q_stream_failed(spark, sf_dir):
     cleaned = clean_transactions(transactions_from_orders(table(spark, sf_dir, "orders")))
     cleaned_dir = scratch_path(spark, "stream-in")
@@ -73,6 +97,7 @@ EXTRA_QUERIES = {
     "preview_clean": q_preview_clean,
     "json_round_trip": q_json_round_trip,
     "conform_sink": q_conform_sink,
+    "sales_feeds_load": q_sales_feeds_load,
     "stream_failed": q_stream_failed,
 }
 
@@ -81,5 +106,6 @@ EXTRA_ORACLE_SQL = {
     "csv_nested_read": "SELECT * FROM orders",
     "json_round_trip": "SELECT * FROM orders",
     "conform_sink": ORACLE_SQL["sales_load"],
+    "sales_feeds_load": ORACLE_SQL["sales_load"],
     "stream_failed": ORACLE_SQL["failed_extract"],
 }

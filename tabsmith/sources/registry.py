@@ -24,7 +24,9 @@ DB_KINDS = ("mysql", "postgres", "mssql", "jdbc", "derby")
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One feed. ``location`` is a path for files, a JDBC URL for databases."""
+    """One feed. ``location`` is a path for files, a JDBC URL for databases.
+    ``country`` tags every row; leave it ``None`` for a feed that carries its
+    own country column (e.g. a folder partitioned by ``Country=...``)."""
 
     kind: str
     location: str
@@ -50,7 +52,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, tag_column: str = "Countr
         df = read_jdbc(spark, spec.location, spec.table, kind=kind, **opts)
     else:
         raise ValueError(f"Unsupported source kind: {spec.kind}")
-    return tag(df, tag_column, spec.country) if tag_column else df
+    return tag(df, tag_column, spec.country) if tag_column and spec.country is not None else df
 
 
 def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], tag_column: str = "Country") -> DataFrame:
