@@ -10,9 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabsmith.plans.bank import clean_transactions
+from tabsmith.plans.bank import clean_transactions, run_cleaning, run_failed_extract
 from tabsmith.plans.bindings import REGION_RATES, transactions_from_orders
-from tabsmith.plans.catalog import ORACLE_SQL, _sales_feed, table
+from tabsmith.plans.catalog import (
+    _BARS,
+    ORACLE_SQL,
+    RANGE_END,
+    RANGE_START,
+    RANGE_SYMBOL,
+    _bars,
+    _sales_feed,
+    table,
+)
+from tabsmith.plans.stocks import stock_views
 from tabsmith.plans.sales import FINAL_SCHEMA, transform_sales
 from tabsmith.session import scratch_path
 from tabsmith.sinks import load_table, preview, write_csv
@@ -21,6 +31,10 @@ from tabsmith.sources.registry import SourceSpec, load_sources
 from tabsmith.streaming.bank import run_failed_stream
 
 
+# order status -> the status texts the raw transactions carry for it
+_STATUS_TEXT = {"F": ("Failed", "failed"), "O": ("Success",), "P": ("Declined",)}
+
+
 def q_csv_round_trip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "csv-round-trip")
@@ -82,6 +96,29 @@ def q_sales_feeds_load(spark, sf_dir):
     return back.withColumn("INR_Amount", F.round("INR_Amount", 4)).withColumn("Amount", F.round("Amount", 4))
 
 
+def q_bank_jobs(spark, sf_dir):
+    """Both bank jobs through files: raw transaction CSVs at three folder
+    depths -> cleaning job (recursive read, cleaned CSV folder) -> failed
+    extract job (failed CSV folder), read back."""
+    raw = transactions_from_orders(table(spark, sf_dir, "orders"))
+    root = scratch_path(spark, "bank")
+    for depth, status in enumerate(["F", "O", "P"]):
+        part = raw.filter(F.col("Transaction_Status").isin(*_STATUS_TEXT[status]))
+        write_csv(part, "/".join([f"{root}/raw"] + ["day"] * depth + [f"batch_{status}"]))
+    cleaned = run_cleaning(spark, f"{root}/raw", f"{root}/cleaned", schema=raw.schema)
+    return run_failed_extract(spark, f"{root}/cleaned", f"{root}/failed", schema=cleaned.schema)
+
+
+def q_stock_view_details(spark, sf_dir):
+    views = stock_views(_bars(spark, sf_dir), RANGE_SYMBOL, RANGE_START, RANGE_END, benchmark="2-high")
+    return views["details"]
+
+
+def q_stock_view_correlation(spark, sf_dir):
+    views = stock_views(_bars(spark, sf_dir), RANGE_SYMBOL, RANGE_START, RANGE_END, benchmark="2-high")
+    return views["correlation"].withColumn("corr", F.round("corr", 6))
+
+
 def q_stream_failed(spark, sf_dir):
     cleaned = clean_transactions(transactions_from_orders(table(spark, sf_dir, "orders")))
     cleaned_dir = scratch_path(spark, "stream-in")
@@ -98,6 +135,9 @@ EXTRA_QUERIES = {
     "json_round_trip": q_json_round_trip,
     "conform_sink": q_conform_sink,
     "sales_feeds_load": q_sales_feeds_load,
+    "bank_jobs": q_bank_jobs,
+    "stock_view_details": q_stock_view_details,
+    "stock_view_correlation": q_stock_view_correlation,
     "stream_failed": q_stream_failed,
 }
 
@@ -107,5 +147,21 @@ EXTRA_ORACLE_SQL = {
     "json_round_trip": "SELECT * FROM orders",
     "conform_sink": ORACLE_SQL["sales_load"],
     "sales_feeds_load": ORACLE_SQL["sales_load"],
+    "bank_jobs": ORACLE_SQL["failed_extract"],
+    "stock_view_details": f"""WITH {_BARS},
+        chosen AS (SELECT * FROM bars WHERE symbol = upper('{RANGE_SYMBOL}')
+                     AND dt >= DATE '{RANGE_START}' AND dt < DATE '{RANGE_END}'),
+        tail AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY dt DESC) AS rn FROM chosen) WHERE rn <= 180)
+        SELECT symbol, dt, open, high, low, close, volume,
+          CAST(row_number() OVER (ORDER BY dt) AS INTEGER) AS row_no
+        FROM tail QUALIFY row_no <= 5""",
+    "stock_view_correlation": f"""WITH {_BARS},
+        chosen AS (SELECT * FROM bars WHERE symbol IN ('2-HIGH', upper('{RANGE_SYMBOL}'))
+                     AND dt >= DATE '{RANGE_START}' AND dt < DATE '{RANGE_END}'),
+        rets AS (SELECT * FROM (
+          SELECT symbol, dt, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY dt), 0) - 1 AS ret
+          FROM chosen) WHERE ret IS NOT NULL)
+        SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, round(corr(a.ret, b.ret), 6) AS corr
+        FROM rets a JOIN rets b ON a.dt = b.dt GROUP BY 1, 2""",
     "stream_failed": ORACLE_SQL["failed_extract"],
 }
