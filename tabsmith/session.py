@@ -6,7 +6,6 @@ Library functions never build a session themselves; they take DataFrames.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -102,11 +101,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     return f"{root}/tabsmith-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local folders can be inspected in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

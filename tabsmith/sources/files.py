@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tabsmith.functions import null_tokens
@@ -81,6 +80,3 @@ def read_json(
         raise ValueError(f"no JSON records could be parsed from {path!r} (multi_line={multi_line})")
     return df
 
-
-def with_source_tag(df: DataFrame, name: str, value: str | None) -> DataFrame:
-    return df.withColumn(name, F.lit(value).cast("string"))

@@ -18,7 +18,6 @@ from tabsmith.sources.files import read_csv, read_json
 from tabsmith.sources.jdbc import read_jdbc
 from tabsmith.sources.xlsx import read_xlsx
 
-FILE_KINDS = ("csv", "json", "xlsx")
 DB_KINDS = ("mysql", "postgres", "mssql", "jdbc", "derby")
 
 

@@ -10,9 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tabsmith.session import get_session  # noqa: E402
 
-SF_SMOKE = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     warehouse = tempfile.mkdtemp(prefix="tabsmith-warehouse-")
