@@ -98,6 +98,9 @@ def positions(rows: DataFrame, unit: str = "month", by: str = SYMBOL) -> DataFra
             ).alias("__off"),
             F.sum("__cnt").over(per_symbol).alias(TOTAL),
         )
+        # partitioned like the rows (by symbol and segment), so a join that is
+        # not broadcast shuffles this small table, never the rows by symbol alone
+        .repartition(by, seg)
     )
     return (
         local.join(offsets, [by, seg])
@@ -152,7 +155,7 @@ def _filled_return(real: DataFrame, price: str, out: str) -> DataFrame:
         F.last("__last", ignorenulls=True)
         .over(Window.partitionBy(SYMBOL).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1))
         .alias("__carry"),
-    )
+    ).repartition(SYMBOL, BLK)
     w = _block_window()
     filled = real.join(carry, [SYMBOL, BLK]).withColumn(
         "__filled",
