@@ -50,3 +50,42 @@ def test_query_matches_duckdb(spark, name):
     assert check_oracle.canonical_rows(df.columns, [tuple(r) for r in df.collect()]) == check_oracle.canonical_rows(
         rel.columns, rel.fetchall()
     )
+
+
+JOIN_QUERIES = [
+    "convert_currency",
+    "convert_rate_table",
+    "sales_load",
+    "daily_return",
+    "corr_benchmark",
+    "next_close_predict",
+    "return_histogram",
+    "return_kde",
+    "page_3",
+]
+
+
+@pytest.mark.parametrize("name", JOIN_QUERIES)
+def test_shuffle_join_plans_match_duckdb(spark, name):
+    """The plans a very large input gets: no broadcast at all, every join a
+    shuffle join. Results must not depend on the join strategy."""
+    import check_oracle
+
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = entry.queries()[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        rel = check_oracle.duck(SF).sql(entry.oracle_sql()[name])
+        assert check_oracle.canonical_rows(df.columns, [tuple(r) for r in df.collect()]) == check_oracle.canonical_rows(
+            rel.columns, rel.fetchall()
+        )
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
