@@ -67,3 +67,26 @@ def test_preview_and_scratch(spark):
     root = checkpoint_root(spark)
     assert root and scratch_path(spark, "x").startswith(root)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.one_of(st.none(), st.floats(0.5, 500.0, allow_nan=False)), min_size=1, max_size=60),
+    st.integers(1, 9),
+    st.integers(1, 6),
+    st.sampled_from(["day", "week", "month"]),
+)
+def test_sequence_views_match_pandas(spark, closes, block, n, unit):
+    import datetime as dt
+
+    import pandas as pd
+
+    from tabsmith.operators import sequence_views
+
+    rows = [("P", dt.date(2021, 1, 1) + dt.timedelta(days=3 * i), c) for i, c in enumerate(closes)]
+    df = spark.createDataFrame(rows, "symbol string, dt date, close double")
+    got = sequence_views(df, ret="ret", windows=[n], lead="nxt", unit=unit, block=block).orderBy("dt").toPandas()
+    s = pd.Series(closes, dtype=float)
+    np.testing.assert_allclose(got["ret"].astype(float), s / s.shift(1) - 1, rtol=1e-12, equal_nan=True)
+    np.testing.assert_allclose(got[f"ma{n}"].astype(float), s.rolling(n).mean(), rtol=1e-9, equal_nan=True)
+    np.testing.assert_allclose(got["nxt"].astype(float), s.shift(-1), rtol=0, equal_nan=True)
