@@ -36,6 +36,12 @@ def pair_corr(x: Column | str, y: Column | str) -> Column:
     return F.try_divide(F.covar_samp(xp, yp), F.stddev_samp(xp) * F.stddev_samp(yp))
 
 
+def _self_or_pair(x: str, y: str, same: bool) -> Column:
+    """A series with itself correlates exactly 1 whenever it varies at all."""
+    c = pair_corr(x, y)
+    return F.when(c.isNotNull(), F.lit(1.0)) if same else c
+
+
 def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -> DataFrame:
     """Pearson correlation of every symbol's ``value`` with the benchmark's,
     over the dates where both are present. The benchmark itself is listed
@@ -47,6 +53,7 @@ def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -
         .join(bench, DT)
         .groupBy(SYMBOL)
         .agg(pair_corr(value, "__bench").alias("corr"), F.count(F.col(value) * F.col("__bench")).alias("n_pairs"))
+        .withColumn("corr", F.when((F.col(SYMBOL) == bench_symbol) & F.col("corr").isNotNull(), F.lit(1.0)).otherwise(F.col("corr")))
         .withColumn("benchmark", F.lit(bench_symbol))
     )
 
@@ -72,7 +79,7 @@ def _pair_block(returns: DataFrame, left: list[str], right: list[str], value: st
         pairs = [(a, b) for i, a in enumerate(left) for b in left[i:]]
     else:
         pairs = [(a, b) for a in left for b in right]
-    aggs = [pair_corr(names[a], names[b]).alias(f"__c{k}") for k, (a, b) in enumerate(pairs)]
+    aggs = [_self_or_pair(names[a], names[b], a == b).alias(f"__c{k}") for k, (a, b) in enumerate(pairs)]
     cells = []
     for k, (a, b) in enumerate(pairs):
         for x, y in ((a, b), (b, a)) if a != b else ((a, b),):

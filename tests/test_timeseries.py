@@ -131,7 +131,9 @@ def test_correlations(bars, bars_pd):
         for b in syms:
             assert got[(a, b)] == pytest.approx(exp.loc[a, b], rel=1e-9)
             assert got[(a, b)] == pytest.approx(got[(b, a)], rel=1e-12)
+    assert all(got[(a, a)] == 1.0 for a in syms)
     bench = {x.symbol: x.corr for x in corr_with(rets, "aaa").collect()}
+    assert bench["AAA"] == 1.0
     assert bench["AAA"] == pytest.approx(1.0) and bench["BBB"] == pytest.approx(exp.loc["BBB", "AAA"], rel=1e-9)
     assert bench["FLAT"] is None  # flat series: no correlation, and no division error
     assert "ONE" not in bench  # a single bar has no return
