@@ -20,8 +20,8 @@ DRIVERS = {
 def quote_name(kind: str, table: str) -> str:
     """Quote a mixed-case table name where the database folds case.
 
-    PostgreSQL folds unquoted names to lower case, so ``Norway_Sales`` must be
-    written ``"Norway_Sales"``.
+    PostgreSQL folds unquoted names to lower case, so ``Region_Sales`` must be
+    written ``"Region_Sales"``.
     """
     if kind == "postgres" and not table.startswith('"') and table != table.lower():
         return f'"{table}"'

@@ -28,7 +28,7 @@ def test_bank_jobs_from_the_command_line(spark, tmp_dir):
 
 
 def test_sales_from_the_command_line(spark, tmp_dir):
-    csv_path, json_path = f"{tmp_dir}/Japan_Sales.csv", f"{tmp_dir}/SriLanka_Sales.json"
+    csv_path, json_path = f"{tmp_dir}/japan_feed.csv", f"{tmp_dir}/srilanka_feed.json"
     with open(csv_path, "w") as f:
         f.write("SaleId,Category,Product,Qty,Sale\nJ1,Shoes,a,2,10\nJ2,Shoes,b,NA,3\n")
     with open(json_path, "w") as f:

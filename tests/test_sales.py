@@ -74,11 +74,11 @@ def test_load_table_refuses_empty(spark, tmp_dir):
 
 def test_sources_end_to_end(spark, tmp_dir):
     # CSV with pandas-style missing tokens and an extra column; JSON array of records.
-    csv_path = tmp_dir + "/Japan_Sales.csv"
+    csv_path = tmp_dir + "/japan_feed.csv"
     with open(csv_path, "w") as f:
         f.write("SaleId,Category,Product,Qty,Sale\n")
         f.write("J1,Shoes,Run,2,10.5\nJ2,Jeans,Blue,NA,5\nJ3,Jeans,Blue,null,5\nJ4,Tshirts,Red,1,3\n")
-    json_path = tmp_dir + "/SriLanka_Sales.json"
+    json_path = tmp_dir + "/srilanka_feed.json"
     with open(json_path, "w") as f:
         json.dump([{"SaleId": "S1", "Category": "Shoes", "Product": "P", "Qty": 4, "Sale": 2.5}], f, indent=2)
     specs = [

@@ -77,7 +77,7 @@ def test_read_xlsx_many_workbooks(spark, tmp_dir):
 
 
 def test_xlsx_source_in_registry(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "HongKong_Sales.xlsx")
+    path = os.path.join(tmp_dir, "hongkong_feed.xlsx")
     write_workbook(path, [["SaleId", "Category", "Product", "Qty", "Sale"], ["K1", "Shoes", "x", 1, 2]])
     df = load_sources(spark, [SourceSpec("xlsx", path, "HongKong")])
     assert [(r.SaleId, r.Country) for r in df.collect()] == [("K1", "HongKong")]
@@ -123,6 +123,6 @@ def test_jdbc_round_trip_and_partitioned_read(spark):
 
 
 def test_quote_name():
-    assert quote_name("postgres", "Norway_Sales") == '"Norway_Sales"'
+    assert quote_name("postgres", "Region_Sales") == '"Region_Sales"'
     assert quote_name("postgres", "sales") == "sales"
-    assert quote_name("mysql", "Oman_Sales") == "Oman_Sales"
+    assert quote_name("mysql", "Region_Sales") == "Region_Sales"

@@ -20,14 +20,14 @@ def _apply(spark, values, fn):
 
 
 def test_golden_values(spark):
-    # Expected outputs of the reference's string demo.
-    name, phrase = "Veera Swamy", "hi hello good morning"
-    assert _apply(spark, [name], upper_case) == ["VEERA SWAMY"]
-    assert _apply(spark, [name], lower_case) == ["veera swamy"]
+    # The string demo's cases, with a name of our own as input.
+    name, phrase = "Ada Lovelace", "hi hello good morning"
+    assert _apply(spark, [name], upper_case) == ["ADA LOVELACE"]
+    assert _apply(spark, [name], lower_case) == ["ada lovelace"]
     assert _apply(spark, [phrase], title_case) == ["Hi Hello Good Morning"]
-    assert _apply(spark, [name], swap_case) == ["vEERA sWAMY"]
+    assert _apply(spark, [name], swap_case) == ["aDA lOVELACE"]
     assert _apply(spark, [phrase], capitalize) == ["Hi hello good morning"]
-    assert _apply(spark, [name], char_length) == [11]
+    assert _apply(spark, [name], char_length) == [12]
 
 
 def test_title_rules_differ_after_non_letters(spark):
