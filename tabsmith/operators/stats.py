@@ -126,13 +126,7 @@ def _training_rows(bars: DataFrame, price: str) -> DataFrame:
     return drop_missing(with_target, with_target.columns)
 
 
-def fit_next_close(bars: DataFrame, price: str = "close") -> DataFrame:
-    """Least squares ``next_close = slope * close + intercept`` per symbol.
-
-    A flat series (no variance in ``close``) gets slope 0 and the mean target
-    as intercept, the minimum-norm least-squares answer.
-    """
-    rows = _training_rows(bars, price)
+def _fit(rows: DataFrame, price: str) -> DataFrame:
     y, x = F.col("next_close"), F.col(price)
     return rows.groupBy(SYMBOL).agg(
         F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias("slope"),
@@ -142,10 +136,20 @@ def fit_next_close(bars: DataFrame, price: str = "close") -> DataFrame:
     )
 
 
+def fit_next_close(bars: DataFrame, price: str = "close") -> DataFrame:
+    """Least squares ``next_close = slope * close + intercept`` per symbol.
+
+    A flat series (no variance in ``close``) gets slope 0 and the mean target
+    as intercept, the minimum-norm least-squares answer.
+    """
+    return _fit(_training_rows(bars, price), price)
+
+
 def predict_next_close(bars: DataFrame, price: str = "close", fit: DataFrame | None = None) -> DataFrame:
-    """In-sample prediction on the same rows the fit used."""
+    """In-sample prediction on the same rows the fit used (derived once and
+    shared by the fit and the prediction)."""
     rows = _training_rows(bars, price)
-    coef = (fit if fit is not None else fit_next_close(bars, price)).select(SYMBOL, "slope", "intercept")
+    coef = (fit if fit is not None else _fit(rows, price)).select(SYMBOL, "slope", "intercept")
     return (
         rows.join(coef, SYMBOL)
         .withColumn("predicted", F.col("slope") * F.col(price) + F.col("intercept"))
