@@ -72,19 +72,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Only when nothing is configured (a test or a laptop run) is a local
     temporary folder made and registered, so ``DataFrame.checkpoint()`` and
-    :func:`scratch_path` work there too.
+    :func:`scratch_path` work there too. Under Spark Connect there is no
+    driver-side context; the server's configuration is used as it is.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        context = spark.sparkContext
+    except Exception:  # Spark Connect: checkpointing is configured on the server
+        return (configured or "").rstrip("/")
     if configured:
-        current = spark.sparkContext.getCheckpointDir()
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    context.setCheckpointDir(local)
     return local
 
 

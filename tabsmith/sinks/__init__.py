@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,12 @@ def _qualified(df: DataFrame, path: str) -> tuple[str, str, str]:
     """``(scheme, authority, path)`` of ``path`` qualified against the default
     file system, so ``/x``, ``file:/x`` and ``file:///x`` compare equal."""
     spark = df.sparkSession
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return _split(fs.makeQualified(hpath).toString())
+    try:
+        hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        return _split(fs.makeQualified(hpath).toString())
+    except Exception:  # no driver JVM (Spark Connect): qualify a bare path as local
+        return _split(path if urlsplit(path).scheme else "file://" + os.path.abspath(path))
 
 
 def _split(uri: str) -> tuple[str, str, str]:
