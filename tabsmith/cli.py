@@ -1,7 +1,7 @@
 """Command-line entry for the three jobs (``python -m tabsmith ...`` or
 ``spark-submit tabsmith/cli.py ...``).
 
-    clean   --raw DIR --out DIR [--schema DDL]
+    clean   --raw DIR --out DIR [--schema DDL] [--preview N]
     failed  --cleaned DIR --out DIR [--schema DDL]
     sales   --sources SPECS.json (--table NAME | --path DIR) [--seed N]
     stocks  --bars PATH --out DIR [--symbol S ...] [--benchmark B] [--start D] [--end D] [--page N]
@@ -23,7 +23,7 @@ from tabsmith.plans.bank import run_cleaning, run_failed_extract
 from tabsmith.plans.sales import run_sales_load
 from tabsmith.plans.stocks import BENCHMARK, DEFAULT_END, DEFAULT_START, DEFAULT_SYMBOL, stock_views
 from tabsmith.session import get_session
-from tabsmith.sinks import refuse_overwriting_inputs
+from tabsmith.sinks import preview, refuse_overwriting_inputs
 from tabsmith.sources.registry import SourceSpec
 
 
@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--raw", required=True)
     clean.add_argument("--out", required=True)
     clean.add_argument("--schema", help="DDL schema of the raw files (default: all text)")
+    clean.add_argument("--preview", type=int, default=5, help="show this many cleaned rows (0: none)")
 
     failed = sub.add_parser("failed", help="extract failed and declined transactions")
     failed.add_argument("--cleaned", required=True)
@@ -63,7 +64,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def run(args: argparse.Namespace, spark: SparkSession) -> None:
     if args.job == "clean":
-        run_cleaning(spark, args.raw, args.out, schema=args.schema)
+        cleaned = run_cleaning(spark, args.raw, args.out, schema=args.schema)
+        if args.preview:
+            preview(cleaned, args.preview).show(truncate=False)
     elif args.job == "failed":
         run_failed_extract(spark, args.cleaned, args.out, schema=args.schema)
     elif args.job == "sales":
