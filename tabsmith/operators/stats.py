@@ -2,11 +2,13 @@
 equal-width histogram and Gaussian kernel density.
 
 All are built from Spark aggregates that have a map-side partial step
-(``corr``, ``regr_*``, ``min``/``max``, ``sum``), so a symbol holding a large
-share of the rows is pre-aggregated in every task before the shuffle. Small
-per-symbol tables (coefficients, ranges, bandwidths) are joined back without a
-hint: adaptive execution broadcasts them once their measured size is known to
-be under the threshold, and falls back to a shuffle join otherwise.
+(``covar_samp``/``stddev_samp``, ``regr_*``, ``min``/``max``, ``sum``), so a
+symbol holding a large share of the rows is pre-aggregated in every task
+before the shuffle. Small per-symbol tables (coefficients, ranges,
+bandwidths) are joined back without a hint: Spark broadcasts them when their
+size is known to be under the threshold (statically or, with adaptive
+execution, once measured), and otherwise uses a shuffle join whose skewed
+partitions adaptive execution splits.
 """
 
 from __future__ import annotations
