@@ -106,7 +106,7 @@ def corr_matrix(
     is capped. With more than one block the returns are checkpointed first,
     so the block pairs do not each recompute them.
     """
-    symbols = list(dict.fromkeys(symbols))
+    symbols = list(dict.fromkeys(normalize_symbol(s) for s in symbols))
     if not symbols:
         raise ValueError("no symbols")
     chunks = [symbols[i : i + block] for i in range(0, len(symbols), block)]

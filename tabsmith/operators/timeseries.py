@@ -286,4 +286,5 @@ def close_matrix(bars: DataFrame, symbols: Sequence[str], price: str = "close")
     Pivot values are passed explicitly, so Spark does not run a job to find
     them; it is a single hash aggregate on ``dt``.
     """
-    return bars.groupBy(DT).pivot(SYMBOL, list(symbols)).agg(F.first(price, ignorenulls=True))
+    wanted = [normalize_symbol(s) for s in symbols]
+    return bars.groupBy(DT).pivot(SYMBOL, wanted).agg(F.first(price, ignorenulls=True))

@@ -42,11 +42,13 @@ def run_failed_stream(
     fmt: str = "parquet",
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream. ``available_now`` processes what is there and stops;
-    otherwise it keeps running with ``processing_time`` triggers."""
+    """Start the stream. ``available_now`` processes what is there and stops
+    (in several micro-batches when ``max_files_per_trigger`` bounds their
+    size); otherwise it keeps running with ``processing_time`` triggers."""
     writer = (
-        failed_stream(spark, cleaned_dir, schema)
+        failed_stream(spark, cleaned_dir, schema, max_files_per_trigger)
         .writeStream.format(fmt)
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")

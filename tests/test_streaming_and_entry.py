@@ -20,7 +20,7 @@ def test_failed_stream_is_incremental(spark, tmp_dir):
     run_failed_stream(spark, inbox, out, ckpt, cleaned.schema).awaitTermination()
     n1 = spark.read.parquet(out).count()
     write_csv(second, inbox, mode="append")  # new files arrive in the same folder
-    run_failed_stream(spark, inbox, out, ckpt, cleaned.schema).awaitTermination()
+    run_failed_stream(spark, inbox, out, ckpt, cleaned.schema, max_files_per_trigger=1).awaitTermination()
     total = spark.read.parquet(out)
     expected = cleaned.filter("Transaction_Status IN ('Failed', 'Declined')")
     assert 0 < n1 < total.count() == expected.count()

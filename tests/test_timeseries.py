@@ -187,7 +187,7 @@ def test_extremes_and_close_matrix(bars, bars_pd):
     a = bars_pd[bars_pd.symbol == "AAA"]
     assert got["AAA"].highest == a["high"].max() and got["AAA"].lowest == a["low"].min()
     assert got["AAA"].highest_txt == f"${a['high'].max():.2f}"
-    wide = close_matrix(bars, ["AAA", "BBB"]).toPandas().set_index("dt").sort_index()
+    wide = close_matrix(bars, ["aaa", "BBB"]).toPandas().set_index("dt").sort_index()
     exp = bars_pd.pivot(index="dt", columns="symbol", values="close")[["AAA", "BBB"]]
     exp = exp.dropna(how="all")
     assert len(wide) == len(bars_pd[bars_pd.symbol.isin(["AAA", "BBB", "CCC", "FLAT", "ONE"])]["dt"].unique())
