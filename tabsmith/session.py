@@ -70,9 +70,10 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a test or a laptop run) is a local
-    temporary folder made and registered, so ``DataFrame.checkpoint()`` and
-    :func:`scratch_path` work there too. Under Spark Connect there is no
+    Only when nothing is configured and the master is local (a test or a
+    laptop run) is a local temporary folder made and registered, so
+    ``DataFrame.checkpoint()`` and :func:`scratch_path` work there too; a
+    cluster session without the setting is an error. Under Spark Connect there is no
     driver-side context; the server's configuration is used as it is.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -87,6 +88,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not context.master.startswith("local"):
+        # executors on other machines could not read a driver-local folder
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
     context.setCheckpointDir(local)
     return local

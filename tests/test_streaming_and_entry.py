@@ -89,3 +89,28 @@ def test_shuffle_join_plans_match_duckdb(spark, name):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_cluster_session_needs_a_shared_checkpoint_folder():
+    """Without spark.checkpoint.dir a non-local session must not fall back to
+    a folder on the driver's own disk."""
+    import pytest
+
+    from tabsmith.session import checkpoint_root
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "spark://head:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session())
