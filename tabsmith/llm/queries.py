@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import packing, token_files
+from tabsmith.llm import embedding_dedup, packing, simhash_dedup, token_files
 from tabsmith.llm.common import table
 from tabsmith.session import scratch_path
 
@@ -25,6 +25,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
@@ -33,6 +42,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op10_token_files": op10_token_files,
 }
 
