@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import embedding_dedup, packing, simhash_dedup, token_files
-from tabsmith.llm.common import table
+from tabsmith.llm import embedding_dedup, language, packing, simhash_dedup, token_files
+from tabsmith.llm.common import held_out, table
 from tabsmith.session import scratch_path
 
 
@@ -25,6 +25,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs.filter(~held_out("doc_id"))))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
 
@@ -42,6 +48,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op4_language_id": op4_language_id,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op10_token_files": op10_token_files,
