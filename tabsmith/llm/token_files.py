@@ -42,55 +42,61 @@ BLOCK_SCHEMA = (
 
 def compress(ids: np.ndarray, doc_lengths: np.ndarray, n_terminals: int, rounds: int = ROUNDS, pairs: int = PAIRS, min_count: int = MIN_COUNT):
     """(symbols, symbols per document, rules as an (n, 2) array, rule lengths)."""
-    s = ids.astype(np.int64)
+    s = ids.astype(np.uint32)
     last = np.zeros(len(s), dtype=bool)
     last[np.cumsum(doc_lengths) - 1] = True
     rules: list[np.ndarray] = []
     lengths = np.ones(n_terminals, dtype=np.int64)
-    for _ in range(rounds):
-        if len(s) < 2:
+    for turn in range(rounds):
+        at, rank, made = _replaceable(s, last, pairs, min_count, turn)
+        if not len(made):
             break
-        size = len(lengths)
-        key = s[:-1] * size + s[1:]
-        key[last[:-1]] = -1
-        best = _frequent(key, pairs, min_count)
-        if not len(best):
-            break
-        ordered = np.argsort(best)
-        at = np.searchsorted(best[ordered], key)
-        at[at == len(best)] = 0
-        found = best[ordered][at] == key
-        rank = np.full(len(key) + 2, len(best), dtype=np.int32)  # a border on either side
-        rank[1:-1][found] = ordered[at[found]]
-        mid = rank[1:-1]
-        take = np.flatnonzero(found & (mid < rank[:-2]) & (mid <= rank[2:]))
-        s[take] = size + mid[take]
-        last[take] = last[take + 1]
+        # where two replaceable pairs overlap, the more frequent one wins; in a run of one pair, the first
+        ranks = np.full(len(s) + 1, len(made), dtype=np.int32)
+        ranks[at + 1] = rank
+        wins = (rank < ranks[at]) & (rank <= ranks[np.minimum(at + 2, len(s))])
+        at, rank = at[wins], rank[wins]
+        s[at] = len(lengths) + rank
+        last[at] = last[at + 1]
         keep = np.ones(len(s), dtype=bool)
-        keep[take + 1] = False
+        keep[at + 1] = False
         s, last = s[keep], last[keep]
-        made = np.stack([best // size, best % size], axis=1)
         rules.append(made)
         lengths = np.concatenate([lengths, lengths[made[:, 0]] + lengths[made[:, 1]]])
     per_doc = np.diff(np.flatnonzero(last), prepend=-1)
     return s, per_doc, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64), lengths[n_terminals:]
 
 
-def _frequent(key: np.ndarray, most: int, min_count: int) -> np.ndarray:
-    """The most frequent keys that are not negative, by count and then key.
+def _replaceable(s: np.ndarray, last: np.ndarray, most: int, min_count: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places of the most frequent pairs, their rank by frequency, the pairs).
 
-    Counted in hashed cells first, so that only the pairs in well-filled cells
-    are sorted; the counts that decide are exact.
+    Pairs are counted in hashed cells. A cell stands for the pair that last fell
+    into it, nearly always its most frequent one, and that pair's own
+    occurrences are then counted; a pair hidden by another has its chance in the
+    next turn, which hashes otherwise.
     """
     bits = 20
-    cell = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
-    valid = key >= 0
-    filled = np.bincount(cell[valid], minlength=1 << bits)
-    least = max(min_count, np.partition(filled, -most)[-most])
-    keys, counts = np.unique(key[valid & (filled[cell] >= least)], return_counts=True)
-    good = counts >= min_count
-    keys, counts = keys[good], counts[good]
-    return keys[np.lexsort((keys, -counts))[:most]]
+    mixed = s[:-1] * np.uint32(0x9E3779B1 + 2 * turn) ^ s[1:] * np.uint32(0x85EBCA6B + 2 * turn)
+    cell = ((mixed ^ mixed >> np.uint32(15)) * np.uint32(0xC2B2AE35) >> np.uint32(32 - bits)).astype(np.int64)
+    cell[last[:-1]] = 1 << bits  # no pair reaches over the end of a document
+    filled = np.bincount(cell, minlength=(1 << bits) + 1)
+    filled[-1] = 0
+    sizes = np.bincount(np.minimum(filled, 1 << 16))
+    enough = np.flatnonzero(np.cumsum(sizes[::-1])[::-1] <= most)  # fillings that at most so many cells reach
+    at = np.flatnonzero(filled[cell] >= max(min_count, int(enough[0]) if len(enough) else 1 << 16))
+    cell, key = cell[at], s[at].astype(np.int64) << 32 | s[at + 1]
+    owner = np.zeros((1 << bits) + 1, dtype=np.int64)
+    owner[cell] = key
+    mine = owner[cell] == key
+    at, cell = at[mine], cell[mine]
+    counts = np.bincount(cell, minlength=(1 << bits) + 1)
+    cells = np.flatnonzero(counts >= min_count)
+    cells = cells[np.lexsort((owner[cells], -counts[cells]))]
+    rank = np.full((1 << bits) + 1, -1, dtype=np.int32)
+    rank[cells] = np.arange(len(cells), dtype=np.int32)
+    ranks = rank[cell]
+    good = ranks >= 0
+    return at[good], ranks[good], np.stack([owner[cells] >> 32, owner[cells] & 0xFFFFFFFF], axis=1)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, n_terminals: int) -> np.ndarray:
@@ -207,9 +213,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield arrow_table(columns, types)
 
     blocks = read_blocks(spark, path)
-    # one row per file: its ids, and those of all files before it
+    # one row per file, as many as the write had partitions: its ids, and those of all files before it
     sizes = blocks.groupBy(F.col("shard").alias("of")).agg(F.sum("n_ids").alias("size"))
     before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("of", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
     found = map_batches(blocks, decode, "shard int, doc_id long, local long, n_tokens long, ids binary")
-    return found.join(starts, found.shard == starts.of).select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
+    return found.join(F.broadcast(starts), found.shard == starts.of).select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
