@@ -75,7 +75,7 @@ def _replaceable(s: np.ndarray, last: np.ndarray, most: int, min_count: int, tur
     occurrences are then counted; a pair hidden by another has its chance in the
     next turn, which hashes otherwise.
     """
-    bits = 20
+    bits = 18
     mixed = s[:-1] * np.uint32(0x9E3779B1 + 2 * turn) ^ s[1:] * np.uint32(0x85EBCA6B + 2 * turn)
     cell = ((mixed ^ mixed >> np.uint32(15)) * np.uint32(0xC2B2AE35) >> np.uint32(32 - bits)).astype(np.int64)
     cell[last[:-1]] = 1 << bits  # no pair reaches over the end of a document
@@ -101,11 +101,20 @@ def _replaceable(s: np.ndarray, last: np.ndarray, most: int, min_count: int, tur
 
 def expand(symbols: np.ndarray, rules: np.ndarray, n_terminals: int) -> np.ndarray:
     """The ids that the symbols stand for."""
-    s = symbols.astype(np.int64)
-    while len(s):
-        made = s >= n_terminals
-        if not made.any():
-            break
+    made = _expand_by_level(np.arange(n_terminals, n_terminals + len(rules)), rules, n_terminals)
+    flat = np.concatenate([np.arange(n_terminals), made])
+    lengths = np.ones(n_terminals + len(rules), dtype=np.int64)
+    for k, (a, b) in enumerate(rules.tolist(), n_terminals):
+        lengths[k] = lengths[a] + lengths[b]
+    offsets = np.cumsum(lengths) - lengths
+    sizes = lengths[symbols]
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(offsets[symbols] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _expand_by_level(s: np.ndarray, rules: np.ndarray, n_terminals: int) -> np.ndarray:
+    """Replace rules by their pairs until none is left."""
+    while (made := s >= n_terminals).any():
         place = np.cumsum(1 + made) - (1 + made)
         out = np.empty(len(s) + int(made.sum()), dtype=np.int64)
         rule = rules[s[made] - n_terminals]
