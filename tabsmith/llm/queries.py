@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import embedding_dedup, language, packing, quality, simhash_dedup, token_files, toxicity
+from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, packing, quality, simhash_dedup, token_files, toxicity
 from tabsmith.llm.common import held_out, table
 from tabsmith.session import scratch_path
 
@@ -20,6 +20,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.filter(~held_out("doc_id")))
@@ -38,6 +42,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
 
@@ -53,6 +61,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
@@ -60,12 +72,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_language_id": op4_language_id,
+    "op5_decontaminate": op5_decontaminate,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_quality": op8_quality,
+    "op9_html_text": op9_html_text,
     "op10_token_files": op10_token_files,
 }
 
