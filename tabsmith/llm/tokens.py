@@ -67,9 +67,9 @@ class Encoder:
             return text.lower().split()
         if any(run in text for run in _RUNS):
             return None
-        pieces = text.split(" ")  # each but the first begins with its space
-        pieces[0] = "\n" + pieces[0]  # the mark of a piece without one
-        return pieces
+        # each piece but the first, and but those around a line break, begins with
+        # its space; "\n" is the mark of a piece without one
+        return ("\n" + text.replace("\n", " \n\n \n")).split(" ")
 
     def _plain(self, piece: str) -> str:
         if self.mode == "dropped":
@@ -78,13 +78,7 @@ class Encoder:
 
     def _parts(self, piece: str) -> tuple[str, ...]:
         """Cut a piece further, where that is exact: before a final full stop or
-        comma after a letter, and around a single line break."""
-        if self.mode == "spaced" and "\n" in piece[1:]:
-            first, *rest = piece[1:].split("\n") if piece[0] == "\n" else piece.split("\n")
-            out = list(self._parts("\n" + first if piece[0] == "\n" else first))
-            for part in rest:
-                out += ["\n\n", *self._parts("\n" + part)]
-            return tuple(out)
+        comma after a letter."""
         if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha():
             return piece[:-1], piece[-1] if self.mode == "dropped" else "\n" + piece[-1]
         return (piece,)
@@ -99,18 +93,18 @@ class Encoder:
         for pieces in cut:
             if pieces is not None:
                 wanted.update(pieces)
-        fresh = {p: self._parts(p) for p in wanted if p not in cache}
+        known = {p: cache.get(p) for p in wanted}  # a small table for this call
+        fresh = {p: self._parts(p) for p, ids in known.items() if ids is None}
         atoms = {a for parts in fresh.values() for a in parts if a not in cache}
         words = [a for a in atoms if a.isalpha()]
         cache.update(zip(words, self._encode_words(words), strict=True))
         atoms = [a for a in atoms if not a.isalpha()]
         cache.update(zip(atoms, self._encode([self._plain(a) for a in atoms]), strict=True))
         for piece, parts in fresh.items():
-            if len(parts) > 1:
-                cache[piece] = b"".join([cache[a] for a in parts])
+            known[piece] = b"".join([cache[a] for a in parts])
         whole = [i for i, pieces in enumerate(cut) if pieces is None]
         found = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
-        return [found[i] if pieces is None else b"".join([cache[p] for p in pieces]) for i, pieces in enumerate(cut)]
+        return [found[i] if pieces is None else b"".join([known[p] for p in pieces]) for i, pieces in enumerate(cut)]
 
 
 def _mode(spec: dict) -> str | None:
