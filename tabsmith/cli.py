@@ -30,6 +30,8 @@ from tabsmith.sources.registry import SourceSpec
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tabsmith")
     p.add_argument("--cluster", action="store_true", help="large-cluster partition sizing")
+    p.add_argument("--input-bytes", type=float, default=2 * 1024**4, help="size of the input that --cluster sizes shuffles for")
+    p.add_argument("--shuffle-partitions", type=int, help="partitions of a shuffle, instead of those sized from the input")
     sub = p.add_subparsers(dest="job", required=True)
 
     clean = sub.add_parser("clean", help="clean raw transaction CSV files")
@@ -84,7 +86,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = get_session(app=f"tabsmith-{args.job}", cluster=args.cluster)
+    spark = get_session(app=f"tabsmith-{args.job}", cluster=args.cluster, input_bytes=int(args.input_bytes), shuffle_partitions=args.shuffle_partitions)
     run(args, spark)
     return 0
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions._col import ColumnOrName, to_col
 
-# Runs of letters or of non-letters; Python's str.title() starts a new word
-# after every uncased character, which is what splitting into runs models.
-LETTER_RUNS = r"(\p{L}+|\P{L}+)"
+# Runs of cased letters or of anything else; Python's str.title() starts a new
+# word after every uncased character, which is what splitting into runs models.
+CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
 
 def upper_case(c: ColumnOrName) -> Column:
@@ -32,13 +32,13 @@ def title_case(c: ColumnOrName, python_rules: bool = False) -> Column:
     """Upper-case the first letter of every word, lower-case the rest.
 
     Default is Spark's ``initcap`` (words split on white space only). With
-    ``python_rules=True`` a word restarts after any non-letter, as in
+    ``python_rules=True`` a word restarts after any character without case, as in
     Python's ``str.title()`` ("they're" -> "They'Re", "3rd" -> "3Rd").
     """
     c = to_col(c)
     if not python_rules:
         return F.initcap(c)
-    runs = F.regexp_extract_all(c, F.lit(LETTER_RUNS), 1)
+    runs = F.regexp_extract_all(c, F.lit(CASED_RUNS), 1)
     return F.when(c.isNotNull(), F.concat_ws("", F.transform(runs, _capitalize_run)))
 
 

@@ -5,127 +5,166 @@ All are built from Spark aggregates that have a map-side partial step
 (``covar_samp``/``stddev_samp``, ``regr_*``, ``min``/``max``, ``sum``), so a
 symbol holding a large share of the rows is pre-aggregated in every task
 before the shuffle. Small per-symbol tables (coefficients, ranges,
-bandwidths) are joined back without a hint: Spark broadcasts them when their
-size is known to be under the threshold (statically or, with adaptive
-execution, once measured), and otherwise uses a shuffle join whose skewed
-partitions adaptive execution splits.
+bandwidths) are joined back on the symbol and a salt (``join_back_spread``):
+adaptive execution does not split a skewed partition whose other side is an
+aggregate, so the symbol's rows are spread before the join.
+
+Null and NaN are both missing.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabsmith.operators._joins import join_back, join_back_spread
 from tabsmith.operators.quality import drop_missing
 from tabsmith.operators.timeseries import DT, SYMBOL, next_close, normalize_symbol
 from tabsmith.session import materialize
 
 
+def _present(df: DataFrame, value: str) -> DataFrame:
+    return drop_missing(df, [value])
+
+
 def pair_corr(x: Column | str, y: Column | str) -> Column:
     """Pearson correlation over the rows where both values are present.
 
     Built from ``covar_samp`` and ``stddev_samp`` (stable one-pass moments)
     with a safe division: a flat series gives null, where the built-in
-    ``corr`` raises a division-by-zero error under ANSI mode.
+    ``corr`` raises a division-by-zero error under ANSI mode. NaN is missing.
     """
     x = F.col(x) if isinstance(x, str) else x
     y = F.col(y) if isinstance(y, str) else y
-    xp, yp = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    xp, yp = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_samp(xp, yp), F.stddev_samp(xp) * F.stddev_samp(yp))
 
 
-def _self_or_pair(x: str, y: str, same: bool) -> Column:
-    """A series with itself correlates exactly 1 whenever it varies at all."""
-    c = pair_corr(x, y)
-    return F.when(c.isNotNull(), F.lit(1.0)) if same else c
-
-
 def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -> DataFrame:
     """Pearson correlation of every symbol's ``value`` with the benchmark's,
     over the dates where both are present. The benchmark itself is listed
-    once, with correlation 1; fewer than two common dates give null."""
+    once, with correlation 1; fewer than two common dates give null.
+
+    The benchmark's value reaches the other rows of its date by a window over
+    the date, so ``returns`` is computed once; rows without a date have no
+    partner.
+    """
     bench_symbol = normalize_symbol(benchmark)
-    bench = returns.filter(F.col(SYMBOL) == bench_symbol).select(DT, F.col(value).alias("__bench"))
+    known = F.when(~F.isnan(value), F.col(value)).alias(value)
+    dated = returns.filter(F.col(DT).isNotNull()).select(SYMBOL, DT, known)
+    per_date = Window.partitionBy(DT)
+    paired = dated.withColumn("__bench", F.max(F.when(F.col(SYMBOL) == bench_symbol, F.col(value))).over(per_date))
     return (
-        returns.select(SYMBOL, DT, value)
-        .join(bench, DT)
+        paired.filter(F.col("__bench").isNotNull())
         .groupBy(SYMBOL)
-        .agg(pair_corr(value, "__bench").alias("corr"), F.count(F.col(value) * F.col("__bench")).alias("n_pairs"))
+        .agg(pair_corr(value, "__bench").alias("corr"), F.count(value).alias("n_pairs"))
         .withColumn("corr", F.when((F.col(SYMBOL) == bench_symbol) & F.col("corr").isNotNull(), F.lit(1.0)).otherwise(F.col("corr")))
         .withColumn("benchmark", F.lit(bench_symbol))
     )
 
 
-def _pair_block(returns: DataFrame, left: list[str], right: list[str], value: str, same: bool) -> DataFrame:
-    """Correlations for the pairs (a, b), a in ``left`` and b in ``right``
-    (only a <= b within one block when ``same``), emitted both ways round.
+#: At most so many rows leave the tasks of corr_matrix, one per pair of symbols and task.
+MAX_PAIR_ROWS = 100_000_000
 
-    One row per date carries each symbol's value in its own column (a pivot, a
-    hash aggregate on ``dt``); the correlations are then plain aggregates over
-    those rows. No pair of rows is ever materialised.
-    """
-    symbols = list(dict.fromkeys(left + right))
-    names = {s: f"__v{i}" for i, s in enumerate(symbols)}
-    wide = (
-        returns.filter(F.col(SYMBOL).isin(symbols))
-        .groupBy(DT)
-        .pivot(SYMBOL, symbols)
-        .agg(F.first(value, ignorenulls=True))
-        .toDF(DT, *[names[s] for s in symbols])
-    )
-    if same:
-        pairs = [(a, b) for i, a in enumerate(left) for b in left[i:]]
-    else:
-        pairs = [(a, b) for a in left for b in right]
-    aggs = [_self_or_pair(names[a], names[b], a == b).alias(f"__c{k}") for k, (a, b) in enumerate(pairs)]
-    cells = []
-    for k, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)) if a != b else ((a, b),):
-            cells.append(F.struct(F.lit(x).alias("symbol_a"), F.lit(y).alias("symbol_b"), F.col(f"__c{k}").alias("corr")))
-    return wide.agg(*aggs).select(F.inline(F.array(*cells)))
-
-
-def corr_matrix(
-    returns: DataFrame,
-    symbols: Sequence[str],
-    value: str = "ret",
-    block: int = 32,
-) -> DataFrame:
+
+def corr_matrix(returns: DataFrame, symbols: Sequence[str], value: str = "ret") -> DataFrame:
     """Full correlation matrix in long form ``(symbol_a, symbol_b, corr)``.
 
     Pairwise-complete: each pair uses the dates where both symbols have a
-    value. The matrix has ``len(symbols)**2`` cells, so the symbol list is
-    given by the caller. It is symmetric, so each unordered pair is computed
-    once and listed both ways. Symbols are processed in blocks of ``block``;
-    each pair of blocks is one aggregate over the rows of at most ``2*block``
-    symbols, and all blocks run as one job. Every pair is computed; nothing
-    is capped. With more than one block the returns are checkpointed first,
-    so the block pairs do not each recompute them.
+    value (of several rows of a symbol and date, one counts). The matrix has
+    ``len(symbols)**2`` cells, so the symbol list is given by the caller; a
+    pair without two common dates, or of which one is flat there, is null.
+
+    One shuffle by date, then each task turns its dates into a matrix with a
+    column per symbol and adds up, by matrix products, the moments of all
+    pairs; one aggregate merges the tasks. The plan is the same for any number
+    of symbols. Values are taken from the symbol's smallest, which keeps the
+    sums stable and a flat series exactly zero.
     """
-    symbols = list(dict.fromkeys(normalize_symbol(s) for s in symbols))
+    symbols = sorted(set(normalize_symbol(s) for s in symbols))
     if not symbols:
         raise ValueError("no symbols")
-    chunks = [symbols[i : i + block] for i in range(0, len(symbols), block)]
-    if len(chunks) > 1:
-        # every block pair reads the returns: compute them once
-        returns = materialize(returns.select(SYMBOL, DT, value).filter(F.col(SYMBOL).isin(symbols)))
-    parts = [
-        _pair_block(returns, chunks[i], chunks[j], value, same=(i == j))
-        for i in range(len(chunks))
-        for j in range(i, len(chunks))
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = _present(returns.select(SYMBOL, DT, F.col(value).cast("double").alias("v")), "v").filter(F.col(SYMBOL).isin(symbols) & F.col(DT).isNotNull())
+    lows = {r[0]: r[1] for r in rows.groupBy(SYMBOL).agg(F.min("v")).collect()}  # one number per listed symbol
+    at = {s: k for k, s in enumerate(symbols)}
+    low = np.array([lows.get(s, 0.0) for s in symbols])
+    pairs = np.triu_indices(len(symbols))
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(symbols)
+        sums = np.zeros((6, n, n))
+
+        def add(days: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> None:
+            _, day = np.unique(days, return_inverse=True)
+            for first in range(0, day.max(initial=-1) + 1, 512):
+                some = (day >= first) & (day < first + 512)
+                x, there = np.zeros((512, n)), np.zeros((512, n))
+                x[day[some] - first, cols[some]] = vals[some] - low[cols[some]]
+                there[day[some] - first, cols[some]] = 1.0
+                squares = x * x
+                sums[0] += there.T @ there
+                sums[1] += x.T @ there
+                sums[2] += there.T @ x
+                sums[3] += squares.T @ there
+                sums[4] += there.T @ squares
+                sums[5] += x.T @ x
+
+        rest: tuple[np.ndarray, ...] | None = None
+        for batch in batches:
+            now = (batch.column(DT).cast(pa.int32()).to_numpy(), np.array([at[s] for s in batch.column(SYMBOL).to_pylist()], dtype=int), batch.column("v").to_numpy())
+            if rest is not None:
+                now = tuple(np.concatenate([a, b]) for a, b in zip(rest, now, strict=True))
+            if len(now[0]):
+                last = now[0] == now[0][-1]  # the day may go on in the next batch
+                add(*(x[~last] for x in now))
+                rest = tuple(x[last] for x in now)
+        if rest is not None:
+            add(*rest)
+        i, j = pairs
+        good = sums[0][i, j] > 0
+        i, j = i[good], j[good]
+        arrays = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *(pa.array(s[i, j]) for s in sums)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    tasks = max(1, min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PAIR_ROWS // len(pairs[0])))
+    by_date = rows.withColumn(DT, F.col(DT).cast("date")).repartition(tasks, DT).sortWithinPartitions(DT)
+    summed = (
+        by_date.mapInArrow(moments, "a int, b int, n double, sx double, sy double, sxx double, syy double, sxy double")
+        .groupBy("a", "b")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    )
+
+    def spread(square: str, plain: str) -> Column:
+        """Sum of squared deviations; rounding's remainder of a flat series is none."""
+        v = F.col(square) - F.col(plain) * F.col(plain) / F.col("n")
+        return F.when((F.col("n") > 1) & (v > F.lit(1e-14) * F.col(square)), v)
+
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    corr = F.when(F.col("a") == F.col("b"), F.when(spread("sxx", "sx").isNotNull(), F.lit(1.0))).otherwise(
+        F.try_divide(cov, F.sqrt(spread("sxx", "sx")) * F.sqrt(spread("syy", "sy")))
+    )
+    names = F.array(*[F.lit(s) for s in symbols])
+    # every listed pair, also those without a common date
+    listed = rows.sparkSession.range(len(symbols)).select(F.col("id").cast("int").alias("a"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(len(symbols) - 1))).alias("b"))
+    cells = listed.join(summed.select("a", "b", corr.alias("corr")), ["a", "b"], "left")
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    return cells.withColumn("way", F.explode(both)).select(
+        F.element_at(names, F.col("way.a") + 1).alias("symbol_a"), F.element_at(names, F.col("way.b") + 1).alias("symbol_b"), "corr"
+    )
 
 
 def _training_rows(bars: DataFrame, price: str) -> DataFrame:
-    """Bars with the next row's price as target; rows missing anything go
-    (so the last bar of every symbol, which has no target, is dropped)."""
+    """Bars with the next row's price as target; rows missing any value but
+    their keys go (so the last bar of every symbol, which has no target, is
+    dropped)."""
     with_target = next_close(bars, price, out="next_close")
-    return drop_missing(with_target, with_target.columns)
+    return drop_missing(with_target, [c for c in with_target.columns if c not in (SYMBOL, DT)])
 
 
 def _fit(rows: DataFrame, price: str) -> DataFrame:
@@ -148,15 +187,15 @@ def fit_next_close(bars: DataFrame, price: str = "close") -> DataFrame:
 
 
 def predict_next_close(bars: DataFrame, price: str = "close", fit: DataFrame | None = None) -> DataFrame:
-    """In-sample prediction on the same rows the fit used (derived once and
-    shared by the fit and the prediction)."""
+    """In-sample prediction on the same rows the fit used. Without a ``fit`` the
+    training rows are derived once, checkpointed, and read by the fit and the
+    prediction."""
     rows = _training_rows(bars, price)
-    coef = (fit if fit is not None else _fit(rows, price)).select(SYMBOL, "slope", "intercept")
-    return (
-        rows.join(coef, SYMBOL)
-        .withColumn("predicted", F.col("slope") * F.col(price) + F.col("intercept"))
-        .drop("slope", "intercept")
-    )
+    if fit is None:
+        rows = materialize(rows)
+        fit = _fit(rows, price)
+    joined = join_back_spread(rows, fit.select(SYMBOL, "slope", "intercept"), SYMBOL, [DT, price])
+    return joined.withColumn("predicted", F.col("slope") * F.col(price) + F.col("intercept")).drop("slope", "intercept")
 
 
 def _ranges(df: DataFrame, value: str, by: str) -> DataFrame:
@@ -168,10 +207,6 @@ def _ranges(df: DataFrame, value: str, by: str) -> DataFrame:
     )
 
 
-def _present(df: DataFrame, value: str) -> DataFrame:
-    return drop_missing(df, [value])
-
-
 def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Equal-width bin of ``x`` in ``[lo, hi]``, 0-based; the last bin is
     closed on the right. Follows the numpy rule: index from the scaled offset,
@@ -191,26 +226,23 @@ def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, value: str = "ret", bins: int = 100, by: str = SYMBOL) -> DataFrame:
     """Counts of ``value`` in ``bins`` equal-width bins between each symbol's
-    min and max. Missing values are skipped; empty bins are not listed.
+    min and max; missing values are skipped and empty bins count 0, so every
+    symbol with a value has ``bins`` rows.
     Output: ``(by, bin, bin_lo, bin_hi, count)``."""
-    present = _present(df, value)
+    present = _present(df, value).select(by, value)
     ranges = _ranges(present, value, by).select(by, "__lo", "__hi")
     b = bin_index(F.col(value), F.col("__lo"), F.col("__hi"), bins)
+    counts = join_back_spread(present, ranges, by, [value]).groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     step = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
-    return (
-        present.select(by, value)
-        .join(ranges, by)
-        .groupBy(by, b.alias("bin"), "__lo", "__hi")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select(
-            by,
-            "bin",
-            (F.col("__lo") + F.col("bin").cast("double") * step).alias("bin_lo"),
-            F.when(F.col("bin") == bins - 1, F.col("__hi"))
-            .otherwise(F.col("__lo") + (F.col("bin") + 1).cast("double") * step)
-            .alias("bin_hi"),
-            "count",
-        )
+    return join_back(every, counts, [by, "bin"], "left").select(
+        by,
+        "bin",
+        (F.col("__lo") + F.col("bin").cast("double") * step).alias("bin_lo"),
+        F.when(F.col("bin") == bins - 1, F.col("__hi"))
+        .otherwise(F.col("__lo") + (F.col("bin") + 1).cast("double") * step)
+        .alias("bin_hi"),
+        F.coalesce("count", F.lit(0)).alias("count"),
     )
 
 
@@ -220,25 +252,55 @@ def kde(df: DataFrame, value: str = "ret", grid: int = 200, by: str = SYMBOL) ->
 
     Bandwidth is Scott's rule, ``stddev_samp * n ** (-1/5)``. The density at a
     grid point is ``sum(exp(-u*u/2)) / (n * h * sqrt(2*pi))`` with
-    ``u = (g - x) / h``. Every value meets the ``grid`` points inside its own
-    task and is summed there (partial aggregation), so only
-    ``grid`` rows per symbol and task reach the shuffle. Output:
-    ``(by, i, x, density)``; multiply by ``n * bin width`` for histogram scale.
+    ``u = (g - x) / h``. Each task sums the kernels of its rows for all grid
+    points at once in numpy and sends one row per symbol and grid point, which
+    one aggregate merges: no row is ever multiplied by the grid, and the plan
+    does not grow with it. Output: ``(by, i, x, density)``; multiply by
+    ``n * bin width`` for histogram scale.
     """
     if grid < 2:
         raise ValueError("grid must be >= 2")
-    present = _present(df, value)
-    stats = _ranges(present, value, by).withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
-    step = (F.col("__hi") - F.col("__lo")) / F.lit(float(grid - 1))
-    point = F.when(F.col("i") == grid - 1, F.col("__hi")).otherwise(F.col("__lo") + F.col("i").cast("double") * step)
-    u = F.try_divide(F.col("x") - F.col(value), F.col("__h"))
-    summed = (
-        present.select(by, value)
-        .join(stats.select(by, "__lo", "__hi", "__n", "__h"), by)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .withColumn("x", point)
-        .groupBy(by, "i", "x", "__n", "__h")
-        .agg(F.sum(F.exp(F.lit(-0.5) * u * u)).alias("__s"))
-    )
-    norm = F.col("__n").cast("double") * F.col("__h") * F.lit(math.sqrt(2.0 * math.pi))
-    return summed.select(by, "i", "x", F.try_divide(F.col("__s"), norm).alias("density"))
+    present = _present(df, value).select(by, F.col(value).cast("double").alias("__v"))
+    stats = _ranges(present, "__v", by).withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
+    joined = join_back_spread(present, stats.select(by, "__lo", "__hi", "__n", "__h"), by, ["__v"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[object, list] = {}
+
+        def drain() -> pa.RecordBatch:
+            keys = pa.array([k for k in found for _ in range(grid)], type=kind)
+            params = [np.repeat([f[p] for f in found.values()], grid) for p in (1, 2)]
+            x, s = (np.concatenate([f[p] for f in found.values()]) for p in (0, 3))
+            i = np.tile(np.arange(grid, dtype=np.int32), len(found))
+            found.clear()
+            arrays = [keys, pa.array(i), pa.array(x), pa.array(params[0].astype(np.int64)), pa.array(params[1]), pa.array(s)]
+            return pa.RecordBatch.from_arrays(arrays, names=[by, "i", "x", "n", "h", "s"])
+
+        for batch in batches:
+            kind = batch.schema.field(by).type
+            codes = batch.column(by).dictionary_encode(null_encoding="encode")
+            names, which = codes.dictionary.to_pylist(), codes.indices.to_numpy()
+            lo, hi, n, h, v = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__lo", "__hi", "__n", "__h", "__v"))
+            for k, name in enumerate(names):
+                rows = np.flatnonzero(which == k)
+                first = rows[0]
+                if name not in found:
+                    points = lo[first] + np.arange(grid) * ((hi[first] - lo[first]) / (grid - 1))
+                    points[-1] = hi[first]
+                    found[name] = [points, n[first], h[first], np.zeros(grid)]
+                points, _, width, total = found[name]
+                if not width > 0:  # one value, or a flat series: no density
+                    total += np.nan
+                    continue
+                for at in range(0, len(rows), 2048):
+                    u = (points - v[rows[at : at + 2048], None]) / width
+                    total += np.exp(-0.5 * u * u).sum(axis=0)
+            if len(found) > 10_000:
+                yield drain()
+        if found:
+            yield drain()
+
+    kind = df.schema[by].dataType.simpleString()
+    partial = joined.select(by, "__lo", "__hi", "__n", "__h", "__v").mapInArrow(sums, f"`{by}` {kind}, i int, x double, n long, h double, s double")
+    norm = F.col("n").cast("double") * F.col("h") * F.lit(math.sqrt(2.0 * math.pi))
+    return partial.groupBy(by, "i", "x", "n", "h").agg(F.sum("s").alias("s")).select(by, "i", "x", F.when(F.col("h") > 0, F.try_divide(F.col("s"), norm)).alias("density"))

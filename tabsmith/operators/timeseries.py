@@ -16,6 +16,10 @@ still spread over many tasks:
    the next close) as halo rows, which are dropped afterwards.
 
 All views computed together (``with_indicators``) share one such pass.
+
+No row is lost: rows without a symbol form a series of their own, and rows
+without a date come first in their series, in no particular order. A price that
+is NaN is missing, like null.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions import fmt_price
+from tabsmith.operators._joins import join_back
 
 SYMBOL, DT = "symbol", "dt"
 # Rows per window block; halo copies cost (n - 1) / BLOCK_ROWS extra rows.
@@ -103,7 +108,7 @@ def positions(rows: DataFrame, unit: str = "month", by: str = SYMBOL) -> DataFra
         .repartition(by, seg)
     )
     return (
-        local.join(offsets, [by, seg])
+        join_back(local, offsets, [by, seg])
         .withColumn(POS, (F.col("__off") + F.col("__rn")).cast("long"))
         .drop(seg, "__rn", "__off")
     )
@@ -137,18 +142,22 @@ def _block_window(by: str = SYMBOL):
     return Window.partitionBy(by, BLK).orderBy(POS)
 
 
+def _known(price: str) -> Column:
+    """The price, or null where it is NaN."""
+    return F.when(~F.isnan(price), F.col(price))
+
+
 def _moving_average(price: str, n: int) -> Column:
     frame = _block_window().rowsBetween(-(n - 1), 0)
-    return F.when(F.count(price).over(frame) == n, F.avg(price).over(frame))
+    return F.when(F.count(_known(price)).over(frame) == n, F.avg(_known(price)).over(frame))
 
 
 def _filled_return(real: DataFrame, price: str, out: str) -> DataFrame:
     """Return on prices with gaps filled by the last known price: inside a
     block a running ``last(ignorenulls)``; across blocks the last known price
     of the earlier blocks, carried through the per-block table."""
-    per_block = real.groupBy(SYMBOL, BLK).agg(
-        F.max_by(price, F.when(F.col(price).isNotNull(), F.col(POS))).alias("__last")
-    )
+    known = _known(price)
+    per_block = real.groupBy(SYMBOL, BLK).agg(F.max_by(known, F.when(known.isNotNull(), F.col(POS))).alias("__last"))
     carry = per_block.select(
         SYMBOL,
         BLK,
@@ -157,9 +166,9 @@ def _filled_return(real: DataFrame, price: str, out: str) -> DataFrame:
         .alias("__carry"),
     ).repartition(SYMBOL, BLK)
     w = _block_window()
-    filled = real.join(carry, [SYMBOL, BLK]).withColumn(
+    filled = join_back(real, carry, [SYMBOL, BLK]).withColumn(
         "__filled",
-        F.coalesce(F.last(price, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("__carry")),
+        F.coalesce(F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("__carry")),
     )
     prev = F.when(F.row_number().over(w) == 1, F.col("__carry")).otherwise(F.lag("__filled", 1).over(w))
     return filled.withColumn(out, F.try_divide(F.col("__filled"), prev) - F.lit(1.0)).drop("__carry", "__filled")
@@ -207,35 +216,49 @@ def sequence_views(
     return out.drop(POS, TOTAL, BLK, HALO)
 
 
-def daily_return(bars: DataFrame, price: str = "close", out: str = "ret", fill_gaps: bool = False) -> DataFrame:
-    return sequence_views(bars, price, ret=out, fill_gaps=fill_gaps)
+# ``sizes`` of the following are ``unit`` and ``block`` of sequence_views: bars
+# closer together than days need a smaller ``unit`` to bound its segments.
+
+
+def daily_return(bars: DataFrame, price: str = "close", out: str = "ret", fill_gaps: bool = False, **sizes) -> DataFrame:
+    return sequence_views(bars, price, ret=out, fill_gaps=fill_gaps, **sizes)
 
 
-def moving_average(bars: DataFrame, n: int, price: str = "close", out: str | None = None) -> DataFrame:
-    df = sequence_views(bars, price, windows=[n])
+def moving_average(bars: DataFrame, n: int, price: str = "close", out: str | None = None, **sizes) -> DataFrame:
+    df = sequence_views(bars, price, windows=[n], **sizes)
     return df.withColumnRenamed(f"ma{n}", out) if out and out != f"ma{n}" else df
 
 
-def next_close(bars: DataFrame, price: str = "close", out: str = "next_close") -> DataFrame:
+def next_close(bars: DataFrame, price: str = "close", out: str = "next_close", **sizes) -> DataFrame:
     """The following row's price within the symbol; null on the last row."""
-    return sequence_views(bars, price, lead=out)
+    return sequence_views(bars, price, lead=out, **sizes)
 
 
-def with_indicators(bars: DataFrame, windows: Sequence[int] = (50, 200), price: str = "close") -> DataFrame:
+def with_indicators(bars: DataFrame, windows: Sequence[int] = (50, 200), price: str = "close", **sizes) -> DataFrame:
     """Return, moving averages and next close in one pass."""
-    return sequence_views(bars, price, ret="ret", windows=windows, lead="next_close")
+    return sequence_views(bars, price, ret="ret", windows=windows, lead="next_close", **sizes)
 
 
-def tail_rows(bars: DataFrame, n: int = 180, by: str = SYMBOL, order: str = DT) -> DataFrame:
-    """Last ``n`` rows per symbol.
+def tail_rows(bars: DataFrame, n: int = 180, by: str = SYMBOL, unit: str = "month") -> DataFrame:
+    """Last ``n`` rows per symbol by ``dt`` (rows without a date come first).
 
-    ``row_number() <= n`` is planned with a partial WindowGroupLimit before the
-    shuffle, so each map task forwards at most ``n`` rows per symbol and the
-    final window sees at most ``n`` rows per symbol and map task, however
-    many rows the symbol has.
+    The row counts per (symbol, ``unit`` segment) tell which segments hold the
+    last ``n`` rows; only their rows are ranked. A symbol's window so sees at
+    most ``n`` rows and one segment, however many rows and map tasks there are.
     """
-    w = Window.partitionBy(by).orderBy(F.col(order).desc())
-    return bars.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    seg = "__seg"
+    segmented = bars.withColumn(seg, _segment(unit))
+    later = Window.partitionBy(by).orderBy(F.col(seg).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    needed = (
+        segmented.groupBy(by, seg)
+        .agg(F.count(F.lit(1)).alias("__cnt"))
+        .withColumn("__later", F.coalesce(F.sum("__cnt").over(later), F.lit(0)))
+        .filter(F.col("__later") < n)
+        .select(by, seg)
+        .repartition(by, seg)
+    )
+    w = Window.partitionBy(by).orderBy(F.col(DT).desc())
+    return join_back(segmented, needed, [by, seg]).withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn", seg)
 
 
 def page(

@@ -53,14 +53,17 @@ def failed_transactions(cleaned: DataFrame, status_col: str = STATUS_COL, status
     return status_in(cleaned, status_col, statuses)
 
 
-def run_cleaning(spark: SparkSession, raw_path: str, cleaned_path: str, schema=None) -> DataFrame:
-    """Job 1: every CSV under ``raw_path`` (all folder depths) -> cleaned CSV folder.
+def run_cleaning(spark: SparkSession, raw_path: str, cleaned_path: str, schema=None, glob: str | None = None) -> DataFrame:
+    """Job 1: every file under ``raw_path`` (all folder depths) -> cleaned CSV folder.
+
+    All files are read, whatever their names (Spark leaves out only those that
+    begin with ``_`` or ``.``); ``glob`` narrows them if the caller asks for it.
 
     Returns the cleaned folder read back with the cleaned schema (no type
     inference), which is what job 2 consumes; reading the written files
     also cuts the lineage, so a lost executor never re-runs the cleaning.
     """
-    raw = read_csv(spark, raw_path, schema=schema, recursive=True, glob="*.csv")
+    raw = read_csv(spark, raw_path, schema=schema, recursive=True, glob=glob)
     cleaned = clean_transactions(raw)
     write_csv(cleaned, cleaned_path)
     return read_csv(spark, cleaned_path, schema=cleaned.schema)

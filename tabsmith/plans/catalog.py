@@ -228,6 +228,38 @@ def q_corr_matrix(spark, sf_dir):
     return corr_matrix(_returns(spark, sf_dir), SYMBOLS).select("symbol_a", "symbol_b", _r("corr", 6))
 
 
+def _keyed_bars(spark, sf_dir):
+    return table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("dt")).agg(
+        F.max("o_orderkey").alias("k"), F.max_by("o_totalprice", "o_orderkey").alias("close")
+    )
+
+
+def q_bars_null_keys(spark, sf_dir):
+    """The order-dependent views over bars of which some have no symbol and
+    some no date (those come first in their series), summed per symbol so that
+    the order among undated rows does not show; no row may be lost."""
+    gone = lambda c, n: F.when(F.col("k") % n != 0, F.col(c)).alias(c)
+    bars = materialize(_keyed_bars(spark, sf_dir).select("k", gone("symbol", 41), gone("dt", 37), "close"))
+    numbered = page(with_indicators(bars, windows=(50,)), 1, per_page=2**31 - 1)
+    return numbered.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("dt").alias("n_dated"),
+        F.count("ret").alias("n_returns"),
+        F.count("ma50").alias("n_averages"),
+        F.count("next_close").alias("n_next"),
+        F.round(F.sum(F.when(F.col("dt").isNotNull(), F.col("next_close"))), 2).alias("sum_next"),
+        F.sum("row_no").alias("sum_row_no"),
+    )
+
+
+def q_corr_nan_gaps(spark, sf_dir):
+    """The correlation matrix of returns where some closes are NaN: a return
+    beside one is missing, and so is not counted."""
+    close = F.when(F.col("k") % 29 != 0, F.col("close")).otherwise(F.lit(float("nan"))).alias("close")
+    bars = materialize(_keyed_bars(spark, sf_dir).select("symbol", "dt", close))
+    return corr_matrix(returns(bars), SYMBOLS).select("symbol_a", "symbol_b", _r("corr", 6))
+
+
 def q_next_close_fit(spark, sf_dir):
     fit = fit_next_close(_bars_once(spark, sf_dir))
     return fit.select("symbol", _r("slope", 8), _r("intercept", 4), _r("r2", 8), "n")
@@ -322,6 +354,8 @@ QUERIES: dict[str, Query] = {
     "indicators": q_indicators,
     "corr_benchmark": q_corr_benchmark,
     "corr_matrix": q_corr_matrix,
+    "bars_null_keys": q_bars_null_keys,
+    "corr_nan_gaps": q_corr_nan_gaps,
     "next_close_fit": q_next_close_fit,
     "next_close_predict": q_next_close_predict,
     "return_histogram": q_return_histogram,
@@ -374,14 +408,16 @@ bars AS (
   FROM orders GROUP BY 1, 2)
 """
 
-_RETURNS = _BARS + """,
+RETS_OF_BARS = """,
 rets AS (
   SELECT symbol, dt, ret FROM (
     SELECT symbol, dt, close / nullif(lag(close) OVER (PARTITION BY symbol ORDER BY dt), 0) - 1 AS ret
     FROM bars) WHERE ret IS NOT NULL)
 """
 
-_TRAIN = _BARS + """,
+_RETURNS = _BARS + RETS_OF_BARS
+
+TRAIN_OF_BARS = """,
 train AS (
   SELECT * FROM (
     SELECT symbol, dt, open, high, low, close, volume,
@@ -396,6 +432,8 @@ fit AS (
   FROM train GROUP BY symbol)
 """
 
+_TRAIN = _BARS + TRAIN_OF_BARS
+
 _TAIL = _BARS + """,
 tail AS (
   SELECT symbol, dt, open, high, low, close, volume FROM (
@@ -407,6 +445,63 @@ numbered AS (
 _HIST_BINS = 100
 _KDE_GRID = 200
 
+
+def histogram_sql(ctes: str, digits: int) -> str:
+    """All bins of every symbol's returns (``rets`` of ``ctes``), numpy's rule."""
+    return f"""WITH {ctes},
+        rng AS (SELECT symbol, min(ret) AS lo, max(ret) AS hi FROM rets GROUP BY symbol),
+        raw AS (
+          SELECT r.symbol, r.ret AS x, g.lo, g.hi, (g.hi - g.lo) / {_HIST_BINS}.0 AS step,
+            least(CAST(floor((r.ret - g.lo) * ({_HIST_BINS}.0 / (g.hi - g.lo))) AS INTEGER), {_HIST_BINS - 1}) AS b0
+          FROM rets r JOIN rng g ON r.symbol = g.symbol),
+        down AS (SELECT *, CASE WHEN x < lo + CAST(b0 AS DOUBLE) * step THEN b0 - 1 ELSE b0 END AS b1 FROM raw),
+        binned AS (
+          SELECT symbol,
+            CASE WHEN hi = lo THEN 0
+                 WHEN x >= lo + CAST(b1 + 1 AS DOUBLE) * step AND b1 <> {_HIST_BINS - 1} THEN b1 + 1
+                 ELSE b1 END AS bin
+          FROM down),
+        counted AS (SELECT symbol, bin, count(*) AS n FROM binned GROUP BY symbol, bin),
+        grid AS (SELECT symbol, lo, hi, (hi - lo) / {_HIST_BINS}.0 AS step, CAST(i AS INTEGER) AS bin FROM rng, range(0, {_HIST_BINS}) t(i))
+        SELECT g.symbol, g.bin,
+          round(lo + CAST(g.bin AS DOUBLE) * step, {digits}) AS bin_lo,
+          round(CASE WHEN g.bin = {_HIST_BINS - 1} THEN hi ELSE lo + CAST(g.bin + 1 AS DOUBLE) * step END, {digits}) AS bin_hi,
+          coalesce(c.n, 0) AS count
+        FROM grid g LEFT JOIN counted c ON g.symbol = c.symbol AND g.bin = c.bin"""
+
+
+def kde_sql(ctes: str, digits: int) -> str:
+    """The density of every symbol's returns (``rets`` of ``ctes``)."""
+    return f"""WITH {ctes},
+        st AS (SELECT symbol, min(ret) AS lo, max(ret) AS hi, count(ret) AS n,
+                 stddev_samp(ret) * pow(CAST(count(ret) AS DOUBLE), -0.2) AS h
+               FROM rets GROUP BY symbol),
+        grid AS (
+          SELECT symbol, n, h, CAST(i AS INTEGER) AS i,
+            CASE WHEN i = {_KDE_GRID - 1} THEN hi ELSE lo + CAST(i AS DOUBLE) * ((hi - lo) / {_KDE_GRID - 1}.0) END AS x
+          FROM st, range(0, {_KDE_GRID}) t(i))
+        SELECT g.symbol, g.i, round(g.x, {digits}) AS x,
+          round(sum(exp(-0.5 * ((g.x - r.ret) / g.h) * ((g.x - r.ret) / g.h)))
+                / (CAST(g.n AS DOUBLE) * g.h * sqrt(2 * pi())), 6) AS density
+        FROM grid g JOIN rets r ON g.symbol = r.symbol
+        GROUP BY g.symbol, g.i, g.x, g.n, g.h"""
+
+
+# Bars without some keys: every 41st position by the order key loses its symbol,
+# every 37th its date; and closes that are NaN.
+_KEYLESS = """
+keyed AS (SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS dt, max(o_orderkey) AS k,
+    arg_max(o_totalprice, o_orderkey) AS close FROM orders GROUP BY 1, 2),
+bars AS (SELECT k, CASE WHEN k % 41 <> 0 THEN symbol END AS symbol, CASE WHEN k % 37 <> 0 THEN dt END AS dt, close FROM keyed)
+"""
+_GAPPY = """
+keyed AS (SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS dt, max(o_orderkey) AS k,
+    arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY 1, 2),
+rets AS (SELECT symbol, dt, ret FROM (
+    SELECT symbol, dt, close / lag(close) OVER (PARTITION BY symbol ORDER BY dt) - 1 AS ret
+    FROM (SELECT symbol, dt, CASE WHEN k % 29 <> 0 THEN price END AS close FROM keyed)) WHERE ret IS NOT NULL)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "orders_clean": f"WITH {_TXNS} SELECT * FROM clean",
     "failed_extract": f"WITH {_TXNS} SELECT * FROM clean WHERE Transaction_Status IN ('Failed', 'Declined')",
@@ -494,43 +589,26 @@ ORACLE_SQL: dict[str, str] = {
     "next_close_predict": f"""WITH {_TRAIN}
         SELECT t.symbol, t.dt, t.close, t.next_close, round(f.slope * t.close + f.intercept, 4) AS predicted
         FROM train t JOIN fit f ON t.symbol = f.symbol""",
-    "return_histogram": f"""WITH {_RETURNS},
-        rng AS (SELECT symbol, min(ret) AS lo, max(ret) AS hi FROM rets GROUP BY symbol),
-        raw AS (
-          SELECT r.symbol, r.ret AS x, g.lo, g.hi, (g.hi - g.lo) / {_HIST_BINS}.0 AS step,
-            least(CAST(floor((r.ret - g.lo) * ({_HIST_BINS}.0 / (g.hi - g.lo))) AS INTEGER), {_HIST_BINS - 1}) AS b0
-          FROM rets r JOIN rng g ON r.symbol = g.symbol),
-        down AS (SELECT *, CASE WHEN x < lo + CAST(b0 AS DOUBLE) * step THEN b0 - 1 ELSE b0 END AS b1 FROM raw),
-        binned AS (
-          SELECT symbol, lo, hi, step,
-            CASE WHEN hi = lo THEN 0
-                 WHEN x >= lo + CAST(b1 + 1 AS DOUBLE) * step AND b1 <> {_HIST_BINS - 1} THEN b1 + 1
-                 ELSE b1 END AS bin
-          FROM down)
-        SELECT symbol, CAST(bin AS INTEGER) AS bin,
-          round(lo + CAST(bin AS DOUBLE) * step, 8) AS bin_lo,
-          round(CASE WHEN bin = {_HIST_BINS - 1} THEN hi ELSE lo + CAST(bin + 1 AS DOUBLE) * step END, 8) AS bin_hi,
-          count(*) AS count
-        FROM binned GROUP BY symbol, bin, lo, hi, step""",
-    "return_kde": f"""WITH {_RETURNS},
-        st AS (SELECT symbol, min(ret) AS lo, max(ret) AS hi, count(ret) AS n,
-                 stddev_samp(ret) * pow(CAST(count(ret) AS DOUBLE), -0.2) AS h
-               FROM rets GROUP BY symbol),
-        grid AS (
-          SELECT symbol, n, h, CAST(i AS INTEGER) AS i,
-            CASE WHEN i = {_KDE_GRID - 1} THEN hi ELSE lo + CAST(i AS DOUBLE) * ((hi - lo) / {_KDE_GRID - 1}.0) END AS x
-          FROM st, range(0, {_KDE_GRID}) t(i))
-        SELECT g.symbol, g.i, round(g.x, 8) AS x,
-          round(sum(exp(-0.5 * ((g.x - r.ret) / g.h) * ((g.x - r.ret) / g.h)))
-                / (CAST(g.n AS DOUBLE) * g.h * sqrt(2 * pi())), 6) AS density
-        FROM grid g JOIN rets r ON g.symbol = r.symbol
-        GROUP BY g.symbol, g.i, g.x, g.n, g.h""",
+    "return_histogram": histogram_sql(_RETURNS, 8),
+    "return_kde": kde_sql(_RETURNS, 8),
     "tail_180": f"WITH {_TAIL} SELECT * FROM tail",
     "page_3": f"WITH {_TAIL} SELECT * FROM numbered WHERE row_no > 10 AND row_no <= 15",
     "page_shift": f"WITH {_TAIL} SELECT * FROM numbered WHERE row_no > 176 AND row_no <= 181",
     "page_info": f"""WITH {_TAIL}
         SELECT symbol, count(*) AS total_rows, CAST(floor((count(*) - 1) / 5) + 1 AS BIGINT) AS total_pages
         FROM tail GROUP BY symbol""",
+    "bars_null_keys": f"""WITH {_KEYLESS}
+        SELECT symbol, count(*) AS n, count(dt) AS n_dated, count(ret) AS n_returns, count(ma50) AS n_averages,
+          count(next_close) AS n_next, round(sum(CASE WHEN dt IS NOT NULL THEN next_close END), 2) AS sum_next, CAST(sum(row_no) AS BIGINT) AS sum_row_no
+        FROM (SELECT symbol, dt, close / nullif(lag(close) OVER w, 0) - 1 AS ret,
+            CASE WHEN count(close) OVER w50 = 50 THEN avg(close) OVER w50 END AS ma50,
+            lead(close) OVER w AS next_close, row_number() OVER w AS row_no FROM bars
+          WINDOW w AS (PARTITION BY symbol ORDER BY dt NULLS FIRST, k),
+            w50 AS (PARTITION BY symbol ORDER BY dt NULLS FIRST, k ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
+        GROUP BY symbol""",
+    "corr_nan_gaps": f"""WITH {_GAPPY}
+        SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, round(corr(a.ret, b.ret), 6) AS corr
+        FROM rets a JOIN rets b ON a.dt = b.dt GROUP BY 1, 2""",
     "price_extremes": f"""WITH {_BARS}
         SELECT symbol, max(high) AS highest, min(low) AS lowest,
           printf('$%.2f', max(high)) AS highest_txt, printf('$%.2f', min(low)) AS lowest_txt
@@ -557,7 +635,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM part""",
     "title_python": """
         SELECT p_partkey,
-          array_to_string(list_transform(regexp_extract_all(p_brand, '(\\p{L}+|\\P{L}+)', 1),
+          array_to_string(list_transform(regexp_extract_all(p_brand, '([\\p{Lu}\\p{Ll}\\p{Lt}]+|[^\\p{Lu}\\p{Ll}\\p{Lt}]+)', 1),
               lambda r: upper(substring(r, 1, 1)) || lower(substring(r, 2))), '') AS brand_title
         FROM part""",
 }

@@ -9,6 +9,7 @@ data read back, which must equal the source (the oracle is the source).
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tabsmith.plans.bank import clean_transactions, run_cleaning, run_failed_extract
 from tabsmith.plans.bindings import REGION_RATES, transactions_from_orders
@@ -18,21 +19,40 @@ from tabsmith.plans.catalog import (
     RANGE_END,
     RANGE_START,
     RANGE_SYMBOL,
+    RETS_OF_BARS,
+    TRAIN_OF_BARS,
     _bars,
     _sales_feed,
+    histogram_sql,
+    kde_sql,
     table,
 )
-from tabsmith.plans.stocks import stock_views
-from tabsmith.plans.sales import FINAL_SCHEMA, transform_sales
+from tabsmith.plans.stocks import stock_view
+from tabsmith.plans.sales import FEED_SCHEMA, FINAL_SCHEMA, transform_sales
 from tabsmith.session import scratch_path
-from tabsmith.sinks import load_table, preview, write_csv
+from tabsmith.sinks import load_table, preview, write_csv, write_json_arrays
 from tabsmith.sources.files import read_csv, read_json
 from tabsmith.sources.registry import SourceSpec, load_sources
 from tabsmith.streaming.bank import run_failed_stream
 
 
-# order status -> the status texts the raw transactions carry for it
-_STATUS_TEXT = {"F": ("Failed", "failed"), "O": ("Success",), "P": ("Declined",)}
+CSV_REGIONS = ["AFRICA", "AMERICA", "ASIA"]
+ARRAY_RECORDS = 10_000
+
+
+def written(df, name):
+    """``df`` written once as Parquet and read back, for feeds that several
+    files are made from."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _batches(df, column, values):
+    """``df`` cut by the values of a column; the last batch holds every other
+    value and null."""
+    listed = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    return [*(df.filter(F.col(column) == v) for v in values), df.filter(~listed)]
 
 
 def q_csv_round_trip(spark, sf_dir):
@@ -47,10 +67,9 @@ def q_csv_nested_read(spark, sf_dir):
     recursive scan (a ``**`` glob would miss a level)."""
     orders = table(spark, sf_dir, "orders")
     root = scratch_path(spark, "csv-nested")
-    for depth, status in enumerate(["F", "O", "P"]):
-        folder = "/".join([root] + ["level"] * depth + [f"batch_{status}"])
-        write_csv(orders.filter(F.col("o_orderstatus") == status), folder)
-    return read_csv(spark, root, schema=orders.schema, recursive=True, glob="*.csv")
+    for depth, part in enumerate(_batches(orders, "o_orderstatus", ["F", "O"])):
+        write_csv(part, "/".join([root] + ["level"] * depth + [f"batch_{depth}"]))
+    return read_csv(spark, root, schema=orders.schema, recursive=True)
 
 
 def q_preview_clean(spark, sf_dir):
@@ -75,21 +94,40 @@ def q_conform_sink(spark, sf_dir):
 
 def q_sales_feeds_load(spark, sf_dir):
     """The sales load end to end through the source registry: the feeds are
-    written as CSV (three regions) and line-delimited JSON (two regions),
+    written as CSV (three regions) and line-delimited JSON (all others),
     each folder partitioned by ``Country``, then read back as two sources,
     unioned by name, cleaned, converted, conformed and loaded as a table."""
-    feed = _sales_feed(spark, sf_dir)
+    feed = written(_sales_feed(spark, sf_dir), "sales-feed")
     root = scratch_path(spark, "sales-feeds")
-    csv_regions, json_regions = ["AFRICA", "AMERICA", "ASIA"], ["EUROPE", "MIDDLE EAST"]
-    in_csv = feed.filter(F.col("Country").isin(csv_regions))
-    in_csv.write.partitionBy("Country").option("header", "true").csv(f"{root}/csv")
-    feed.filter(F.col("Country").isin(json_regions)).write.partitionBy("Country").json(f"{root}/json")
+    in_csv = F.coalesce(F.col("Country").isin(CSV_REGIONS), F.lit(False))
+    feed.filter(in_csv).write.partitionBy("Country").option("header", "true").csv(f"{root}/csv")
+    feed.filter(~in_csv).write.partitionBy("Country").json(f"{root}/json")
     file_schema = feed.drop("Country").schema
     specs = [
         SourceSpec("csv", f"{root}/csv", options={"schema": file_schema}),
         SourceSpec("json", f"{root}/json", options={"schema": file_schema, "multi_line": False}),
     ]
-    cleaned = transform_sales(load_sources(spark, specs), rates=REGION_RATES, year_key="sale_key")
+    return _loaded_sales(spark, load_sources(spark, specs), root)
+
+
+def q_sales_feeds_untyped(spark, sf_dir):
+    """The same load with no schema given for the files: CSV cells are text
+    (quantities like ``14.0``), JSON quantities are whole numbers and keep the
+    type that inference finds; the registry's feed schema reconciles them."""
+    feed = written(_sales_feed(spark, sf_dir), "sales-feed")
+    root = scratch_path(spark, "sales-untyped")
+    in_csv = F.coalesce(F.col("Country").isin(CSV_REGIONS), F.lit(False))
+    as_text = [F.col(c).cast("string").alias(c) for c in feed.columns]
+    feed.filter(in_csv).select(as_text).write.option("header", "true").csv(f"{root}/csv")
+    whole = F.col("Qty").cast("long")
+    feed.filter(~in_csv).withColumn("Qty", F.when(whole == F.col("Qty"), whole)).write.json(f"{root}/json")
+    specs = [SourceSpec("csv", f"{root}/csv"), SourceSpec("json", f"{root}/json", options={"multi_line": False})]
+    kinds = StructType([*FEED_SCHEMA.fields, StructField("sale_key", LongType())])
+    return _loaded_sales(spark, load_sources(spark, specs, schema=kinds), root)
+
+
+def _loaded_sales(spark, combined, root):
+    cleaned = transform_sales(combined, rates=REGION_RATES, year_key="sale_key")
     table_path = f"{root}/final_sales"
     load_table(cleaned, path=table_path, schema=FINAL_SCHEMA)
     back = spark.read.parquet(table_path)
@@ -102,21 +140,29 @@ def q_bank_jobs(spark, sf_dir):
     extract job (failed CSV folder), read back."""
     raw = transactions_from_orders(table(spark, sf_dir, "orders"))
     root = scratch_path(spark, "bank")
-    for depth, status in enumerate(["F", "O", "P"]):
-        part = raw.filter(F.col("Transaction_Status").isin(*_STATUS_TEXT[status]))
-        write_csv(part, "/".join([f"{root}/raw"] + ["day"] * depth + [f"batch_{status}"]))
+    for depth, part in enumerate(_batches(raw, "Transaction_Status", ["Failed", "Success"])):
+        write_csv(part, "/".join([f"{root}/raw"] + ["day"] * depth + [f"batch_{depth}"]))
     cleaned = run_cleaning(spark, f"{root}/raw", f"{root}/cleaned", schema=raw.schema)
     return run_failed_extract(spark, f"{root}/cleaned", f"{root}/failed", schema=cleaned.schema)
 
 
-def q_stock_view_details(spark, sf_dir):
-    views = stock_views(_bars(spark, sf_dir), RANGE_SYMBOL, RANGE_START, RANGE_END, benchmark="2-high")
-    return views["details"]
+def _stock_view(name, **digits):
+    """A query for one output of the stock views, rounded where it is a sum of doubles."""
+
+    def query(spark, sf_dir):
+        view = stock_view(name, _bars(spark, sf_dir), RANGE_SYMBOL, RANGE_START, RANGE_END, benchmark="2-high")
+        return view.withColumns({c: F.round(c, n) for c, n in digits.items()}) if digits else view
 
+    return query
 
-def q_stock_view_correlation(spark, sf_dir):
-    views = stock_views(_bars(spark, sf_dir), RANGE_SYMBOL, RANGE_START, RANGE_END, benchmark="2-high")
-    return views["correlation"].withColumn("corr", F.round("corr", 6))
+
+def q_json_array_round_trip(spark, sf_dir):
+    """Orders as files that each hold one JSON array of at most
+    ``ARRAY_RECORDS`` records, read back with multi-line parsing."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "json-array")
+    write_json_arrays(orders, path, ARRAY_RECORDS)
+    return read_json(spark, path, schema=orders.schema, multi_line=True)
 
 
 def q_stream_failed(spark, sf_dir):
@@ -128,6 +174,18 @@ def q_stream_failed(spark, sf_dir):
     return spark.read.parquet(out_dir)
 
 
+_VIEW_QUERIES = {
+    "stock_view_details": _stock_view("details"),
+    "stock_view_details_pages": _stock_view("details_pages"),
+    "stock_view_return_histogram": _stock_view("return_histogram", bin_lo=9, bin_hi=9),
+    "stock_view_return_density": _stock_view("return_density", x=9, density=6),
+    "stock_view_averages": _stock_view("averages", ma50=4, ma200=4),
+    "stock_view_correlation": _stock_view("correlation", corr=6),
+    "stock_view_prediction_fit": _stock_view("prediction_fit", slope=6, intercept=4, r2=6),
+    "stock_view_prediction": _stock_view("prediction", predicted=4),
+    "stock_view_price": _stock_view("price"),
+}
+
 EXTRA_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "csv_nested_read": q_csv_nested_read,
@@ -136,17 +194,44 @@ EXTRA_QUERIES = {
     "conform_sink": q_conform_sink,
     "sales_feeds_load": q_sales_feeds_load,
     "bank_jobs": q_bank_jobs,
-    "stock_view_details": q_stock_view_details,
-    "stock_view_correlation": q_stock_view_correlation,
+    "json_array_round_trip": q_json_array_round_trip,
+    "sales_feeds_untyped": q_sales_feeds_untyped,
+    **_VIEW_QUERIES,
     "stream_failed": q_stream_failed,
 }
 
+# the bars of one symbol and year, under the name that the SQL of the views reads
+_CHOSEN = f"""{_BARS.replace("bars AS (", "all_bars AS (", 1)},
+bars AS (SELECT * FROM all_bars WHERE symbol = upper('{RANGE_SYMBOL}') AND dt >= DATE '{RANGE_START}' AND dt < DATE '{RANGE_END}')
+"""
+
 EXTRA_ORACLE_SQL = {
     "csv_round_trip": "SELECT * FROM orders",
     "csv_nested_read": "SELECT * FROM orders",
     "json_round_trip": "SELECT * FROM orders",
     "conform_sink": ORACLE_SQL["sales_load"],
     "sales_feeds_load": ORACLE_SQL["sales_load"],
+    "sales_feeds_untyped": ORACLE_SQL["sales_load"],
+    "json_array_round_trip": "SELECT * FROM orders",
+    "stock_view_details_pages": f"""WITH {_CHOSEN}
+        SELECT symbol, least(count(*), 180) AS total_rows, CAST(floor((least(count(*), 180) - 1) / 5) + 1 AS BIGINT) AS total_pages
+        FROM bars GROUP BY symbol""",
+    "stock_view_return_histogram": histogram_sql(_CHOSEN + RETS_OF_BARS, 9),
+    "stock_view_return_density": kde_sql(_CHOSEN + RETS_OF_BARS, 9),
+    "stock_view_averages": f"""WITH {_CHOSEN}
+        SELECT *, round(CASE WHEN count(close) OVER w50 = 50 THEN avg(close) OVER w50 END, 4) AS ma50,
+          round(CASE WHEN count(close) OVER w200 = 200 THEN avg(close) OVER w200 END, 4) AS ma200
+        FROM bars
+        WINDOW w50 AS (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
+               w200 AS (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)""",
+    "stock_view_prediction_fit": f"""WITH {_CHOSEN + TRAIN_OF_BARS}
+        SELECT symbol, round(slope, 6) AS slope, round(intercept, 4) AS intercept, round(r2, 6) AS r2, n FROM fit""",
+    "stock_view_prediction": f"""WITH {_CHOSEN + TRAIN_OF_BARS}
+        SELECT t.*, round(f.slope * t.close + f.intercept, 4) AS predicted FROM train t JOIN fit f ON t.symbol = f.symbol""",
+    "stock_view_price": f"""WITH {_CHOSEN}
+        SELECT symbol, max(high) AS highest, min(low) AS lowest,
+          printf('$%.2f', max(high)) AS highest_txt, printf('$%.2f', min(low)) AS lowest_txt
+        FROM bars GROUP BY symbol""",
     "bank_jobs": ORACLE_SQL["failed_extract"],
     "stock_view_details": f"""WITH {_BARS},
         chosen AS (SELECT * FROM bars WHERE symbol = upper('{RANGE_SYMBOL}')

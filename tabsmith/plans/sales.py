@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tabsmith.operators.enrich import amount, convert, random_int
-from tabsmith.operators.quality import drop_any, require_rows
+from tabsmith.operators.quality import drop_any
 from tabsmith.sinks import conform, load_table
 from tabsmith.sources.registry import SourceSpec, load_sources
 
@@ -40,6 +40,17 @@ FINAL_SCHEMA = StructType(
     ]
 )
 
+# The columns of a country feed and their common types.
+FEED_SCHEMA = StructType(
+    [
+        StructField("SaleId", StringType()),
+        StructField("Category", StringType()),
+        StructField("Product", StringType()),
+        StructField("Qty", DoubleType()),
+        StructField("Sale", DoubleType()),
+    ]
+)
+
 YEAR_LO, YEAR_HI = 1900, 2000
 
 
@@ -76,8 +87,8 @@ def run_sales_load(
     seed: int | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Read every feed, check there is data, transform and replace the table."""
-    combined = load_sources(spark, specs)
-    require_rows(combined, "Dataframe is empty, no data to process")
+    """Read every feed, transform and replace the table, in one pass over the
+    feeds; no rows at all raise and leave the old table in place."""
+    combined = load_sources(spark, specs, schema=FEED_SCHEMA)
     cleaned = transform_sales(combined, rates=rates, seed=seed)
-    return load_table(cleaned, table=table, path=path, schema=FINAL_SCHEMA, fmt=fmt)
+    return load_table(cleaned, table=table, path=path, schema=FINAL_SCHEMA, fmt=fmt, empty_message="Dataframe is empty, no data to process")

@@ -27,36 +27,47 @@ SCALE_CONF = {
 }
 
 
-# Extra settings for a large cluster: start every shuffle with many partitions
-# and let AQE merge them towards ~256 MB each (instead of maximising task
-# count), split a skewed join partition once it is 4x the median and over
-# 512 MB, and read input in 256 MB splits.
+# Extra settings for a large cluster: let AQE merge shuffle partitions towards
+# ~256 MB each (instead of maximising task count), split a skewed join partition
+# once it is 4x the median and over 512 MB, and read input in 256 MB splits. How
+# many partitions a shuffle starts with follows from the input (shuffle_partitions).
+PARTITION_BYTES = 256 * 1024**2
 CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.shuffle.partitions": "8192",
 }
 
 
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """As many partitions as hold the input at ``PARTITION_BYTES`` each. AQE
+    merges partitions that turn out small but does not split large ones (but
+    for skewed joins), so the start must suit a shuffle of the whole input."""
+    return max(200, -(-int(input_bytes) // PARTITION_BYTES))
+
+
 def get_session(
     master: str | None = None,
     app: str = "tabsmith",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
     cluster: bool = False,
+    input_bytes: int = 2 * 1024**4,
 ) -> SparkSession:
     """A session with adaptive execution on; ``cluster=True`` adds the
-    partition sizing meant for very large inputs (``CLUSTER_CONF``)."""
+    partition sizing meant for very large inputs (``CLUSTER_CONF``), with
+    shuffles sized for ``input_bytes`` (2 TiB unless told). ``shuffle_partitions``
+    overrides that number, in both settings that Spark plans with."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(SCALE_CONF)
     if cluster:
         settings.update(CLUSTER_CONF)
+        shuffle_partitions = shuffle_partitions or shuffle_partitions_for(input_bytes)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
@@ -109,3 +120,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     return f"{root}/tabsmith-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is no longer read, on whatever file system
+    it lies; one that is gone already is no error. Under Spark Connect there is
+    no file system at hand, and the folder stays."""
+    if not hasattr(spark, "_jvm"):
+        return
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from urllib.parse import urlsplit
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructType
 
-from tabsmith.operators.quality import require_rows
+from tabsmith.session import remove_path, scratch_path
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
@@ -18,12 +17,13 @@ def _qualified(df: DataFrame, path: str) -> tuple[str, str, str]:
     """``(scheme, authority, path)`` of ``path`` qualified against the default
     file system, so ``/x``, ``file:/x`` and ``file:///x`` compare equal."""
     spark = df.sparkSession
-    try:
-        hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-        return _split(fs.makeQualified(hpath).toString())
-    except Exception:  # no driver JVM (Spark Connect): qualify a bare path as local
-        return _split(path if urlsplit(path).scheme else "file://" + os.path.abspath(path))
+    if not hasattr(spark, "_jvm"):  # Spark Connect: only the server knows the default file system
+        if not urlsplit(path).scheme:
+            raise ValueError(f"give {path} with its scheme, so that it can be compared with the inputs")
+        return _split(path)
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return _split(fs.makeQualified(hpath).toString())
 
 
 def _split(uri: str) -> tuple[str, str, str]:
@@ -31,20 +31,36 @@ def _split(uri: str) -> tuple[str, str, str]:
     return parts.scheme, parts.netloc, parts.path.rstrip("/") or "/"
 
 
+def input_roots(df: DataFrame) -> list[str]:
+    """The folders (or files) that the plan's file relations were given, not
+    the files in them: a handful for any size of data. Under Spark Connect the
+    plan is not at hand and the listed files stand in."""
+    if not hasattr(df, "_jdf"):
+        return df.inputFiles()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots: list[str] = []
+    for at in range(leaves.size()):
+        leaf = leaves.apply(at)
+        relation = leaf.relation() if leaf.getClass().getSimpleName() == "LogicalRelation" else None
+        if relation is not None and relation.getClass().getSimpleName() == "HadoopFsRelation":
+            paths = relation.location().rootPaths()
+            roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
 def refuse_overwriting_inputs(df: DataFrame, path: str) -> None:
-    """Raise before writing when ``path`` holds files the plan reads.
+    """Raise before writing when the plan reads from ``path``, from a folder
+    within it, or from one that holds it.
 
     A path-based overwrite first deletes the target folder, then runs the
     plan; if the plan reads from that folder the input is lost and the job
-    fails half-way. Checked on the driver from the plan's file listing (no
-    job, no data read).
+    fails half-way. Checked on the driver from the plan (no job, no listing).
     """
     scheme, authority, target = _qualified(df, path)
-    prefix = target.rstrip("/") + "/"
-    for f in df.inputFiles():
-        f_scheme, f_authority, f_path = _split(f)
-        if (f_scheme, f_authority) == (scheme, authority) and (f_path == target or f_path.startswith(prefix)):
-            raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it ({f})")
+    for root in input_roots(df):
+        other_scheme, other_authority, other = _split(root)
+        if (other_scheme, other_authority) == (scheme, authority) and f"{target}/".startswith(f"{other}/") | f"{other}/".startswith(f"{target}/"):
+            raise ValueError(f"refusing to overwrite {path}: the DataFrame reads from it ({root})")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, **options: str) -> None:
@@ -88,6 +104,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select([_conform_column(f.name, f.dataType, types[f.name]) for f in schema.fields])
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    """The folder of a catalog table, if there is such a table yet."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def load_table(
     df: DataFrame,
     table: str | None = None,
@@ -96,31 +120,58 @@ def load_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    empty_message: str = "No data to load",
 ) -> DataFrame:
     """Replace a table (by name in the catalog, or a path) with ``df``.
 
-    The frame is conformed to ``schema`` first, and an empty frame raises
-    rather than truncating the table. Returns the conformed frame.
+    The frame is conformed to ``schema`` first. It is computed once, into a
+    staging folder of the shared scratch area, with its rows counted on the
+    way; an empty frame raises there, before the table is touched. The staged
+    copy is then written as the table, and removed. Returns the conformed
+    frame.
     """
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table or path")
     out = conform(df, schema) if schema is not None else df
-    if path is not None and mode == "overwrite":
-        refuse_overwriting_inputs(out, path)
-    require_rows(out, "No data to load")
-    writer = out.write.mode(mode).format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if table is not None:
-        writer.saveAsTable(table)
-    else:
-        writer.save(path)
+    spark = out.sparkSession
+    target = path if path is not None else _location(spark, table)
+    if target is not None and mode == "overwrite":
+        refuse_overwriting_inputs(out, target)
+    staging = scratch_path(spark, "load")
+    seen = Observation()
+    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staging)
+    try:
+        if not seen.get["rows"]:
+            raise ValueError(empty_message)
+        staged = spark.read.schema(out.schema).parquet(staging)
+        writer = staged.write.mode(mode).format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        if table is not None:
+            writer.saveAsTable(table)
+        else:
+            writer.save(path)
+    finally:
+        remove_path(spark, staging)
     return out
 
 
+def write_json_arrays(df: DataFrame, path: str, records: int, mode: str = "overwrite") -> None:
+    """A folder of JSON files that each hold one array of at most ``records``
+    records, as readers of whole documents want them. Null fields are left
+    out."""
+    if records < 1:
+        raise ValueError("records must be >= 1")
+    if mode == "overwrite":
+        refuse_overwriting_inputs(df, path)
+    numbered = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("record"), F.monotonically_increasing_id().alias("at"))
+    arrays = numbered.groupBy(F.expr(f"at div {records}").alias("chunk")).agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("record")), F.lit("]")).alias("value"))
+    arrays.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """Any ``n`` rows (not ordered); a cheap look, not a report."""
     return df.limit(n)
 
 
-__all__ = ["conform", "load_table", "preview", "refuse_overwriting_inputs", "write_csv"]
+__all__ = ["conform", "load_table", "preview", "refuse_overwriting_inputs", "write_csv", "write_json_arrays"]

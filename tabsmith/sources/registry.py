@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tabsmith.functions import PANDAS_NA_TOKENS
 from tabsmith.operators.enrich import tag, union_all
@@ -44,6 +46,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, tag_column: str = "Countr
     elif kind == "json":
         df = read_json(spark, spec.location, **opts)
     elif kind == "xlsx":
+        opts.setdefault("missing_tokens", PANDAS_NA_TOKENS)
         df = read_xlsx(spark, spec.location, **opts)
     elif kind in DB_KINDS:
         if not spec.table:
@@ -54,8 +57,24 @@ def read_source(spark: SparkSession, spec: SourceSpec, tag_column: str = "Countr
     return tag(df, tag_column, spec.country) if tag_column and spec.country is not None else df
 
 
-def load_sources(spark: SparkSession, specs: Sequence[SourceSpec], tag_column: str = "Country") -> DataFrame:
-    """Union by column name of every source; a column missing from a feed is null."""
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns that ``schema`` names, cast to its types; a value that does
+    not parse is missing. Other columns stay as they are."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return df.select([F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+
+
+def load_sources(
+    spark: SparkSession, specs: Sequence[SourceSpec], tag_column: str = "Country", schema: StructType | None = None
+) -> DataFrame:
+    """Union by column name of every source; a column missing from a feed is null.
+
+    Feeds type the same column differently (CSV and spreadsheet cells are text,
+    JSON and databases have numbers). With ``schema`` each feed's columns are
+    cast to the common types before the union, so the result does not depend
+    on how a union would reconcile them.
+    """
     if not specs:
         raise ValueError("no sources given")
-    return union_all([read_source(spark, s, tag_column) for s in specs])
+    feeds = [read_source(spark, s, tag_column) for s in specs]
+    return union_all([typed(f, schema) for f in feeds] if schema is not None else feeds)

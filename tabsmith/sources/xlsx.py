@@ -17,13 +17,15 @@ import io
 import re
 import zipfile
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tabsmith.functions import null_tokens
+
 _NS = {
     "m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
     "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -76,7 +78,8 @@ def _cell_text(cell: ET.Element, shared: list[str]) -> str | None:
 
 def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
     """Rows of the first sheet as lists of cell text (gaps are None),
-    streamed from the zip member so a large sheet is never held whole."""
+    parsed as the zip member is read. Emptied row elements stay in the tree, so
+    memory still grows slowly with the number of rows."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = _shared_strings(book)
         row_tag, cell_tag = f"{{{_NS['m']}}}row", f"{{{_NS['m']}}}c"
@@ -114,14 +117,25 @@ def _frame(body: list[list[str | None]], names: list[str], where: dict[str, int]
 
 
 def read_xlsx(
-    spark: SparkSession, path: str | list[str], schema: StructType | None = None, batch_rows: int = 10000
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType | None = None,
+    batch_rows: int = 10000,
+    glob: str | None = None,
+    missing_tokens: Iterable[str] | None = None,
 ) -> DataFrame:
     """Rows of the first sheet of every workbook under ``path``.
 
     Without ``schema`` the columns are the union of the header names (text);
-    a workbook lacking a column gives null there.
+    a workbook lacking a column gives null there. Every file under ``path`` is
+    read, whatever its name, unless ``glob`` narrows them; one that is not a
+    workbook fails the read. ``missing_tokens`` turns text cells such as ``NA``
+    into nulls before any cast.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(path).select("path", "content")
     if schema is None:
         header_rows = (
             files.mapInPandas(_headers, "path string, pos int, name string")
@@ -154,4 +168,7 @@ def read_xlsx(
 
     text_schema = StructType([StructField(n, StringType(), True) for n in names])
     parsed = files.select("content").mapInPandas(parse, text_schema)
+    if missing_tokens is not None:
+        tokens = list(missing_tokens)
+        parsed = parsed.withColumns({n: null_tokens(n, tokens) for n in names}) if names else parsed
     return parsed.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])

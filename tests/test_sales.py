@@ -139,7 +139,7 @@ def test_load_table_by_name(spark):
     load_table(transform_sales(feed, seed=1), table="final_sales_test", schema=FINAL_SCHEMA)
     stored = spark.table("final_sales_test")
     assert stored.columns == FINAL_SCHEMA.fieldNames() and stored.count() == 2
-    # replacing the table with a frame that reads it is refused by Spark before anything is deleted
+    # replacing the table with a frame that reads it is refused before anything is deleted
     with pytest.raises(Exception):
         load_table(stored.filter("Qty > 1"), table="final_sales_test", schema=FINAL_SCHEMA)
     assert spark.table("final_sales_test").count() == 2
