@@ -85,6 +85,20 @@ def arrow_table(columns: dict[str, object], types: dict[str, pa.DataType]) -> pa
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
+#: The word caches of this worker process; the last is the one in use.
+caches: list[dict] = []
+
+
+def only(cache: dict) -> None:
+    """Empty the other caches: a worker serves one operator after another, and
+    must not hold the words of all of them."""
+    if caches[-1] is not cache:
+        for other in caches:
+            if other is not cache:
+                other.clear()
+        caches[:] = [*(c for c in caches if c is not cache), cache]
+
+
 class PayloadCache(dict):
     """Bytes per piece of text, made on first use.
 
@@ -93,9 +107,10 @@ class PayloadCache(dict):
     a full cache starts anew.
     """
 
-    def __init__(self, make: Callable[[str], bytes], limit: int = 500_000):
+    def __init__(self, make: Callable[[str], bytes], limit: int = 300_000):
         super().__init__()
         self.make, self.limit = make, limit
+        caches.append(self)
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.limit:
@@ -106,6 +121,7 @@ class PayloadCache(dict):
         return value
 
     def join(self, pieces: Iterable[str]) -> bytes:
+        only(self)
         return b"".join([self[p] for p in pieces])
 
 

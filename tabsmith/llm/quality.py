@@ -15,6 +15,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -47,19 +49,33 @@ _RUN = re.compile(r"[^\w\s]{2,}$")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _payload(word: str) -> bytes:
-    """One number per word: shape cell, four flags, symbols, length."""
+def _shape(word: str) -> int:
+    """Cell of a word's shape: runs of letters as A or a, of digits as 0, marks as they are."""
     shape = _LETTERS.sub(lambda m: "A" if m[0].isupper() else "a", word)
     shape = re.sub(r"\d+", "0", shape)
     shape = re.sub(r"(.)\1+", r"\1\1", shape)[:16]
+    return zlib.crc32(shape.encode()) % CELLS
+
+
+def _describe(word: str) -> int:
     flags = (
         (len(word) > 1 and word.isupper())
         | bool(_RUN.search(word)) << 1
         | (not any(c.isalnum() for c in word)) << 2
         | (word[-1] in ".!?") << 3
     )
-    symbols = min(len(_USUAL.sub("", word)), 0xFFFF)
-    return np.int64(zlib.crc32(shape.encode()) % CELLS | flags << 12 | symbols << 16 | min(len(word), 0xFFFFFF) << 32).tobytes()
+    return _shape(word) | flags << 12 | min(len(_USUAL.sub("", word)), 0xFFFF) << 16
+
+
+#: the same for words of lower-case letters, by the mark that follows
+_PLAIN = {mark: _describe("a" + mark) for mark in ("", *".,;:!?")}
+
+
+def _payload(word: str) -> bytes:
+    """One number per word: shape cell, four flags, symbols, length."""
+    core, mark = (word[:-1], word[-1]) if word[-1] in ".,;:!?" else (word, "")
+    number = _PLAIN[mark] if core.isalpha() and not core.isupper() else _describe(word)
+    return (number | min(len(word), 0xFFFFFF) << 32).to_bytes(8, "little")
 
 
 _cache = PayloadCache(_payload)
@@ -84,14 +100,16 @@ def look(text: str) -> Look:
     packed = np.frombuffer(_cache.join(words), dtype=np.int64)
     lengths = packed >> 32
     lines = [s for line in text.split("\n") if (s := line.strip())]
-    repeats = sum(map(str.__eq__, words, words[1:])) / n
+    repeats = sum(map(eq, words, islice(words, 1, None))) / n
     same_lines = 1 - len(set(lines)) / len(lines)
     share = lambda bit: np.count_nonzero(packed & (1 << bit)) / n
     # long texts see their words again by nature: judged as if in pieces of about 200 words
     seen_before = 1 - len(set(words)) / n if n <= 200 else 1 - np.mean([len(set(words[k : k + 200])) / min(200, n - k) for k in range(0, n - 99, 200)])
     symbols = float(((packed >> 16) & 0xFFFF).sum() / max(1, lengths.sum()))
     traits = np.array([symbols, repeats, share(12), same_lines, share(13), share(14), seen_before, lengths.mean()])
-    cells, counts = np.unique(packed & (CELLS - 1), return_counts=True)
+    counts = np.bincount(packed & (CELLS - 1), minlength=CELLS)
+    cells = np.flatnonzero(counts)
+    counts = counts[cells]
     # traits as features of their own, beside the shapes
     own = (np.arange(len(LIMITS)) * 7919 + 13) % CELLS
     return Look(n, share(15), traits, np.concatenate([cells, own]), np.concatenate([counts / n, np.minimum(traits, 20) / [*[1] * (len(LIMITS) - 1), 10]]))

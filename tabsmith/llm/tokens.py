@@ -15,6 +15,8 @@ import re
 
 import numpy as np
 
+from tabsmith.llm.common import caches, only
+
 # Texts with other characters take the plain path: within these, Python and the
 # tokenizers library agree on letters, digits, white space and lower case.
 _UNSAFE = re.compile("[^\n\x20-\x7e¡-ɏ‐-‧€]")
@@ -24,7 +26,7 @@ _RUNS = ("  ", "\n\n", " \n", "\n ")
 class Encoder:
     """Ids of texts as little-endian bytes (2 per id when the vocabulary fits)."""
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -36,6 +38,7 @@ class Encoder:
             self.mode = _mode(json.load(f))
         self.cache: dict[str, bytes] = {}
         self.limit = limit
+        caches.append(self.cache)
         vocab = self.tokenizer.get_vocab()
         #: for ids of words encoded together: whether an id ends ("dropped") or begins ("spaced") a word
         self.edge = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
@@ -86,6 +89,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, in order."""
         cache = self.cache
+        only(cache)
         if len(cache) > self.limit:
             cache.clear()
         cut = [self._pieces(t) for t in texts]
