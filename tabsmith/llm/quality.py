@@ -161,7 +161,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, epochs: int = 15, rate: float = 0.1, decay: float = 1e-5, batch: int = 64) -> tuple[float, np.ndarray]:
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, epochs: int = 40, rate: float = 0.1, decay: float = 1e-5, batch: int = 64) -> tuple[float, np.ndarray]:
     """Logistic regression on soft labels, AdaGrad steps, a fixed random order."""
     rng = np.random.default_rng(3)
     bias, weights = 1.0, np.zeros(CELLS)
