@@ -1,0 +1,201 @@
+"""SimHash, embedding near-duplicates and components against brute force."""
+
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tabsmith.llm import buckets, embedding_dedup, queries, simhash_dedup
+from tabsmith.llm.components import connected_components
+
+
+def groups(nodes, links):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_match_union_find(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)]
+    edges += [(k, k + 1) for k in range(100, 140)] + [(200, k) for k in range(201, 260)] + [(5, 5)]
+    want = groups({x for e in edges for x in e}, edges)
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame([*edges, (None, 3)], "a long, b long")).collect()}
+    assert got == {n: r for n, r in want.items() if n != r}
+
+
+def test_components_without_edges(spark):
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_golay_keys_meet_within_two_bits():
+    rng = np.random.default_rng(0)
+    words = rng.integers(0, 1 << 23, 400)
+    for errors in itertools.chain([()], itertools.combinations(range(23), 1), itertools.combinations(range(23), 2)):
+        other = words ^ sum(1 << e for e in errors)
+        a, b = simhash_dedup.golay_keys(words), simhash_dedup.golay_keys(other)
+        assert (((a[:, :, None] == b[:, None, :]) & (a[:, :, None] >= 0)).any(axis=(1, 2))).all()
+    counts = (simhash_dedup.golay_keys(np.arange(1 << 14)) >= 0).sum(axis=1)
+    assert set(counts) <= {1, 6}
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3, 4, 7])
+def test_buckets_find_every_pair_within_the_distance(bits):
+    rng = np.random.default_rng(bits)
+    one = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    for _ in range(8):
+        flips = np.array([sum(1 << int(b) for b in rng.choice(64, bits, replace=False)) for _ in one], dtype=np.uint64)
+        keys = [simhash_dedup.bucket_keys(x, bits) for x in (one, one ^ flips)]
+        for k in range(len(one)):
+            assert set(keys[0][0][keys[0][1] == k]) & set(keys[1][0][keys[1][1] == k])
+
+
+def slow_fingerprint(text, shingle):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) if hashes else 0
+
+
+TEXTS = ["", None, " \t\x0b", "a", "A b", "one two three four", "One TWO three four", "É é \xa0x y z", "w " * 50, "x\x0cy\x1cz q r", "ÄB cd ef gh ij kl"]
+
+
+@pytest.mark.parametrize("shingle", [1, 4])
+def test_fingerprints(shingle):
+    for text in TEXTS:
+        assert int.from_bytes(simhash_dedup.fingerprint(text or "", shingle), "big") == slow_fingerprint(text, shingle)
+
+
+def noisy_copies(rng, n):
+    base = [rng.choice(["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta"]) + str(rng.randint(0, 30)) for _ in range(120)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"new{rng.randint(0, 99)}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("bucket", [4096, 5])
+def test_simhash_groups_match_brute_force(spark, docs_of, bucket):
+    rng = random.Random(9)
+    rows = list(enumerate(TEXTS + noisy_copies(rng, 60) + noisy_copies(rng, 25), 10))
+    rows += [(5, "one two three four"), (5, "one two three four"), (None, "one two three four"), (None, "alone without an id at all")]
+    got = simhash_dedup.simhash_groups(docs_of(rows), bucket=bucket).collect()
+    prints = [slow_fingerprint(t, 4) for _, t in rows]
+    links = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
+    of = groups(range(len(rows)), links)
+    names = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            names[of[k]] = min(names.get(of[k], i), i)
+    want = sorted((i if i is not None else -1, prints[k], names.get(of[k], -1)) for k, (i, _) in enumerate(rows))
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.fp & (1 << 64) - 1, r.component_id if r.component_id is not None else -1) for r in got) == want
+
+
+def test_one_document_of_each_group_stays(spark, docs_of):
+    rows = [(4, "a b c d"), (2, "A b c d"), (9, "quite another text here"), (9, "quite another text here"), (None, "no id"), (None, "no id")]
+    docs = docs_of(rows)
+    kept = simhash_dedup.near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, -1, 2, 9]
+    assert simhash_dedup.near_duplicates(docs_of([])).count() == 0
+
+
+def slow_links(vectors, least):
+    dim = max((len(v) for v in vectors if v is not None), default=0)
+
+    def unit(v):
+        if not v or len(v) != dim or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            return None
+        x = np.array(v, dtype=float)
+        return x / np.linalg.norm(x)
+
+    units = [unit(v) for v in vectors]
+    return [(a, b) for a, b in itertools.combinations(range(len(units)), 2) if units[a] is not None and units[b] is not None and units[a] @ units[b] >= least]
+
+
+@pytest.mark.parametrize("bucket", [1024, 7])
+@pytest.mark.parametrize("dim", [3, 24])
+def test_vector_links_match_brute_force(spark, bucket, dim):
+    rng = np.random.default_rng(dim)
+    centres = rng.standard_normal((6, dim))
+    vectors = [list(map(float, c + rng.standard_normal(dim) * 0.05 * np.linalg.norm(c) / math.sqrt(dim))) for c in centres for _ in range(14)]
+    vectors += [vectors[3], vectors[3], [0.0] * dim, None, [], [1.0], [float("nan")] * dim, [float("inf")] + [1.0] * (dim - 1), [None] + [1.0] * (dim - 1)]
+    ids = list(range(100, 100 + len(vectors)))
+    ids[5], ids[20] = None, ids[21]
+    frame = spark.createDataFrame([(i, v, 1, 2) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<double>, links int, node int")
+    got = embedding_dedup.near_duplicate_vectors(frame, bucket=bucket).collect()
+    links = slow_links(vectors, 0.95)
+    degree = np.bincount([x for e in links for x in e], minlength=len(vectors))
+    of = groups(range(len(vectors)), links)
+    names = {}
+    for k, i in enumerate(ids):
+        if i is not None:
+            names[of[k]] = min(names.get(of[k], i), i)
+    want = sorted((i or -1, int(degree[k]), names.get(of[k], -1)) for k, i in enumerate(ids))
+    have = sorted((r.vec_id or -1, r.n_links, r.component_id if r.component_id is not None else -1) for r in got)
+    assert sum(a != b for a, b in zip(have, want, strict=True)) == 0
+    assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
+
+
+def test_vectors_of_an_empty_table(spark):
+    frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert embedding_dedup.near_duplicate_vectors(frame).count() == 0
+
+
+def test_recall_on_the_supplied_vectors(spark, tmp_dir):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((150, 64))
+    near = np.concatenate([base, base + rng.standard_normal(base.shape) * 0.3])  # cosines around 0.958
+    frame = spark.createDataFrame([(k, list(map(float, v))) for k, v in enumerate(near)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicate_vectors(frame).collect()}
+    links = slow_links([list(v) for v in near], 0.95)
+    assert len(links) > 80 and sum(got.values()) / 2 >= 0.99 * len(links)
+    assert sum(got.values()) / 2 <= len(links)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 100])
+def test_whole_buckets_keep_buckets_together(limit):
+    rng = random.Random(limit)
+    keys = sorted(rng.choices(range(12), k=90) + [50] * 40)
+    rows = list(enumerate(keys))
+    for size in (1, 4, 200):
+        batches = [pa.RecordBatch.from_pydict({"key": [k for _, k in rows[a : a + size]], "row": [r for r, _ in rows[a : a + size]]}) for a in range(0, len(rows), size)]
+        seen, small = [], []
+        chunks = {}
+        for chunk, table in buckets.whole_buckets(iter(batches), limit, rows=10):
+            pairs = list(zip(table.column("key").to_pylist(), table.column("row").to_pylist(), strict=True))
+            seen += pairs
+            if chunk < 0:
+                small += [{k for k, _ in pairs}]
+            else:
+                assert len({k for k, _ in pairs}) == 1 and len(pairs) <= limit
+                chunks.setdefault(pairs[0][0], []).append(chunk)
+        assert sorted(r for _, r in seen) == list(range(len(rows)))
+        for a, b in itertools.combinations(small, 2):
+            assert not a & b
+        assert set(chunks) == {k for k in set(keys) if keys.count(k) > limit}
+        assert all(c == list(range(len(c))) for c in chunks.values())
+
+
+def test_query_columns(spark):
+    out = queries.op7_simhash_dedup(spark, "/root/testdata/sf0.001")
+    assert out.columns == ["doc_id", "fingerprint", "component_id"]
+    assert out.filter(F.length("fingerprint") != 16).count() == 0
