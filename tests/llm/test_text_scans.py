@@ -1,0 +1,217 @@
+"""License scans, decontamination and HTML extraction."""
+
+import difflib
+import html
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tabsmith.llm import decontaminate, html_text, license_scan, queries
+
+SF = "/root/testdata/sf0.01"
+EDGE = [(1, None), (2, ""), (3, " \n\t"), (4, "!!! ..."), (6, "x" * 200_000), (7, "the license " * 20_000), (None, "no id")]
+
+
+# --- licenses ---------------------------------------------------------------------
+
+
+def test_ascending_is_a_longest_increasing_subsequence():
+    rng = random.Random(2)
+    for _ in range(300):
+        values = rng.sample(range(40), rng.randint(0, 12))
+        got = license_scan._ascending(list(enumerate(values)))
+        best = [1] * len(values)
+        for i in range(len(values)):
+            best[i] = 1 + max((best[j] for j in range(i) if values[j] < values[i]), default=0)
+        assert len(got) == max(best, default=0)
+        assert got == sorted(got) and [j for _, j in got] == sorted(j for _, j in got)
+        assert all(values[i] == j for i, j in got)
+
+
+def test_alignment_is_a_common_subsequence_and_close_to_the_longest():
+    rng = random.Random(3)
+    for _ in range(200):
+        template = [rng.choice("abcdefghijkl") for _ in range(rng.randint(1, 14))]
+        text = [w for w in template if rng.random() < 0.85]
+        for _ in range(rng.randint(0, 3)):
+            text.insert(rng.randint(0, len(text)), rng.choice("abcxyz"))
+        pairs = license_scan.align(template, text)
+        assert pairs == sorted(set(pairs)) and all(template[i] == text[j] for i, j in pairs)
+        assert [j for _, j in pairs] == sorted({j for _, j in pairs})
+        assert len(pairs) <= len(license_scan._common(template, text))
+    assert license_scan.align(list("abc"), list("abc")) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_anchors_are_found_among_repeated_words():
+    template = "the a the unique the b the".split()
+    text = "x the a y the unique z the b the".split()
+    assert len(license_scan.align(template, text)) == 7
+
+
+def test_scan_finds_notices_with_changed_words():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    grant = license_scan.TEMPLATES["MIT-grant"].replace("any person", "any human person").replace("associated ", "")
+    filler = "of the rain and to the sea without limitation " * 300
+    found = scanner.scan(f"{filler}\n{grant}\n{filler}")
+    assert [f[0] for f in found] == ["MIT-grant"] and found[0][1] >= 0.9 * found[0][2]
+    words = license_scan.words_of(f"{filler} {grant}")
+    assert words[found[0][3]] == "permission"
+    assert scanner.scan(filler) == []
+    twice = "Released under the MIT License.\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0."
+    assert [f[0] for f in scanner.scan(twice)] == ["CC-BY-NC-4.0", "MIT"]
+
+
+def test_scan_matches_lines_in_the_documents(spark):
+    lines = {
+        "MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    }
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    want = {(r.doc_id, name) for r in docs for name, line in lines.items() if line.lower() in r.text.lower()}
+    got = queries.op1_license_scan(spark, SF).collect()
+    assert want and want <= {(r.doc_id, r.license) for r in got}
+    for r in got:  # a brute-force look at the place that was found
+        text = license_scan.words_of(next(d.text for d in docs if d.doc_id == r.doc_id))[r.start_word : r.stop_word]
+        blocks = difflib.SequenceMatcher(None, license_scan.words_of(license_scan.TEMPLATES[r.license]), text, autojunk=False).get_matching_blocks()
+        assert sum(b.size for b in blocks) >= r.n_aligned * 0.9 and r.coverage >= 0.8
+
+
+def test_scan_edge_cases(docs_of):
+    assert license_scan.scan_licenses(docs_of(EDGE)).count() == 0
+    assert license_scan.scan_licenses(docs_of([])).count() == 0
+    assert license_scan.scan_licenses(docs_of([(1, "a b")]), templates={"empty": "...", "own": "a b"}).collect()[0].license == "own"
+    assert license_scan.scan_licenses(docs_of([(1, "a b")] * 2), templates={"own": "a b"}).count() == 2
+
+
+# --- decontamination --------------------------------------------------------------
+
+
+def slow_distance(item, text):
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        before, row[0] = row[0], i
+        for j, b in enumerate(text, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (a != b))
+    return min(row)
+
+
+def test_bit_parallel_distance_matches_the_table():
+    rng = random.Random(5)
+    for _ in range(300):
+        item = "".join(rng.choices("abc ", k=rng.randint(1, 90)))
+        text = "".join(rng.choices("abc ", k=rng.randint(0, 120)))
+        best, end = decontaminate.distance(item, text)
+        assert best == slow_distance(item, text)
+        assert slow_distance(item, text[:end]) == best
+
+
+def test_pieces_tile_the_item():
+    for item, errors in (("abcdefghij", 3), ("ab", 5), ("a", 0)):
+        found = decontaminate.pieces(item, errors)
+        assert "".join(p for _, p in found) == item and all(item[o : o + len(p)] == p for o, p in found)
+        assert len(found) == min(errors + 1, len(item))
+
+
+def edited(rng, text, n):
+    for _ in range(n):
+        at = rng.randrange(len(text))
+        text = rng.choice([text[:at] + text[at + 1 :], text[:at] + "q" + text[at:], text[:at] + "z" + text[at + 1 :]])
+    return text
+
+
+def test_matcher_matches_brute_force():
+    rng = random.Random(6)
+    words = ["ant", "bee", "cow", "dog", "elk", "fox", "gnu", "hen"]
+    items = [(k, decontaminate.normal(" ".join(rng.choices(words, k=rng.randint(3, 30))))) for k in range(12)]
+    matcher = decontaminate.Matcher(items, 1 / 16)
+    for _ in range(40):
+        _, item = rng.choice(items)
+        text = " ".join([*rng.choices(words, k=10), edited(rng, item, rng.randint(0, 9)), *rng.choices(words, k=10)])
+        want = {}
+        for number, one in items:
+            best = slow_distance(one, decontaminate.normal(text))
+            if best <= decontaminate.budget(one):
+                want[number] = best
+        assert {f[0]: f[1] for f in matcher.find(text)} == want
+
+
+def test_every_benchmark_passage_is_found(spark):
+    items = [(r.item_id, decontaminate.normal(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    want = {(d.doc_id, i) for d in docs for i, item in items if item in decontaminate.normal(d.text)}
+    got = {(r.doc_id, r.item_id): r.distance for r in queries.op5_decontaminate(spark, SF).collect()}
+    assert want and {k for k, n in got.items() if n == 0} == want
+
+
+@pytest.mark.parametrize("block", [4_000_000, 10])
+def test_decontamination_edge_cases(spark, docs_of, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", block)  # one block, or one per item
+    bench = spark.createDataFrame([(1, "Hello, hidden world of tests", 1), (2, None, 1), (3, "", 1), (4, "?!", 1), (5, "hello HIDDEN world of tests", 1), (None, "secret item here", 1)], "item_id long, text string, doc_id int")
+    docs = docs_of([*EDGE, (8, "so: hello -- hidden world, of tests."), (8, "so: hello -- hidden world, of tests."), (9, "othello hidden worlds"), (10, "the secret item here")])
+    got = sorted((r.doc_id, r.item_id or 0, r.distance) for r in decontaminate.contaminated(docs, bench).collect())
+    assert got == [(8, 1, 0), (8, 1, 0), (8, 5, 0), (8, 5, 0), (10, 0, 0)]
+    clean = decontaminate.without_contaminated(docs, bench)
+    assert clean.columns == docs.columns
+    assert sorted(r.doc_id or -1 for r in clean.collect()) == [-1, 1, 2, 3, 4, 6, 7, 9]
+    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+    assert decontaminate.contaminated(docs_of([]), bench).count() == 0
+    assert decontaminate.without_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+# --- HTML -------------------------------------------------------------------------
+
+TREE = html_text.default_tree()
+PAGE = """<!DOCTYPE html><html><head><title>T &lt;p&gt;</title><style>p{}</style><script>var a="</p><p>no";</script></head>
+<body class="has-sidebar"><header><h1>Site name</h1><p>A long header text that goes on and on for many words to look like content.</p></header>
+<nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav><!-- <p>comment</p> -->
+<div id="cookie-notice">We use cookies on this page, and we would like you to know all about them.</div>
+<article><header><h1>The   title</h1></header><p>Short.</p><P>Caf&eacute; &amp; <a href=x>link</a>&nbsp;text &#x41;&#66;<br>next
+  line<p>Unclosed &lt;b&gt; <b>bold</b><ul><li>item one<li>item two</ul>
+<div class="ad-box">Buy this now, it is the best thing that you will see in your life, really.</div><form><p>Your name</p><input value="v"><button>Send</button></form>
+<table><tr><td>cell 1<td>cell 2</table><p>1 < 2 and 3 > 2</p><section class="comments"><h2>Comments</h2><p>First comment that is long enough to look like text of the page.</p></section></article>
+<aside><p>Side text that is long enough to look like the text of the page, but is not.</p></aside><footer>&copy; 2024</footer></body></html>"""
+
+
+def test_main_text_of_a_page():
+    assert html_text.main_text(PAGE, TREE) == "The title\nShort.\nCafé & link text AB next line\nUnclosed <b> bold\nitem one\nitem two\ncell 1\ncell 2\n1 < 2 and 3 > 2"
+
+
+def test_page_without_article():
+    para = "Some words that make up a paragraph of an ordinary page, which goes on for a while. " * 2
+    page = f"<body><div><a href=/>Home</a> <a href=/x>More</a></div><h2>Heading here</h2><p>{para}</p><p>Short one.</p><p>{para}</p><div class='footer'>Imprint</div></body>"
+    assert html_text.main_text(page, TREE) == f"Heading here\n{para.strip()}\nShort one.\n{para.strip()}"
+
+
+@pytest.mark.parametrize("page,want", [("", ""), ("just text", ""), ("<article>a", "a"), ("<article><p>a<p>b</arti", "a\nb"), ("<article>x<b", "x"), ("<article>&am", "&am"), ("<article><script>x", ""), ("<article>a<!-- b", "a"), ("<<article>>y", "> y".replace(" ", "")), ("<article><p title='a>b'>c</p>", "c"), ('<article><p title="a>c</p>', "c")])
+def test_broken_pages(page, want):
+    assert html_text.main_text(page, TREE) == want
+
+
+def test_tree_learns_its_table_and_simple_rules():
+    rows, labels = html_text.LABELLED[:, :-1], html_text.LABELLED[:, -1]
+    assert (TREE.predict(rows) == labels).all()
+    rng = np.random.default_rng(0)
+    x = rng.random((400, 3))
+    y = ((x[:, 0] > 0.5) & (x[:, 2] < 0.3)).astype(float)
+    tree = html_text.grow(x[:300], y[:300])
+    assert (tree.predict(x[300:]) == y[300:]).mean() > 0.95
+
+
+def test_supplied_pages_give_their_articles(spark):
+    got = {r.page_id: r for r in queries.op9_html_text(spark, SF).collect()}
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for r in pages:
+        inner = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*(>|$)", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner[1])] if inner else []
+        assert got[r.page_id].text == "\n".join(b for b in blocks if b), r.page_id
+        assert got[r.page_id].n_chars == len(got[r.page_id].text) and got[r.page_id].url == r.url
+
+
+def test_html_edge_cases(spark):
+    pages = spark.createDataFrame([(1, "u", None, 1), (2, None, "", 1), (None, "u", "<article>" + "<p>word</p>" * 5000, 1), (4, "u", "<p" * 20_000, 1), (4, "u", "<p" * 20_000, 1)], "page_id long, url string, html string, text int")
+    got = html_text.extract(pages).collect()
+    assert sorted(r.n_chars for r in got) == [0, 0, 0, 0, 5 * 5000 - 1]
+    assert html_text.extract(pages.limit(0)).count() == 0
