@@ -77,34 +77,28 @@ class Codes:
         return [np.sort(np.concatenate(found)) for found in lists]
 
 
-def _unit(values: list | None, dim: int) -> np.ndarray | None:
-    """The vector in double precision and of length 1; None if it links with nothing."""
-    if not values or len(values) != dim or any(v is None for v in values):
-        return None
-    x = np.asarray(values, dtype=np.float64)
-    if not np.isfinite(x).all() or not (top := np.abs(x).max()):
-        return None
-    x = x / top  # so that squares neither overflow nor vanish
-    return x / np.linalg.norm(x)
+def _units(rows: np.ndarray) -> np.ndarray:
+    """Rows in double precision and of length 1."""
+    x = rows.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _earlier_shared(lists: np.ndarray, left: np.ndarray, right: np.ndarray, here: int) -> np.ndarray:
-    """Whether the pairs share a filter before ``here``; lists are padded with -1."""
-    before = np.where((lists >= 0) & (lists < here), lists, -1)
-    used = int((before >= 0).sum(axis=1).max(initial=0))
+def _earlier_shared(before: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether the pairs share a filter; ``before`` has each row's, padded with -1."""
     shared = np.zeros(len(left), dtype=bool)
     for at in range(0, len(left), 20_000):
-        a, b = before[left[at : at + 20_000], :used], before[right[at : at + 20_000], :used]
-        for k in range(used):
+        a, b = before[left[at : at + 20_000]], before[right[at : at + 20_000]]
+        for k in range(before.shape[1]):
             shared[at : at + 20_000] |= ((a[:, k, None] == b) & (b >= 0)).any(axis=1)
     return shared
 
 
-def _compare(rows: pa.Table, dim: int, least: float, here: int, across: np.ndarray | None = None) -> dict[str, np.ndarray] | None:
+def _compare(rows: pa.Table, dim: int, kind: str, least: float, across: np.ndarray | None = None) -> dict[str, np.ndarray] | None:
     """Links among the rows of one filter that count there: for each linked row
     its node, its number of linked vectors and a smaller node it is joined to.
     ``across``: two chunk numbers' sides; then only pairs between them."""
-    unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), dtype=np.float64).reshape(-1, dim)
+    unit = _units(np.frombuffer(b"".join(rows.column("vector").to_pylist()), dtype=kind).reshape(-1, dim))
     close = unit @ unit.T >= least
     np.fill_diagonal(close, False)
     if across is not None:
@@ -112,11 +106,11 @@ def _compare(rows: pa.Table, dim: int, least: float, here: int, across: np.ndarr
     left, right = np.nonzero(np.triu(close))
     if not len(left):
         return None
-    raw = [np.frombuffer(f, dtype=np.int64) for f in rows.column("filters").to_pylist()]
-    lists = np.full((len(raw), max(map(len, raw))), -1, dtype=np.int64)
+    raw = [np.frombuffer(f, dtype=np.int64) for f in rows.column("before").to_pylist()]
+    before = np.full((len(raw), max(map(len, raw))), -1, dtype=np.int64)
     for at, found in enumerate(raw):
-        lists[at, : len(found)] = found
-    new = ~_earlier_shared(lists, left, right, here)
+        before[at, : len(found)] = found
+    new = ~_earlier_shared(before, left, right)
     left, right = left[new], right[new]
     if not len(left):
         return None
@@ -149,6 +143,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
     component is named by the smallest id that is not null, if any. An empty
     table gives no rows; other columns are ignored.
     """
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     dim = rows.agg(F.max(F.size("v"))).first()[0] or 0
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
@@ -159,7 +154,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
     nodes = rows.filter(usable).groupBy(same.alias("v")).agg(F.min("row").alias("node"), F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     nodes = materialize(nodes)
     codes = Codes(max(dim, 1), nodes.count())
-    found = _links(nodes, codes, max(dim, 1), least, bucket)
+    found = _links(nodes, codes, max(dim, 1), "<f4" if single else "<f8", least, bucket)
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -172,49 +167,51 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _links(nodes: DataFrame, codes: Codes, dim: int, least: float, bucket: int) -> DataFrame:
-    """(node, links, root) rows, from every filter that has links to count."""
-    longs = dict.fromkeys(("key", "node", "links", "root", "copies"), pa.int64()) | {"chunk": pa.int32(), "unit": pa.binary(), "filters": pa.binary()}
+def _links(nodes: DataFrame, codes: Codes, dim: int, kind: str, least: float, bucket: int) -> DataFrame:
+    """(node, links, root) rows, from every filter that has links to count. A
+    vector travels to its filters in the precision it came in (``kind``), with
+    the numbers of its filters before that one."""
+    longs = dict.fromkeys(("key", "node", "links", "root", "copies"), pa.int64()) | {"chunk": pa.int32(), "vector": pa.binary(), "before": pa.binary()}
 
     def filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                units = [_unit(v, dim) for v in part.column("v").to_pylist()]
-                lists = codes.decode(np.stack(units))
-                which = np.repeat(np.arange(len(units)), [len(x) for x in lists])
-                units, packed = pa.array([u.tobytes() for u in units]), pa.array([x.tobytes() for x in lists])
+                values = np.array(part.column("v").to_pylist(), dtype=np.float64)
+                lists = codes.decode(_units(values))
+                which = np.repeat(np.arange(len(values)), [len(x) for x in lists])
+                vectors = pa.array([v.tobytes() for v in values.astype(kind)])
                 columns = {
                     "key": np.concatenate(lists), "node": part.column("node").to_numpy()[which], "copies": part.column("copies").to_numpy()[which],
-                    "unit": units.take(pa.array(which)), "filters": packed.take(pa.array(which)),
+                    "vector": vectors.take(pa.array(which)), "before": [x[:k].tobytes() for x in lists for k in range(len(x))],
                 }
                 yield arrow_table(columns, longs)
 
     def empty(n: int) -> dict[str, object]:
         zeros = np.zeros(n, dtype=np.int64)
-        return {"key": zeros, "chunk": zeros - 1, "node": zeros, "links": zeros, "root": zeros, "copies": zeros, "unit": [None] * n, "filters": [None] * n}
+        return {"key": zeros, "chunk": zeros - 1, "node": zeros, "links": zeros, "root": zeros, "copies": zeros, "vector": [None] * n, "before": [None] * n}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, rows in whole_buckets(batches, bucket):
             key = rows.column("key").to_numpy()
             if chunk >= 0:
-                same = {name: rows.column(name).combine_chunks() for name in ("key", "node", "copies", "unit", "filters")}
+                same = {name: rows.column(name).combine_chunks() for name in ("key", "node", "copies", "vector", "before")}
                 yield arrow_table(empty(len(key)) | {"chunk": np.full(len(key), chunk)} | same, longs)
                 continue
             for a, b in zip(*bounds(key), strict=True):
-                if b - a > 1 and (out := _compare(rows.slice(a, b - a), dim, least, int(key[a]))):
+                if b - a > 1 and (out := _compare(rows.slice(a, b - a), dim, kind, least)):
                     yield arrow_table(empty(len(out["node"])) | out, longs)
 
     def compare_large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in pair_groups(batches):
             one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
             sides = None if one == two else rows.column("chunk").to_numpy()
-            if out := _compare(rows, dim, least, rows.column("key")[0].as_py(), sides):
+            if out := _compare(rows, dim, kind, least, sides):
                 yield arrow_table(out, longs)
 
-    keyed = map_batches(nodes.select("node", "copies", "v"), filters, "key long, node long, copies long, unit binary, filters binary")
-    schema = "key long, chunk int, node long, links long, root long, copies long, unit binary, filters binary"
+    keyed = map_batches(nodes.select("node", "copies", "v"), filters, "key long, node long, copies long, vector binary, before binary")
+    schema = "key long, chunk int, node long, links long, root long, copies long, vector binary, before binary"
     found = materialize(map_batches(by_key(keyed), compare, schema))
-    chunks = found.filter("chunk >= 0").select("key", "chunk", "node", "copies", "unit", "filters")
+    chunks = found.filter("chunk >= 0").select("key", "chunk", "node", "copies", "vector", "before")
     large = map_batches(chunk_pairs(chunks), compare_large, "node long, links long, root long")
     return materialize(found.filter("chunk < 0").select("node", "links", "root").unionByName(large))
