@@ -126,6 +126,10 @@ def q_dedupe_rows(spark, sf_dir):
     return dedupe(table(spark, sf_dir, "events").select("user_id", "event_type"))
 
 
+def q_dedupe_whole_rows(spark, sf_dir):
+    return dedupe(table(spark, sf_dir, "events"))
+
+
 # --- sales: amounts, conversion, year, union, load ------------------------------
 
 
@@ -339,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "status_in": q_status_in,
     "strip_spaces": q_strip_spaces,
     "dedupe_rows": q_dedupe_rows,
+    "dedupe_whole_rows": q_dedupe_whole_rows,
     "drop_any": q_drop_any,
     "line_amount": q_line_amount,
     "convert_currency": q_convert_currency,
@@ -503,6 +508,7 @@ rets AS (SELECT symbol, dt, ret FROM (
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "dedupe_whole_rows": "SELECT DISTINCT * FROM events",
     "orders_clean": f"WITH {_TXNS} SELECT * FROM clean",
     "failed_extract": f"WITH {_TXNS} SELECT * FROM clean WHERE Transaction_Status IN ('Failed', 'Declined')",
     "status_in": "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'P')",
