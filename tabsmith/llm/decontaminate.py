@@ -7,6 +7,12 @@ nearly equal length: k edits leave at least one piece whole. An automaton finds
 every exact piece in a text; around each find, Myers' bit-parallel algorithm
 computes the least edit distance between the item and any part of the text.
 
+Chance finds of a piece are turned away early by the same principle: halve the
+run of pieces again and again; of two halves with a and b pieces, one has less
+than a or less than b edits, or the item had more than its budget. So some whole
+piece has, on the way up to the item, only parts of n pieces with less than n
+edits, and a find is dropped at the first part that has more.
+
 Items are brought to the tasks in blocks of ``BLOCK_CHARS`` characters, one pass
 over the texts for each, so what is broadcast is bounded for any benchmark.
 """
@@ -25,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.llm.common import arrow_table, map_batches, slices
 
-ERROR_RATE = 1 / 16
+ERROR_RATE = 1 / 10
 BLOCK_CHARS = 4_000_000
 _OTHER = re.compile(r"[\W_]+")
 
@@ -49,15 +55,37 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def distance(item: str, text: str) -> tuple[int, int]:
+def above(n: int) -> list[list[tuple[int, int]]]:
+    """For each of ``n`` pieces, the runs (first, last + 1) of pieces that hold
+    it, from two pieces up to half of them all."""
+    out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    runs = [(0, n)]
+    while runs:
+        a, b = runs.pop()
+        if b - a > 1:
+            if b - a < n:
+                for k in range(a, b):
+                    out[k].append((a, b))
+            middle = (a + b) // 2
+            runs += [(a, middle), (middle, b)]
+    return [sorted(r, key=lambda x: x[1] - x[0]) for r in out]
+
+
+def character_bits(item: str) -> dict[str, int]:
+    """Bit i is set for the item's character i."""
+    bits: dict[str, int] = {}
+    for i, c in enumerate(item):
+        bits[c] = bits.get(c, 0) | 1 << i
+    return bits
+
+
+def distance(item: str, text: str, bits: dict[str, int] | None = None) -> tuple[int, int]:
     """(least edit distance of the item to a part of the text, end of the first
     such part), by Myers' bit-vector algorithm: bit i of a column is about the
     item's first i + 1 characters."""
     m = len(item)
     ones, top = (1 << m) - 1, 1 << (m - 1)
-    places: dict[str, int] = defaultdict(int)
-    for i, c in enumerate(item):
-        places[c] |= 1 << i
+    places = bits or character_bits(item)
     up, down, now = ones, 0, m
     best, end = m, 0
     for at, c in enumerate(text, 1):
@@ -83,10 +111,16 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
         self.items = [(number, text, budget(text, error_rate)) for number, text in items]
-        where: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        where: dict[str, list[tuple[int, int, int]]] = defaultdict(list)
+        self.cuts: list[list[int]] = []  # offsets of each item's pieces, and its length
+        self.above: dict[int, list[list[tuple[int, int]]]] = {}
+        self.bits: dict[tuple[int, int, int], tuple[str, dict[str, int]]] = {}
         for at, (_, text, errors) in enumerate(self.items):
-            for offset, piece in pieces(text, errors):
-                where[piece].append((at, offset))
+            parts = pieces(text, errors)
+            self.cuts.append([o for o, _ in parts] + [len(text)])
+            self.above.setdefault(len(parts), above(len(parts)))
+            for k, (offset, piece) in enumerate(parts):
+                where[piece].append((at, offset, k))
         self.automaton = ahocorasick.Automaton()
         for piece, found in where.items():
             self.automaton.add_word(piece, (len(piece), found))
@@ -94,6 +128,19 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not where
 
+    def _likely(self, text: str, at: int, begin: int, piece: int) -> bool:
+        """Whether the runs of pieces around a whole one keep within their edits."""
+        cuts = self.cuts[at]
+        for a, b in self.above[len(cuts) - 1][piece]:
+            if (at, a, b) not in self.bits:
+                part = self.items[at][1][cuts[a] : cuts[b]]
+                self.bits[at, a, b] = part, character_bits(part)
+            part, bits = self.bits[at, a, b]
+            errors = b - a - 1
+            if distance(part, text[max(0, begin + cuts[a] - errors) : begin + cuts[b] + errors], bits)[0] > errors:
+                return False
+        return True
+
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, distance, start, stop) for each item that occurs within its
         budget; places are those of its best occurrence in the normalised
@@ -104,10 +151,14 @@ class Matcher:
             return []
         starts: dict[int, set[int]] = defaultdict(set)  # where an item would begin
         for end, (size, found) in self.automaton.iter(text):
-            for at, offset in found:
-                starts[at].add(end + 1 - size - offset)
+            for at, offset, piece in found:
+                begin = end + 1 - size - offset
+                if begin not in starts[at] and self._likely(text, at, begin, piece):
+                    starts[at].add(begin)
         out = []
         for at, begins in starts.items():
+            if not begins:
+                continue
             number, item, errors = self.items[at]
             best: tuple[int, int] | None = None
             for low, high in _clusters(sorted(begins), 2 * errors):

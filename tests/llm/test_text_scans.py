@@ -125,7 +125,7 @@ def test_matcher_matches_brute_force():
     rng = random.Random(6)
     words = ["ant", "bee", "cow", "dog", "elk", "fox", "gnu", "hen"]
     items = [(k, decontaminate.normal(" ".join(rng.choices(words, k=rng.randint(3, 30))))) for k in range(12)]
-    matcher = decontaminate.Matcher(items, 1 / 16)
+    matcher = decontaminate.Matcher(items, decontaminate.ERROR_RATE)
     for _ in range(40):
         _, item = rng.choice(items)
         text = " ".join([*rng.choices(words, k=10), edited(rng, item, rng.randint(0, 9)), *rng.choices(words, k=10)])
