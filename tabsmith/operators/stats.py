@@ -91,6 +91,7 @@ def corr_matrix(returns: DataFrame, symbols: Sequence[str], value: str = "ret")
     if not symbols:
         raise ValueError("no symbols")
     rows = _present(returns.select(SYMBOL, DT, F.col(value).cast("double").alias("v")), "v").filter(F.col(SYMBOL).isin(symbols) & F.col(DT).isNotNull())
+    rows = materialize(rows)  # read for the smallest values and for the moments
     lows = {r[0]: r[1] for r in rows.groupBy(SYMBOL).agg(F.min("v")).collect()}  # one number per listed symbol
     at = {s: k for k, s in enumerate(symbols)}
     low = np.array([lows.get(s, 0.0) for s in symbols])
@@ -229,7 +230,7 @@ def histogram(df: DataFrame, value: str = "ret", bins: int = 100, by: str = SYMB
     min and max; missing values are skipped and empty bins count 0, so every
     symbol with a value has ``bins`` rows.
     Output: ``(by, bin, bin_lo, bin_hi, count)``."""
-    present = _present(df, value).select(by, value)
+    present = materialize(_present(df, value).select(by, value))  # read for the ranges and for the counts
     ranges = _ranges(present, value, by).select(by, "__lo", "__hi")
     b = bin_index(F.col(value), F.col("__lo"), F.col("__hi"), bins)
     counts = join_back_spread(present, ranges, by, [value]).groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -260,7 +261,7 @@ def kde(df: DataFrame, value: str = "ret", grid: int = 200, by: str = SYMBOL) ->
     """
     if grid < 2:
         raise ValueError("grid must be >= 2")
-    present = _present(df, value).select(by, F.col(value).cast("double").alias("__v"))
+    present = materialize(_present(df, value).select(by, F.col(value).cast("double").alias("__v")))  # read twice
     stats = _ranges(present, "__v", by).withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
     joined = join_back_spread(present, stats.select(by, "__lo", "__hi", "__n", "__h"), by, ["__v"])
 
