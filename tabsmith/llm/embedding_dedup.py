@@ -84,13 +84,19 @@ def _units(rows: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _earlier_shared(before: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Whether the pairs share a filter; ``before`` has each row's, padded with -1."""
-    shared = np.zeros(len(left), dtype=bool)
-    for at in range(0, len(left), 20_000):
-        a, b = before[left[at : at + 20_000]], before[right[at : at + 20_000]]
-        for k in range(before.shape[1]):
-            shared[at : at + 20_000] |= ((a[:, k, None] == b) & (b >= 0)).any(axis=1)
+def _sharing(lists: list[np.ndarray]) -> np.ndarray:
+    """Which rows share a number: products of 0/1 matrices, a bounded number of
+    columns at a time."""
+    shared = np.zeros((len(lists), len(lists)), dtype=bool)
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    numbers, column, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    common = np.cumsum(counts > 1) - 1  # a number of one row alone is no matter
+    row, column = row[counts[column] > 1], common[column[counts[column] > 1]]
+    for first in range(0, int((counts > 1).sum()), 2048):
+        some = (column >= first) & (column < first + 2048)
+        there = np.zeros((len(lists), 2048), dtype=np.float32)
+        there[row[some], column[some] - first] = 1
+        shared |= there @ there.T > 0
     return shared
 
 
@@ -106,11 +112,7 @@ def _compare(rows: pa.Table, dim: int, kind: str, least: float, across: np.ndarr
     left, right = np.nonzero(np.triu(close))
     if not len(left):
         return None
-    raw = [np.frombuffer(f, dtype=np.int64) for f in rows.column("before").to_pylist()]
-    before = np.full((len(raw), max(map(len, raw))), -1, dtype=np.int64)
-    for at, found in enumerate(raw):
-        before[at, : len(found)] = found
-    new = ~_earlier_shared(before, left, right)
+    new = ~_sharing([np.frombuffer(f, dtype=np.int64) for f in rows.column("before").to_pylist()])[left, right]
     left, right = left[new], right[new]
     if not len(left):
         return None
