@@ -161,8 +161,9 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     rooted = nodes.select("v", "node", "first", "copies").join(links, "node", "left").join(roots, "node", "left")
-    rooted = rooted.select("v", "first", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # both sides of the join below are written tables, of which adaptive execution splits a hot root
+    rooted = materialize(rooted.select("v", "first", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root")))
+    named = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     names = materialize(rooted.join(named, "root").select("v", "n_links", "component_id"))
     linked = rows.filter(usable).select("vec_id", same.alias("v")).join(names, "v").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

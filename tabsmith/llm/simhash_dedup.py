@@ -216,8 +216,9 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
     prints = materialize(fingerprints(docs, shingle, id_col, text_col))
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = connected_components(link_fingerprints(nodes, max_bits, bucket))
-    rooted = nodes.join(roots.toDF("fp", "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # both sides of the join below are written tables, of which adaptive execution splits a hot root
+    rooted = materialize(nodes.join(roots.toDF("fp", "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    named = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     names = materialize(rooted.join(named, "root").select("fp", "component_id"))
     return prints.join(names, "fp").select("doc_id", "fp", "component_id")
 
