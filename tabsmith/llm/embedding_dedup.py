@@ -3,14 +3,18 @@
 Filter directions come from structured random product codes: after a random
 rotation the vector is cut into two halves, each half has ``B`` random unit
 vectors, and every combination of one from each half is a direction, B * B in
-all. A vector belongs to every filter whose direction it exceeds by ``alpha`` in
-inner product; the product structure lists those without trying all: sort the
-inner products of one half, then look up what each of the other half still
-needs. Vectors that share a filter are compared in double precision.
-
-``alpha`` is set so that a vector lies in ``FILTERS`` filters on average, and
-the number of directions grows with the number of vectors, so that a filter
-holds about ``FILL`` unrelated vectors at any size.
+all. A vector belongs to the ``FILTERS`` filters of each code whose directions
+have the largest inner products with it, so none is without filters at any
+size; the product structure finds them without trying all, since they combine
+the best of one half with the best of the other. Vectors that share a filter are
+compared in double precision.
+
+The number of directions grows with the number of vectors, so that a filter
+holds ``FILL`` unrelated vectors on average at any size. As directions get
+denser a pair shares a filter less often: the number of codes is set so that a
+pair at cosine ``least`` shares none with probability ``MISS`` at most, from how
+often made-up pairs share none in one code of that size. Codes are rotated
+independently, so this holds for every pair, wherever it lies.
 
 Exact copies are one node. A pair that shares several filters counts only in
 the smallest of them, so link counts need no list of pairs: a task emits one row
@@ -22,7 +26,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -34,47 +37,66 @@ from tabsmith.llm.common import arrow_table, map_batches
 from tabsmith.llm.components import connected_components
 from tabsmith.session import materialize
 
-FILTERS = 40  # a vector's filters on average, over both codes
-CODES = 2  # independent product codes
+FILTERS = 16  # a vector's filters in each code
 FILL = 12  # unrelated vectors per filter, on average
+MISS = 1e-5  # wanted probability that a pair at the least cosine shares no filter
+PAIRS = 2000  # made-up pairs that the number of codes is taken from
+MOST = 32  # codes; where more were needed, all vectors share one filter
 WIDTH = 64  # least dimensions after padding: fewer would make directions too alike
 BUCKET = 1024
 
 
 class Codes:
-    """The filter directions for vectors of ``dim`` components."""
+    """The filter directions for ``n_vectors`` vectors of ``dim`` components,
+    and as many codes as pairs at cosine ``least`` need."""
 
-    def __init__(self, dim: int, n_vectors: int):
+    def __init__(self, dim: int, n_vectors: int, least: float = 0.95):
         rng = np.random.default_rng(11)
         self.dim = max(WIDTH, dim + dim % 2)
-        per_code = FILTERS / CODES
-        self.size = max(64, math.ceil(math.sqrt(per_code * max(n_vectors, 1) / FILL)))
-        # of a random direction's inner products, normal with variance 1 / dim
-        self.alpha = NormalDist().inv_cdf(1 - per_code / self.size**2) / math.sqrt(self.dim)
-        half = self.dim // 2
+        self.size = max(64, math.ceil(math.sqrt(FILTERS * max(n_vectors, 1) / FILL)))
         self.rotations, self.halves = [], []
-        for _ in range(CODES):
-            self.rotations.append(np.linalg.qr(rng.standard_normal((self.dim, self.dim)))[0][:dim])
-            codes = rng.standard_normal((2, self.size, half))
-            self.halves.append(codes / np.linalg.norm(codes, axis=2, keepdims=True) / math.sqrt(2))
+        self._add(rng, dim)
+        missed = (self._misses(least) + 1) / (PAIRS + 1)
+        wanted = math.ceil(math.log(MISS) / math.log(missed)) if missed < 1 else MOST + 1
+        if wanted > MOST:
+            self.size, self.rotations, self.halves = 1, [], []
+            self._add(rng, dim)
+        while len(self.halves) < wanted <= MOST:
+            self._add(rng, dim)
+
+    def _add(self, rng: np.random.Generator, dim: int) -> None:
+        self.rotations.append(np.linalg.qr(rng.standard_normal((self.dim, self.dim)))[0][:dim])
+        codes = rng.standard_normal((2, self.size, self.dim // 2))
+        self.halves.append(codes / np.linalg.norm(codes, axis=2, keepdims=True) / math.sqrt(2))
+
+    def _misses(self, least: float) -> int:
+        """How many of ``PAIRS`` random pairs at cosine ``least`` share no filter
+        of the first code."""
+        rng, cosine = np.random.default_rng(12), min(max(least, -1.0), 1.0)
+        misses = 0
+        for at in range(0, PAIRS, 250):
+            one, two = np.moveaxis(np.linalg.qr(rng.standard_normal((min(250, PAIRS - at), self.dim, 2)))[0], 2, 0)
+            near = cosine * one + math.sqrt(1 - cosine**2) * two
+            shared = self._best(one, self.halves[0])[:, :, None] == self._best(near, self.halves[0])[:, None, :]
+            misses += int((~shared.any(axis=(1, 2))).sum())
+        return misses
+
+    def _best(self, turned: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """For every row, the numbers of its best directions in one code."""
+        half = self.dim // 2
+        sides, k = [], min(FILTERS, self.size)
+        for products in (turned[:, :half] @ code[0].T, turned[:, half:] @ code[1].T):
+            top = np.argpartition(products, self.size - k, axis=1)[:, self.size - k :]
+            sides.append((top, np.take_along_axis(products, top, axis=1)))
+        (heads, one), (tails, two) = sides
+        sums = (one[:, :, None] + two[:, None, :]).reshape(len(turned), k * k)
+        best = np.argpartition(sums, k * k - k, axis=1)[:, k * k - k :]
+        return np.take_along_axis(heads, best // k, axis=1) * self.size + np.take_along_axis(tails, best % k, axis=1)
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """For every unit vector, the sorted numbers of its filters."""
-        lists: list[list[np.ndarray]] = [[] for _ in range(len(unit))]
-        for code, (rotation, (first, second)) in enumerate(zip(self.rotations, self.halves, strict=True)):
-            turned = unit @ rotation
-            half = self.dim // 2
-            one, two = turned[:, :half] @ first.T, turned[:, half:] @ second.T
-            order = np.argsort(-two, axis=1)
-            two = np.take_along_axis(two, order, axis=1)
-            for row in range(len(unit)):
-                need = self.alpha - one[row]
-                heads = np.flatnonzero(two[row, 0] >= need)
-                counts = np.searchsorted(-two[row], -need[heads], side="right")
-                place = np.repeat(np.cumsum(counts) - counts, counts)
-                tails = order[row][np.arange(counts.sum()) - place]
-                lists[row].append((code * self.size + np.repeat(heads, counts)) * self.size + tails)
-        return [np.sort(np.concatenate(found)) for found in lists]
+        found = [code * self.size**2 + self._best(unit @ rotation, halves) for code, (rotation, halves) in enumerate(zip(self.rotations, self.halves, strict=True))]
+        return list(np.sort(np.hstack(found), axis=1))
 
 
 def _units(rows: np.ndarray) -> np.ndarray:
@@ -138,7 +160,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
     reachable by links, itself included.
 
     Cosines are taken in double precision, so no pair below ``least`` links; a
-    pair above it is missed only if no filter holds both. Equal vectors always
+    pair above it is missed only if no filter holds both (see ``MISS``). Equal vectors always
     link. A vector that is null, empty, zero, of another length than the
     longest or with a null, NaN or infinite component links with nothing.
     Repeated rows are vectors of their own. A null id stays a row; its
@@ -155,7 +177,7 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
     same = F.transform("v", lambda x: x + F.lit(0.0))
     nodes = rows.filter(usable).groupBy(same.alias("v")).agg(F.min("row").alias("node"), F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     nodes = materialize(nodes)
-    codes = Codes(max(dim, 1), nodes.count())
+    codes = Codes(max(dim, 1), nodes.count(), least)
     found = _links(nodes, codes, max(dim, 1), "<f4" if single else "<f8", least, bucket)
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -171,6 +171,25 @@ def test_recall_on_the_supplied_vectors(spark, tmp_dir):
     assert sum(got.values()) / 2 <= len(links)
 
 
+@pytest.mark.parametrize("n", [51_282, 1_000_000, 30_000_000])
+def test_recall_of_border_pairs_at_any_size(n):
+    rng = np.random.default_rng(n)
+    one, two = np.moveaxis(np.linalg.qr(rng.standard_normal((400, 64, 2)))[0], 2, 0)
+    codes = embedding_dedup.Codes(64, n)
+    a, b = codes.decode(one), codes.decode(0.95 * one + math.sqrt(1 - 0.95**2) * two)
+    assert min(map(len, a)) >= 30
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(a, b, strict=True)]) >= 0.995
+
+
+@pytest.mark.parametrize("least", [-0.5, 0.1])
+def test_vector_links_below_any_useful_cosine(spark, least):
+    vectors = [list(map(float, v)) for v in np.random.default_rng(4).standard_normal((40, 24))]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicate_vectors(frame, least).collect()}
+    degree = np.bincount([x for e in slow_links(vectors, least) for x in e], minlength=len(vectors))
+    assert got == dict(enumerate(degree))
+
+
 @pytest.mark.parametrize("limit", [1, 3, 100])
 def test_whole_buckets_keep_buckets_together(limit):
     rng = random.Random(limit)
