@@ -5,13 +5,22 @@ described by its word count and link density, those of the blocks before and
 after it, and where it stands: inside an element that by its tag or its class
 and id words is a page's frame, and inside the article where the page has one.
 A decision tree, grown on the small table ``LABELLED``, keeps or drops it.
+
+A name made of frame words only ("ad-box", "cookie-notice") marks a frame. Any
+other name with such a word ("content-sidebar-wrap") may be that of a wrapper,
+and so may a form: these are frames only for what stands in no article of their
+own, and not if they hold half of the page's running text. Names that tell of a
+state ("has-sidebar", "no-header") mark nothing. Articles that are frames
+(comments) or hold little beside the running text outside (teaser cards) do not
+make a page one with an article.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,6 +45,14 @@ FRAME_WORDS = frozenset(
     "newsletter subscribe subscription signup login signin search form share sharing social related recommended recommendations trending "
     "comment comments commentlist respond reply replies discussion disqus pagination pager widget toolbar skip alert".split()
 )
+# parts of a name that leave it a frame's, and words that are often a wrapper's
+BOX_WORDS = frozenset(
+    "article articles area bar block box bottom button buttons container entry global group inner item items left link links list main outer page "
+    "panel post posts primary right secondary section site slot top unit wrap wrapper".split()
+)
+WRAPPER_WORDS = frozenset("form widget".split())
+STATE_WORDS = frozenset("has have hide no non not show with without".split())
+PROSE = 10  # words of a block that count as running text, if few of them are links
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -55,6 +72,8 @@ class Block:
     frame: bool
     article: bool
     heading: bool = False
+    unsure: tuple[int, ...] = ()  # elements around it that are frames or wrappers
+    outer: int = 0  # the outermost article around it, 0 inside <main>
 
     @property
     def density(self) -> float:
@@ -63,7 +82,8 @@ class Block:
 
 @dataclass
 class _Page:
-    open: list[tuple[str, bool, bool]] = field(default_factory=list)  # tag, frame, article
+    open: list[tuple[str, int, int, int]] = field(default_factory=list)  # tag, 1 for perhaps a frame or 2, 1 for an article or 2 for <main>, number
+    elements: int = 0
     parts: list[tuple[str, bool]] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
     link: int = 0
@@ -77,11 +97,25 @@ class _Page:
         words = "".join([p for p, _ in self.parts]).split()
         if words:
             linked = sum(len(p.split()) for p, link in self.parts if link)
-            frame, article = any(f for _, f, _ in self.open), any(a for _, _, a in self.open)
-            self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), frame, article, self.heading))
+            self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), *self.place()))
         self.parts = []
         self.heading = False
 
+    def place(self) -> tuple[bool, bool, bool, tuple[int, ...], int]:
+        """frame, article, heading, unsure and outer of a block that stands here."""
+        frame, unsure, outer, main = False, [], 0, False
+        for _, sure, article, number in self.open:
+            if article:
+                unsure = []
+                if article == 2:
+                    frame, main = False, True
+                outer = outer or number
+            if sure == 2:
+                frame = True
+            elif sure:
+                unsure.append(number)
+        return frame, outer > 0, self.heading, tuple(unsure), 0 if main else outer
+
     def begin(self, tag: str, attrs: str) -> None:
         if tag == "a":
             self.link = 1  # a link in a link closes the first
@@ -95,20 +129,28 @@ class _Page:
         if tag in VOID_TAGS:
             return
         self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-        article = tag in ("article", "main")
-        inside = any(a for _, _, a in self.open)
-        frame = tag in FRAME_TAGS and not (tag == "header" and inside)
-        if not article and tag not in ("html", "body"):
+        article = {"article": 1, "main": 2}.get(tag, 0)
+        inside = any(a for _, _, a, _ in self.open)
+        sure = 0
+        if tag in FRAME_TAGS and not (tag == "header" and inside):
+            sure = 1 if tag in WRAPPER_WORDS else 2
+        if tag not in ("html", "body", "main"):
             for name, *values in _ATTR.findall(attrs):
-                words = set(_WORDS.findall("".join(values).lower()))
+                value = "".join(values).lower()
                 if name.lower() == "role":
-                    article |= bool(words & {"main", "article"})
-                    frame |= bool(words & {"banner", "navigation", "complementary", "contentinfo", "search", "form", "dialog", "alert"})
+                    words = set(_WORDS.findall(value))
+                    article = max(article, 2 * ("main" in words), int("article" in words))
+                    if words & {"banner", "navigation", "complementary", "contentinfo", "search", "dialog", "alert"}:
+                        sure = 2
+                    sure = max(sure, int("form" in words))
                 elif name.lower() == "hidden":
-                    frame = True
+                    sure = 2
                 else:
-                    frame |= bool(words & FRAME_WORDS - ({"header"} if inside else set()))
-        self.open.append((tag, frame, article))
+                    sure = max([sure, *(_named(token, inside) for token in value.split())])
+        if article and sure == 1:
+            sure = 0
+        self.elements += 1
+        self.open.append((tag, sure, article, self.elements))
 
     def close_implied(self, tag: str) -> None:
         """A paragraph ends where another block begins, an item where its next one does."""
@@ -130,6 +172,40 @@ class _Page:
                 break
 
 
+def _named(name: str, inside: bool) -> int:
+    """2 if a class or id is a frame's name, 1 if it may be, else 0."""
+    words = _WORDS.findall(name)
+    frames = FRAME_WORDS - {"header"} if inside else FRAME_WORDS
+    if frames.isdisjoint(words) or words[0] in STATE_WORDS:
+        return 0
+    return 2 if (frames - WRAPPER_WORDS).union(BOX_WORDS).issuperset(words) else 1
+
+
+def _settle(found: list[Block]) -> None:
+    """Decide which elements are frames or wrappers, and whether the articles
+    of the page are its main text."""
+
+    def prose(some: Iterable[Block]) -> int:
+        return sum(b.words - b.linked for b in some if b.words >= PROSE and b.density < 0.5)
+
+    open_text = [b for b in found if not b.frame]
+    all_words = prose(open_text)
+    within: dict[int, list[Block]] = {}
+    for b in open_text:
+        for number in b.unsure:
+            within.setdefault(number, []).append(b)
+    wrappers = {number for number, some in within.items() if 0 < all_words <= 2 * prose(some)}
+    for b in open_text:
+        b.frame = not wrappers.issuperset(b.unsure)
+    articles = Counter()
+    for b in found:
+        if b.article and not b.frame:
+            articles[b.outer] += b.words - b.linked
+    if articles and 0 not in articles and 2 * max(articles.values()) < prose(b for b in found if not (b.article or b.frame)):
+        for b in found:
+            b.frame |= b.article
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order. Character references are decoded and
     white space within a block is one space; markup that is cut off at the end
@@ -153,6 +229,7 @@ def blocks(page: str) -> list[Block]:
                 at = len(page) if stop < 0 else stop
     out.text(page[at:])
     out.cut()
+    _settle(out.blocks)
     return out.blocks
 
 
@@ -162,7 +239,7 @@ FEATURES = ("words", "density", "words_before", "density_before", "words_after",
 def describe(found: list[Block]) -> np.ndarray:
     """One row of ``FEATURES`` per block. place: 1 inside the article, -1 outside
     it on a page that has one, 0 on a page without."""
-    has_article = any(b.article for b in found)
+    has_article = any(b.article and not b.frame for b in found)
     words = np.array([0, *(b.words for b in found), 0], dtype=float)
     density = np.array([0, *(b.density for b in found), 0], dtype=float)
     own = np.array([(b.frame, 1 if b.article else -1 if has_article else 0, b.heading) for b in found], dtype=float).reshape(-1, 3)

@@ -184,6 +184,29 @@ def test_page_without_article():
     assert html_text.main_text(page, TREE) == f"Heading here\n{para.strip()}\nShort one.\n{para.strip()}"
 
 
+PROSE = "This is a paragraph of the main text that goes on for quite a number of words, as such paragraphs do."
+TEASER = '<article class="card"><a href="/x"><h3>Other story</h3></a><p>A few words of a teaser.</p></article>'
+
+
+@pytest.mark.parametrize("inner", [f"<article><h1>Title here</h1><p>{PROSE}</p></article>", f"<main><h1>Title here</h1><p>{PROSE}</p></main>", f"<h1>Title here</h1><p>{PROSE}</p><p>{PROSE}</p>"])
+@pytest.mark.parametrize("wrapper", ["div class='has-sidebar'", "div id=content-sidebar-wrap", 'div class="no-header wide"', "form method=post action='./page.aspx'", "div class='elementor-widget-container'"])
+def test_wrappers_are_no_frames(inner, wrapper):
+    page = f"<body><nav><a href=/>Home</a></nav><{wrapper}>{inner}<div class='sidebar'><p>{PROSE} Aside.</p></div></{wrapper.split()[0]}><footer>{PROSE}</footer></body>"
+    assert html_text.main_text(page, TREE) == "\n".join(["Title here", *[PROSE] * inner.count(PROSE)])
+
+
+@pytest.mark.parametrize("other", [f"<section><h2>Comments</h2><article class='comment'><p>{PROSE} I say.</p></article></section>", TEASER * 3, f"<aside>{TEASER}</aside>", f"<div class='related-posts'><article><p>{PROSE} More.</p></article></div>"])
+def test_main_text_beside_other_articles(other):
+    page = f"<body><div class='content'><h1>Title here</h1><p>{PROSE}</p><p>{PROSE}</p></div>{other}</body>"
+    got = html_text.main_text(page, TREE)
+    assert got.startswith(f"Title here\n{PROSE}\n{PROSE}") and not re.search("I say|teaser|story|More", got)
+
+
+def test_frames_in_and_around_articles_stay_frames():
+    page = f"<div class='has-sidebar'><div class='related-box'><article><p>{PROSE} Other.</p></article></div><article class='post tag-social comments-open'><p>{PROSE}</p><div class='ad-box'>{PROSE} Buy.</div><form><p>{PROSE[:50]}</p></form></article></div>"
+    assert html_text.main_text(page, TREE) == PROSE
+
+
 @pytest.mark.parametrize("page,want", [("", ""), ("just text", ""), ("<article>a", "a"), ("<article><p>a<p>b</arti", "a\nb"), ("<article>x<b", "x"), ("<article>&am", "&am"), ("<article><script>x", ""), ("<article>a<!-- b", "a"), ("<<article>>y", "> y".replace(" ", "")), ("<article><p title='a>b'>c</p>", "c"), ('<article><p title="a>c</p>', "c")])
 def test_broken_pages(page, want):
     assert html_text.main_text(page, TREE) == want
