@@ -26,11 +26,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.llm.buckets import Forest, bounds, by_key, chunk_pairs, pair_groups, whole_buckets
-from tabsmith.llm.common import arrow_table, map_batches, slices
+from tabsmith.llm.common import arrow_table, map_batches, slices, written
 from tabsmith.llm.components import connected_components
 from tabsmith.session import materialize
 
@@ -109,17 +109,19 @@ def fingerprint(text: str, shingle: int) -> bytes:
     return np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits)).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) of every row; a null or wordless text has fingerprint 0."""
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """(doc_id, fp long) of every row; a null or wordless text has fingerprint 0.
+    With ``row_col`` that column too, as ``row`` long."""
+    more = ["row"] if row_col else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 prints = np.frombuffer(b"".join([fingerprint(t, shingle) for t in texts]), dtype=">i8").astype(np.int64)
-                yield arrow_table({"doc_id": part.column("doc_id"), "fp": prints}, {"fp": pa.int64()})
+                yield arrow_table({"doc_id": part.column("doc_id"), "fp": prints} | {c: part.column(c) for c in more}, {"fp": pa.int64()})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(row_col).cast("long").alias(c) for c in more])
+    return map_batches(rows, run, ", ".join(["doc_id long", "fp long", *[f"{c} long" for c in more]]))
 
 
 def _close_pairs(keys: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,6 +205,15 @@ def link_fingerprints(prints: DataFrame, max_bits: int = 4, bucket: int = BUCKET
     return found.filter("chunk < 0").select("a", "b").unionByName(large)
 
 
+def _rooted(prints: DataFrame, first: Column, max_bits: int, bucket: int) -> DataFrame:
+    """(fp, first, root) of every fingerprint: ``first`` over its rows, and the
+    fingerprint that names its component."""
+    nodes = materialize(prints.groupBy("fp").agg(first.alias("first")))
+    roots = connected_components(link_fingerprints(nodes, max_bits, bucket))
+    # both sides of the joins on root are written tables, of which adaptive execution splits a hot root
+    return materialize(nodes.join(roots.toDF("fp", "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """(doc_id, fp, component_id) of every row: documents whose fingerprints are
     joined by links of at most ``max_bits`` bits share a component, named by its
@@ -214,20 +225,22 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col:
     An empty table gives no rows; other columns are ignored.
     """
     prints = materialize(fingerprints(docs, shingle, id_col, text_col))
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = connected_components(link_fingerprints(nodes, max_bits, bucket))
-    # both sides of the join below are written tables, of which adaptive execution splits a hot root
-    rooted = materialize(nodes.join(roots.toDF("fp", "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(prints, F.min("doc_id"), max_bits, bucket)
     named = materialize(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     names = materialize(rooted.join(named, "root").select("fp", "component_id"))
     return prints.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without all but one document of each component (the one with the
-    smallest id; of several rows with that id, any one). All columns stay, and
-    so do rows without an id, of which none is known to be another's copy."""
-    groups = simhash_groups(docs, shingle, max_bits, id_col, text_col)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct().withColumnRenamed("doc_id", id_col)
-    known = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return known.unionByName(docs.filter(F.col(id_col).isNull())).select(*docs.columns)
+    """``docs`` without all but one row of each component: the one with the
+    smallest id, and of several with that id the first as written. Rows are told
+    apart by their place in a written copy of ``docs``, so rows that repeat an
+    id stay where their texts are not near. All columns stay, and so do rows
+    without an id, of which none is known to be another's copy."""
+    row = "near_duplicates_row"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash")
+    prints = fingerprints(rows, shingle, id_col, text_col, row)
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row")))
+    kept = _rooted(prints, first, max_bits, BUCKET).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    known = rows.join(kept, row, "left_semi")
+    return known.unionByName(rows.filter(F.col(id_col).isNull())).select(*docs.columns)

@@ -118,6 +118,13 @@ def test_one_document_of_each_group_stays(spark, docs_of):
     assert simhash_dedup.near_duplicates(docs_of([])).count() == 0
 
 
+def test_rows_that_share_an_id_are_told_apart(spark, docs_of):
+    a, b, c = "first text of its own here", "quite another text stands there", "THE third one is different again"
+    rows = [(2, b), (5, a), (5, b), (5, c.lower()), (7, c), (7, a), (7, "only here and nowhere else at all")]
+    got = simhash_dedup.near_duplicates(docs_of(rows).repartition(3)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(2, b), (5, a), (5, c.lower()), (7, "only here and nowhere else at all")])
+
+
 def slow_links(vectors, least):
     dim = max((len(v) for v in vectors if v is not None), default=0)
 
