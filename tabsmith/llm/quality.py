@@ -15,7 +15,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import islice, pairwise
 from operator import eq
 
 import numpy as np
@@ -104,7 +104,9 @@ def look(text: str) -> Look:
     same_lines = 1 - len(set(lines)) / len(lines)
     share = lambda bit: np.count_nonzero(packed & (1 << bit)) / n
     # long texts see their words again by nature: judged as if in pieces of about 200 words
-    seen_before = 1 - len(set(words)) / n if n <= 200 else 1 - np.mean([len(set(words[k : k + 200])) / min(200, n - k) for k in range(0, n - 99, 200)])
+    pieces = max(1, round(n / 200))
+    cuts = [n * k // pieces for k in range(pieces + 1)]
+    seen_before = 1 - np.mean([len(set(words[a:b])) / (b - a) for a, b in pairwise(cuts)])
     symbols = float(((packed >> 16) & 0xFFFF).sum() / max(1, lengths.sum()))
     traits = np.array([symbols, repeats, share(12), same_lines, share(13), share(14), seen_before, lengths.mean()])
     counts = np.bincount(packed & (CELLS - 1), minlength=CELLS)

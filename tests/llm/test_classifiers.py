@@ -186,6 +186,15 @@ def test_each_labeller_votes_on_its_trait(text, trait):
     assert quality.votes(quality.look(text))[list(quality.LIMITS).index(trait)]
 
 
+@pytest.mark.parametrize("n", [201, 299, 300, 499, 1099])
+def test_sameness_sees_every_word(n):
+    at = list(quality.LIMITS).index("sameness")
+    words = [f"w{k}" for k in range(n)]
+    assert quality.look(" ".join(words)).traits[at] == pytest.approx(0)
+    for k in (0, 100, n // 2, n - 51):  # a run of one word, 50 times over
+        assert quality.look(" ".join([*words[:k], *["same"] * 50, *words[k + 50 :]])).traits[at] > 0.03
+
+
 def test_prose_is_ordinary():
     seen = quality.look("The wind came up from the sea, and the boats turned home. Nobody spoke of it again that year.")
     assert quality.votes(seen).tolist() == [False] * len(quality.LIMITS) + [True, True]
