@@ -35,7 +35,7 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"), length=4096, end_id=2)
+    pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"), length=4096, end_id=2, special_as_text=False)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

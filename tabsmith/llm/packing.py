@@ -69,7 +69,7 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = True
 ) -> DataFrame:
     """Pieces of documents in sequences (``PIECE_SCHEMA``; ``ids`` are
     little-endian unsigned 32-bit integers).
@@ -82,10 +82,11 @@ def pack(
 
     Each text is encoded once, into a scratch table. Only keys and lengths are
     range-sorted; the ids then join their places in one shuffle.
+    ``special_as_text``: see ``tokens.Encoder``.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, special_as_text)
         kind = enc.dtype if end_id < 1 << (8 * enc.dtype.itemsize) else np.dtype("<u4")
         mixed = hash32(np.arange(max(enc.n_ids, end_id) + 1))
         cell, sign = (mixed % HASHED).astype(np.int64), np.where(mixed & np.uint64(1 << 20), 1.0, -1.0)

@@ -32,7 +32,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), length=4096, end_id=2)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), length=4096, end_id=2, special_as_text=False)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -67,7 +67,7 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=0, special_as_text=False)
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -158,7 +158,7 @@ def _pack_block(shard: int, block: int, first: int, docs: list, parts: list[byte
 
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
-    block_ids: int = BLOCK_IDS, rounds: int = ROUNDS, pairs: int = PAIRS, min_count: int = MIN_COUNT,
+    block_ids: int = BLOCK_IDS, rounds: int = ROUNDS, pairs: int = PAIRS, min_count: int = MIN_COUNT, special_as_text: bool = True,
 ) -> None:
     """Encode every whole text and write it into grammar-compressed files.
 
@@ -167,11 +167,12 @@ def write_token_files(
     A null text is empty and gives the end id alone; an empty table gives an
     empty folder of Parquet without rows; other columns are ignored, whatever
     their names. A task holds one block of ids at a time, and one document.
+    ``special_as_text``: see ``tokens.Encoder``.
     """
     settings = {"rounds": rounds, "pairs": pairs, "min_count": min_count}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, special_as_text)
         n_terminals = max(enc.n_ids, end_id + 1)
         kind = enc.dtype if end_id < enc.n_ids else np.dtype("<u4")
         end = np.array([end_id], dtype=kind).tobytes()

@@ -3,8 +3,8 @@
 The library spends most of its time merging the same words again and again,
 so a worker keeps the ids of words it has seen. That is exact as long as a
 text is cut only where the tokenizer itself never joins characters; texts for
-which this is not certain (unusual characters, runs of white space) are handed
-to the library whole.
+which this is not certain (unusual characters, runs of white space, an added
+token's content) are handed to the library whole.
 """
 
 from __future__ import annotations
@@ -24,18 +24,28 @@ _RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
 class Encoder:
-    """Ids of texts as little-endian bytes (2 per id when the vocabulary fits)."""
+    """Ids of texts as little-endian bytes (2 per id when the vocabulary fits).
 
-    def __init__(self, path: str, limit: int = 800_000):
+    ``special_as_text``: a special token's content in a text is encoded like any
+    other characters; else it becomes the token, as in the library by default.
+    """
+
+    def __init__(self, path: str, limit: int = 800_000, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.n_ids = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.n_ids <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
-            self.mode = _mode(json.load(f))
+            spec = json.load(f)
+        self.mode = _mode(spec)
+        added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
+        if any(" " in content.strip() for content in added):
+            self.mode = None  # words encoded together could form it
+        #: what a text must not hold to be cut
+        self.added = [c.lower() if self.mode == "dropped" else c for c in added if not special_as_text]
         self.cache: dict[str, bytes] = {}
         self.limit = limit
         caches.append(self.cache)
@@ -67,7 +77,11 @@ class Encoder:
         if self.mode is None or _UNSAFE.search(text):
             return None
         if self.mode == "dropped":
-            return text.lower().split()
+            text = text.lower()
+        if any(content in text for content in self.added):
+            return None
+        if self.mode == "dropped":
+            return text.split()
         if any(run in text for run in _RUNS):
             return None
         # each piece but the first, and but those around a line break, begins with
@@ -134,14 +148,15 @@ def _mode(spec: dict) -> str | None:
     return None
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, special_as_text: bool = True) -> Encoder:
+    """One encoder per worker process, file and option."""
+    key = path, special_as_text
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, special_as_text=special_as_text)
+    return _encoders[key]
 
 
 def as_u32(ids: np.ndarray) -> bytes:

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tabsmith.llm import packing, token_files
+from tabsmith.llm import packing, queries, token_files
 from tabsmith.llm.tokens import Encoder
 from tabsmith.session import scratch_path
 
@@ -32,6 +32,34 @@ def test_cut_texts_have_the_ids_of_whole_texts(path):
     assert got == enc._encode(texts)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_special_tokens_as_in_the_plain_library(path):
+    random.seed(5)
+    plain = Tokenizer.from_file(path)
+    special = [t.content for t in plain.get_added_tokens_decoder().values()]
+    parts = ["a", "The", " ", "\n", ".", "<", "|>", "<|", "endoftext", "3", *special, *map(str.upper, special)]
+    texts = ["hello <|endoftext|> x", *["".join(random.choices(parts, k=random.randint(0, 10))) for _ in range(2000)]]
+    enc = Encoder(path, limit=50, special_as_text=False)
+    got = [np.frombuffer(x, dtype=enc.dtype).tolist() for k in range(0, len(texts), 37) for x in enc.encode(texts[k : k + 37])]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_queries_encode_as_the_plain_library(spark, docs_of, monkeypatch):
+    import corpus_pipeline
+
+    text = "hello <|endoftext|> x <|startoftext|>"
+    for module in (queries, corpus_pipeline):
+        monkeypatch.setattr(module, "table", lambda *_: docs_of([(1, text)]))
+    want = {p: Tokenizer.from_file(p).encode(text, add_special_tokens=False).ids + [end] for p, end in ((BYTE, 0), (WORD, 2))}
+    crc = {p: zlib.crc32(np.array(ids, dtype="<u4").tobytes()) for p, ids in want.items()}
+    r = queries.op10_token_files(spark, "").collect()[0]
+    assert (r.n_tokens, r.ids_crc32) == (len(want[BYTE]), crc[BYTE])
+    for pieces in (queries.op3_packing(spark, ""), corpus_pipeline.packed(spark, docs_of([(1, text)]), "")):
+        found = pieces.collect()
+        assert sum(r.length for r in found) == len(want[WORD])
+        assert len(found) > 1 or found[0].ids_crc32 == crc[WORD]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_grammar_round_trip(seed):
     rng = np.random.default_rng(seed)
