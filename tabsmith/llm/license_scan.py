@@ -140,19 +140,18 @@ class Scanner:
     def scan(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """(template, words aligned, words in the template, start, stop) of the
         best window of every template that reaches the coverage; start and
-        stop count the text's words. Of templates found in overlapping places
-        only the one with the most aligned words stays."""
+        stop count the text's words. Of windows that overlap, of whichever
+        templates, only the one with the most aligned words counts."""
         words = words_of(text)
         codes = np.array([self.ids.get(w, -1) for w in words], dtype=np.int64)
         at = np.flatnonzero(codes >= 0)
         if not len(at):
             return []
         have = np.bincount(codes[at], minlength=len(self.ids))
-        out = []
+        out: set[tuple[int, float, str, int, int, int]] = set()
         for (name, template), (need, least) in zip(self.templates, self.needs, strict=True):
             if np.minimum(have, need).sum() < least:
                 continue
-            best: tuple[int, int, int] | None = None
             mine = at[need[codes[at]] > 0]
             size, step = SPAN * len(template), max(1, len(template) // 2)
             for begin in sorted({max(0, int(p) // step * step - k * step) for p in mine for k in range(size // step + 1)}):
@@ -161,23 +160,27 @@ class Scanner:
                     continue
                 pairs = align(template, words[begin : begin + size])
                 if len(pairs) >= least:
-                    found = (-len(pairs), begin + pairs[0][1], begin + pairs[-1][1] + 1)
-                    best = min(best, found) if best else found
-            if best:
-                out.append((name, -best[0], len(template), best[1], best[2]))
-        kept: list[tuple[str, int, int, int, int]] = []
-        for hit in sorted(out, key=lambda h: (-h[1], -h[1] / h[2], h[0])):
-            if all(hit[4] <= k[3] or k[4] <= hit[3] for k in kept):
-                kept.append(hit)
-        return kept
+                    out.add((-len(pairs), -len(pairs) / len(template), name, begin + pairs[0][1], begin + pairs[-1][1] + 1, len(template)))
+        kept: dict[str, tuple[str, int, int, int, int]] = {}
+        starts: list[int] = []  # of the places taken, which do not overlap
+        stops: list[int] = []
+        for aligned, _, name, start, stop, size in sorted(out):
+            k = bisect_left(starts, stop)
+            if k and stops[k - 1] > start:
+                continue
+            starts.insert(k, start)
+            stops.insert(k, stop)
+            kept.setdefault(name, (name, -aligned, size, start, stop))
+        return list(kept.values())
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, coverage, n_aligned, start_word, stop_word): one row per
     document row and template whose words are aligned to ``coverage`` or more
     in some window of the whole text; of several windows the best, and of
-    equally good ones the first. Where templates overlap in a text, the one
-    with the most aligned words is reported.
+    equally good ones the first. Where windows overlap in a text, only the one
+    with the most aligned words counts, so a template that stands within a
+    longer notice is reported if it also stands elsewhere.
 
     A null, empty or wordless text gives no rows, and neither does an empty
     table; repeated documents each give theirs; other columns are ignored.

@@ -63,6 +63,16 @@ def test_scan_finds_notices_with_changed_words():
     assert [f[0] for f in scanner.scan(twice)] == ["CC-BY-NC-4.0", "MIT"]
 
 
+def test_scan_finds_a_notice_within_another_and_alone():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    header, line, filler = license_scan.TEMPLATES["Apache-2.0-header"], "Licensed under the Apache License, Version 2.0.", "of the rain and to the sea " * 40
+    assert [f[0] for f in scanner.scan(f"{header}\n{filler}")] == ["Apache-2.0-header"]
+    for text in (f"{header}\n{filler}\n{line}", f"{line}\n{filler}\n{header}"):
+        found = {f[0]: f for f in scanner.scan(text)}
+        assert set(found) == {"Apache-2.0-header", "Apache-2.0"}
+        assert license_scan.words_of(text)[found["Apache-2.0"][3] : found["Apache-2.0"][4]] == license_scan.words_of(license_scan.TEMPLATES["Apache-2.0"])
+
+
 def test_scan_matches_lines_in_the_documents(spark):
     lines = {
         "MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
