@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +81,20 @@ def slices(batch: pa.RecordBatch, text: str, max_chars: int = 4_000_000) -> Iter
         yield batch.slice(begin), texts[begin:]
 
 
+def word_slices(batch: pa.RecordBatch, text: str, max_bytes: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """The same for texts that are wanted as lists of their words, the stretches
+    without ASCII white space (``[^\\x20\\x09-\\x0D]+``), as UTF-8 bytes."""
+    raw = batch.column(text).cast(pa.binary())
+    lengths = pc.fill_null(pc.binary_length(raw), 0).to_pylist()
+    begin = size = 0
+    for at, length in enumerate(lengths):
+        size += length
+        if size >= max_bytes or at == len(lengths) - 1:
+            part = batch.slice(begin, at + 1 - begin)
+            yield part, [(value or b"").split() for value in raw.slice(begin, at + 1 - begin).to_pylist()]
+            begin, size = at + 1, 0
+
+
 def arrow_table(columns: dict[str, object], types: dict[str, pa.DataType]) -> pa.RecordBatch:
     arrays = [v if isinstance(v, pa.Array) else pa.array(v, type=types[k]) for k, v in columns.items()]
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))

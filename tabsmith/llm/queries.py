@@ -6,10 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, packing, quality, simhash_dedup, token_files, toxicity
+from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, packing, periodic_runs, quality, simhash_dedup, token_files, toxicity
 from tabsmith.llm.common import held_out, table
 from tabsmith.session import scratch_path
 
@@ -71,6 +71,37 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with the periodic passages that the query's contract asks for:
+    where crc32 of the id ends in 0, the words from the ``a``-th on repeat the
+    first ``p`` of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def periodic(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    changed = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, periodic(w)).otherwise("")), F.lit(0))
+    return docs.withColumn("text", F.when(h % 10 == 0, changed).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_periods(table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs, least=6, times=4, keep=lambda text: F.sha2(text, 256))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    best = periodic_runs.longest(F.col("runs"))
+    milli = 1000 * best["length"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        ((milli - milli % best["period"]) / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -82,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_token_files": op10_token_files,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
