@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, packing, periodic_runs, quality, simhash_dedup, token_files, toxicity
+from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, merkle, packing, periodic_runs, quality, simhash_dedup, token_files, toxicity
 from tabsmith.llm.common import held_out, table
 from tabsmith.session import scratch_path
 
@@ -102,6 +102,17 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, merkle.leaf_digest([*columns, F.translate("text", "\n", "")]))
+    made = merkle.manifest(docs.withColumn("tampered", tampered), [*columns, "text"], carry=["tampered"])
+    folded = merkle.fold(F.coalesce("carried.tampered", "leaf"), F.col("proof"))
+    return made.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -114,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_token_files": op10_token_files,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {}
