@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, merkle, packing, periodic_runs, quality, simhash_dedup, token_files, toxicity
+from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, merkle, packing, periodic_runs, quality, simhash_dedup, substring_dedup, token_files, toxicity
 from tabsmith.llm.common import held_out, table
 from tabsmith.session import scratch_path
 
@@ -102,6 +102,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=35, keep=lambda text: F.sha2(text, 256))
+    return found.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     columns = ["doc_id", "source", "lang", "n_chars"]
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_token_files": op10_token_files,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
