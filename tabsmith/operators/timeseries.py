@@ -6,10 +6,12 @@ Order-dependent views (returns, moving averages, next close, pages) never
 window over a whole symbol, so a symbol holding a large share of all bars is
 still spread over many tasks:
 
-1. ``positions`` numbers the rows of each symbol by ``dt``. Row numbers are
-   taken inside (symbol, calendar segment) groups, which are small, and
-   shifted by the row counts of the earlier segments, read from a table with
-   one row per symbol and segment.
+1. ``positions`` numbers the rows of each symbol by ``dt``. The rows are
+   range-sorted once by symbol, date and a hash of the row, and laid down; a
+   range that a symbol fills, or rows without a date, go to as many tasks as
+   any other rows. The place of a row in its range, plus the rows of its symbol
+   in earlier ranges, is its number. Those counts are a table with one row per
+   range and symbol in it, which goes to the rows; the rows do not move again.
 2. The windows then run per (symbol, block of ``block`` positions). Each
    block also receives copies of the rows just before it (``n - 1`` for an
    ``n``-row moving average, one for a return) and just after it (one, for
@@ -18,8 +20,8 @@ still spread over many tasks:
 All views computed together (``with_indicators``) share one such pass.
 
 No row is lost: rows without a symbol form a series of their own, and rows
-without a date come first in their series, in no particular order. A price that
-is NaN is missing, like null.
+without a date come first in their series, in the order of a hash of the row. A
+price that is NaN is missing, like null.
 """
 
 from __future__ import annotations
@@ -28,9 +30,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tabsmith.functions import fmt_price
 from tabsmith.operators._joins import join_back
+from tabsmith.session import materialize
 
 SYMBOL, DT = "symbol", "dt"
 # Rows per window block; halo copies cost (n - 1) / BLOCK_ROWS extra rows.
@@ -78,40 +82,43 @@ def _segment(unit: str) -> Column:
     return F.col(DT).cast("date") if unit == "day" else F.trunc(F.col(DT), unit)
 
 
+#: Pieces (a symbol's rows in one range) that are sent to every task at most;
+#: there are as many as ranges and symbols. More are joined by a shuffle.
+MAX_PIECES = 1_000_000
+
+
+def _in_order(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` range-sorted by ``by``, ``dt`` and a hash of the row, laid down
+    once, with ``__part`` (number of the range) and ``__at`` (place in it)."""
+    plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, AtomicType)]
+    order = [F.col(by).asc_nulls_first(), F.col(DT).asc_nulls_first(), F.col("__tie").asc()]
+    tied = rows.withColumn("__tie", F.xxhash64(*plain))
+    laid = materialize(tied.repartitionByRange(*order).sortWithinPartitions(*order).drop("__tie"))
+    number = F.monotonically_increasing_id()
+    return laid.withColumns({"__part": F.shiftright(number, 33), "__at": number.bitwiseAND(F.lit((1 << 33) - 1))})
+
+
 def positions(rows: DataFrame, unit: str = "month", by: str = SYMBOL) -> DataFrame:
     """Add ``__pos`` (1-based row number of the row within its symbol, in
     ``dt`` order) and ``__total`` (rows of the symbol).
 
-    Row numbers are taken within (symbol, ``unit`` segment) groups, bounded by
-    the calendar, then offset by the row counts of the symbol's earlier
-    segments. Those counts are a partial aggregate over the input (one row per
-    symbol and segment), turned into offsets by a window over that small
-    table. No window ever holds a whole symbol.
+    The rows are shuffled once, by range, and written to the shared checkpoint
+    folder, since their places must not change between the count and the
+    numbering. No window ever holds rows of a symbol, only counts. ``unit`` is a
+    calendar unit; it was the size of the groups that rows were numbered in, is
+    still checked and has no effect.
     """
-    seg = "__seg"
-    segmented = rows.withColumn(seg, _segment(unit))
-    local = segmented.withColumn("__rn", F.row_number().over(Window.partitionBy(by, seg).orderBy(DT)))
+    if unit not in SEGMENT_UNITS:
+        raise ValueError(f"segment unit must be one of {SEGMENT_UNITS}")
+    laid = _in_order(rows, by)
+    pieces = laid.groupBy("__part", by).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
     per_symbol = Window.partitionBy(by)
-    offsets = (
-        segmented.groupBy(by, seg)
-        .agg(F.count(F.lit(1)).alias("__cnt"))
-        .select(
-            by,
-            seg,
-            F.coalesce(
-                F.sum("__cnt").over(per_symbol.orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("__off"),
-            F.sum("__cnt").over(per_symbol).alias(TOTAL),
-        )
-        # partitioned like the rows (by symbol and segment), so a join that is
-        # not broadcast shuffles this small table, never the rows by symbol alone
-        .repartition(by, seg)
-    )
-    return (
-        join_back(local, offsets, [by, seg])
-        .withColumn(POS, (F.col("__off") + F.col("__rn")).cast("long"))
-        .drop(seg, "__rn", "__off")
+    earlier = F.sum("__cnt").over(per_symbol.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = materialize(
+        pieces.select("__part", by, (F.coalesce(earlier, F.lit(0)) - F.col("__first") + 1).alias("__shift"), F.sum("__cnt").over(per_symbol).alias(TOTAL))
     )
+    small = F.broadcast(pieces) if pieces.count() <= MAX_PIECES else pieces
+    return join_back(laid, small, ["__part", by]).withColumn(POS, F.col("__at") + F.col("__shift")).drop("__part", "__at", "__shift")
 
 
 def _with_halo(ranked: DataFrame, back: int, front: int, block: int) -> DataFrame:
@@ -138,8 +145,17 @@ def _with_halo(ranked: DataFrame, back: int, front: int, block: int) -> DataFram
     )
 
 
-def _block_window(by: str = SYMBOL):
-    return Window.partitionBy(by, BLK).orderBy(POS)
+# The symbol as two columns without nulls: windows, counts and joins on them agree
+# on how rows are dealt out, where a null-safe join would deal them out again.
+_KEYS = ("__key", "__keyless")
+
+
+def _keyed(rows: DataFrame, by: str = SYMBOL) -> DataFrame:
+    return rows.withColumns({"__key": F.coalesce(F.col(by).cast("string"), F.lit("")), "__keyless": F.col(by).isNull()})
+
+
+def _block_window():
+    return Window.partitionBy(*_KEYS, BLK).orderBy(POS)
 
 
 def _known(price: str) -> Column:
@@ -157,16 +173,16 @@ def _filled_return(real: DataFrame, price: str, out: str) -> DataFrame:
     block a running ``last(ignorenulls)``; across blocks the last known price
     of the earlier blocks, carried through the per-block table."""
     known = _known(price)
-    per_block = real.groupBy(SYMBOL, BLK).agg(F.max_by(known, F.when(known.isNotNull(), F.col(POS))).alias("__last"))
+    per_block = real.groupBy(*_KEYS, BLK).agg(F.max_by(known, F.when(known.isNotNull(), F.col(POS))).alias("__last"))
     carry = per_block.select(
-        SYMBOL,
+        *_KEYS,
         BLK,
         F.last("__last", ignorenulls=True)
-        .over(Window.partitionBy(SYMBOL).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1))
+        .over(Window.partitionBy(*_KEYS).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1))
         .alias("__carry"),
-    ).repartition(SYMBOL, BLK)
+    ).repartition(*_KEYS, BLK)
     w = _block_window()
-    filled = join_back(real, carry, [SYMBOL, BLK]).withColumn(
+    filled = real.join(carry, [*_KEYS, BLK]).withColumn(
         "__filled",
         F.coalesce(F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("__carry")),
     )
@@ -200,7 +216,7 @@ def sequence_views(
     back = max([n - 1 for n in windows] + [1 if ret and not fill_gaps else 0])
     front = 1 if lead else 0
     block = max(block, back, front, 1)
-    framed = _with_halo(positions(bars, unit), back, front, block)
+    framed = _keyed(_with_halo(positions(bars, unit), back, front, block))
     w = _block_window()
     cols: dict[str, Column] = {}
     if ret and not fill_gaps:
@@ -213,11 +229,10 @@ def sequence_views(
     out = out.filter(~F.col(HALO))
     if ret and fill_gaps:
         out = _filled_return(out, price, ret)
-    return out.drop(POS, TOTAL, BLK, HALO)
+    return out.select(*bars.columns, *cols, *([ret] if ret and fill_gaps else []))
 
 
-# ``sizes`` of the following are ``unit`` and ``block`` of sequence_views: bars
-# closer together than days need a smaller ``unit`` to bound its segments.
+# ``sizes`` of the following are ``unit`` and ``block`` of sequence_views.
 
 
 def daily_return(bars: DataFrame, price: str = "close", out: str = "ret", fill_gaps: bool = False, **sizes) -> DataFrame:
@@ -245,6 +260,7 @@ def tail_rows(bars: DataFrame, n: int = 180, by: str = SYMBOL, unit: str = "mont
     The row counts per (symbol, ``unit`` segment) tell which segments hold the
     last ``n`` rows; only their rows are ranked. A symbol's window so sees at
     most ``n`` rows and one segment, however many rows and map tasks there are.
+    ``bars`` is read for the counts and for the rows: materialise what is costly.
     """
     seg = "__seg"
     segmented = bars.withColumn(seg, _segment(unit))

@@ -285,7 +285,7 @@ def q_return_kde(spark, sf_dir):
 
 
 def q_tail_180(spark, sf_dir):
-    return tail_rows(_bars(spark, sf_dir), 180)
+    return tail_rows(_bars_once(spark, sf_dir), 180)
 
 
 def q_page_3(spark, sf_dir):
@@ -297,7 +297,7 @@ def q_page_shift(spark, sf_dir):
 
 
 def q_page_info(spark, sf_dir):
-    return page_info(tail_rows(_bars(spark, sf_dir), 180), 5)
+    return page_info(tail_rows(_bars_once(spark, sf_dir), 180), 5)
 
 
 def q_price_extremes(spark, sf_dir):
