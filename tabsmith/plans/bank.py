@@ -66,7 +66,7 @@ def run_cleaning(spark: SparkSession, raw_path: str, cleaned_path: str, schema=N
     raw = read_csv(spark, raw_path, schema=schema, recursive=True, glob=glob)
     cleaned = clean_transactions(raw)
     write_csv(cleaned, cleaned_path)
-    return read_csv(spark, cleaned_path, schema=cleaned.schema)
+    return read_csv(spark, cleaned_path, schema=cleaned.schema, by_name=False)
 
 
 def run_failed_extract(spark: SparkSession, cleaned_path: str, failed_path: str, schema=None) -> DataFrame:
@@ -76,4 +76,4 @@ def run_failed_extract(spark: SparkSession, cleaned_path: str, failed_path: str,
     cleaned = read_csv(spark, cleaned_path, schema=schema, infer_schema=schema is None)
     failed = failed_transactions(cleaned)
     write_csv(failed, failed_path)
-    return read_csv(spark, failed_path, schema=failed.schema)
+    return read_csv(spark, failed_path, schema=failed.schema, by_name=False)

@@ -59,7 +59,7 @@ def q_csv_round_trip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "csv-round-trip")
     write_csv(orders, path)
-    return read_csv(spark, path, schema=orders.schema)
+    return read_csv(spark, path, schema=orders.schema, by_name=False)
 
 
 def q_csv_nested_read(spark, sf_dir):
@@ -72,6 +72,17 @@ def q_csv_nested_read(spark, sf_dir):
     return read_csv(spark, root, schema=orders.schema, recursive=True)
 
 
+def q_csv_mixed_headers(spark, sf_dir):
+    """Orders written as CSV batches whose columns stand in other orders, read
+    back with one schema: cells follow the header of their file."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "csv-mixed")
+    for k, part in enumerate(_batches(orders, "o_orderstatus", ["F", "O"])):
+        turned = orders.columns[3 * k :] + orders.columns[: 3 * k]
+        write_csv(part.select(turned), f"{root}/batch_{k}")
+    return read_csv(spark, root, schema=orders.schema, recursive=True)
+
+
 def q_preview_clean(spark, sf_dir):
     """Any five cleaned transactions (a look at the data, not a report)."""
     return preview(clean_transactions(transactions_from_orders(table(spark, sf_dir, "orders"))), 5)
@@ -189,6 +200,7 @@ _VIEW_QUERIES = {
 EXTRA_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "csv_nested_read": q_csv_nested_read,
+    "csv_mixed_headers": q_csv_mixed_headers,
     "preview_clean": q_preview_clean,
     "json_round_trip": q_json_round_trip,
     "conform_sink": q_conform_sink,
@@ -208,6 +220,7 @@ bars AS (SELECT * FROM all_bars WHERE symbol = upper('{RANGE_SYMBOL}') AND dt >=
 EXTRA_ORACLE_SQL = {
     "csv_round_trip": "SELECT * FROM orders",
     "csv_nested_read": "SELECT * FROM orders",
+    "csv_mixed_headers": "SELECT * FROM orders",
     "json_round_trip": "SELECT * FROM orders",
     "conform_sink": ORACLE_SQL["sales_load"],
     "sales_feeds_load": ORACLE_SQL["sales_load"],
