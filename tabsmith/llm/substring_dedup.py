@@ -243,11 +243,11 @@ def _repeats(contents: DataFrame, size: int, group: int) -> DataFrame:
 
     small = contents.filter(F.col("contents") <= group).withColumns({"grp": F.col("prefix"), "skip": F.lit(0)})
     large = contents.filter(F.col("contents") > group).select("prefix", "content", "n", "lead", "words")
-    parts, parts_path = _stored(map_batches(large, _longer_prefixes(size), "grp long, prefix long, content long, skip int, n int, words string"), "parts")
-    counts = parts.groupBy("grp").agg(F.count("*").alias("rows")).filter("rows > 1")
+    parts, _ = _stored(map_batches(large, _longer_prefixes(size), "grp long, prefix long, content long, skip int, n int, words string"), "parts")
+    counts, _ = _stored(parts.groupBy("grp").agg(F.count("*").alias("rows")).filter("rows > 1"), "groups")
     counted = parts.join(counts, "grp")
-    windows = map_batches(counted.filter(F.col("rows") > group).select("prefix", "content", "skip", "n", "words"), _whole_windows(size), "x long, y long, prefix long, content long, mask long")
-    alike = windows.groupBy("x", "y").agg(F.count("*").alias("rows")).filter("rows > 1").select("x", "y")
+    windows, _ = _stored(map_batches(counted.filter(F.col("rows") > group).select("prefix", "content", "skip", "n", "words"), _whole_windows(size), "x long, y long, prefix long, content long, mask long"), "windows")
+    alike, _ = _stored(windows.groupBy("x", "y").agg(F.count("*").alias("rows")).filter("rows > 1").select("x", "y"), "alike")
     found = solved(small).unionByName(solved(counted.filter(F.col("rows") <= group))).unionByName(windows.join(alike, ["x", "y"]).select("prefix", "content", "mask"))
     return found.groupBy("prefix", "content").agg(F.bit_or("mask").alias("mask"))
 
@@ -360,13 +360,14 @@ def remove_repeats(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumns({"a": F.xxhash64("id", "text"), "b": F.hash("text", "id")})
     occurrences, path = _stored(map_batches(rows.select("a", "b", "text"), _occurrences(size), _OCCURRENCE), "occurrences")
-    frequent = occurrences.groupBy("prefix").agg(F.count("*").alias("rows")).filter("rows > 1").select("prefix")
+    # counts are written before they are joined back: a join of written tables is one whose hot keys are split
+    frequent, _ = _stored(occurrences.groupBy("prefix").agg(F.count("*").alias("rows")).filter("rows > 1").select("prefix"), "frequent")
     shared, _ = _stored(occurrences.join(frequent, "prefix"), "shared")
     remove_path(spark, path)
 
     # one row per different stretch, with the place of one copy
     one, _ = _stored(shared.groupBy("prefix", "content").agg(F.count("*").alias("copies"), F.min(F.struct("a", "b", "pos")).alias("copy")), "contents")
-    several = one.groupBy("prefix").agg(F.count("*").alias("contents"))
+    several, _ = _stored(one.groupBy("prefix").agg(F.count("*").alias("contents")), "prefixes")
     status = one.join(several, "prefix")
     mixed = F.col("contents") > 1
     told = shared.join(status, ["prefix", "content"])
