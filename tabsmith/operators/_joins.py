@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabsmith.session import materialize
+
 
 def join_back(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on null-safe equality of ``keys``: rows with a null key meet the
@@ -17,15 +19,29 @@ def join_back(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     return rows.join(renamed, match, how).drop(*[f"__key_{k}" for k in keys])
 
 
-def join_back_spread(rows: DataFrame, small: DataFrame, by: str, spread_on: Sequence[str]) -> DataFrame:
+#: Rows of one key that a task may get; a key with more is spread over several.
+SPREAD_ROWS = 1_000_000
+#: Keys with more rows than that, at most: with more rows in all, a part holds more.
+MAX_SPREAD_KEYS = 100_000
+
+
+def join_back_spread(rows: DataFrame, small: DataFrame, by: str, spread_on: Sequence[str], count: str, target: int = SPREAD_ROWS) -> DataFrame:
     """The same for one key that may hold a large share of the rows.
 
-    The rows of a key are spread over as many parts as a shuffle has
-    partitions, by a hash of ``spread_on``, and the small table (one row per
-    key) is repeated for every part; a join that is not broadcast then never
-    sends a whole key to one task.
+    ``small`` has one row per key, and in ``count`` the number of its rows. A key
+    with more than ``target`` is spread by a hash of ``spread_on`` over as many
+    parts as keep within it, and its row is repeated for each; all others have
+    one part. So ``small`` grows by no more than rows / ``target``. The hot keys'
+    numbers of parts go to every task; there cannot be more than
+    ``MAX_SPREAD_KEYS`` of them, since ``target`` is raised with the number of
+    rows. A join that is not broadcast then never sends a whole hot key to one task.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = rows.withColumn("__part", F.pmod(F.xxhash64(*spread_on), F.lit(parts)).cast("int"))
-    repeated = small.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    small = materialize(small)
+    total = small.agg(F.sum(count)).first()[0] or 0
+    target = max(target, -(-total // MAX_SPREAD_KEYS))
+    parts = F.greatest(F.ceil(F.col(count) / target), F.lit(1)).cast("int")
+    hot = small.filter(F.col(count) > target).select(F.col(by).alias("__part_key"), parts.alias("__parts"))
+    known = rows.join(F.broadcast(hot), F.col(by).eqNullSafe(F.col("__part_key")), "left")
+    salted = known.withColumn("__part", F.coalesce(F.pmod(F.xxhash64(*spread_on), F.col("__parts")), F.lit(0)).cast("int")).drop("__part_key", "__parts")
+    repeated = small.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return join_back(salted, repeated, [by, "__part"]).drop("__part")

@@ -5,9 +5,9 @@ All are built from Spark aggregates that have a map-side partial step
 (``covar_samp``/``stddev_samp``, ``regr_*``, ``min``/``max``, ``sum``), so a
 symbol holding a large share of the rows is pre-aggregated in every task
 before the shuffle. Small per-symbol tables (coefficients, ranges,
-bandwidths) are joined back on the symbol and a salt (``join_back_spread``):
-adaptive execution does not split a skewed partition whose other side is an
-aggregate, so the symbol's rows are spread before the join.
+bandwidths) are joined back on the symbol and, for symbols with very many rows,
+a salt (``join_back_spread``): adaptive execution does not split a skewed
+partition whose other side is an aggregate, so such rows are spread before the join.
 
 Null and NaN are both missing.
 """
@@ -195,8 +195,11 @@ def predict_next_close(bars: DataFrame, price: str = "close", fit: DataFrame | N
     if fit is None:
         rows = materialize(rows)
         fit = _fit(rows, price)
-    joined = join_back_spread(rows, fit.select(SYMBOL, "slope", "intercept"), SYMBOL, [DT, price])
-    return joined.withColumn("predicted", F.col("slope") * F.col(price) + F.col("intercept")).drop("slope", "intercept")
+    if "n" not in fit.columns:
+        fit = join_back(fit, rows.groupBy(SYMBOL).agg(F.count(F.lit(1)).alias("n")), [SYMBOL])
+    lines = fit.select(SYMBOL, F.col("slope").alias("__slope"), F.col("intercept").alias("__intercept"), F.col("n").alias("__rows"))
+    joined = join_back_spread(rows, lines, SYMBOL, [DT, price], "__rows")
+    return joined.withColumn("predicted", F.col("__slope") * F.col(price) + F.col("__intercept")).drop("__slope", "__intercept", "__rows")
 
 
 def _ranges(df: DataFrame, value: str, by: str) -> DataFrame:
@@ -231,9 +234,9 @@ def histogram(df: DataFrame, value: str = "ret", bins: int = 100, by: str = SYMB
     symbol with a value has ``bins`` rows.
     Output: ``(by, bin, bin_lo, bin_hi, count)``."""
     present = materialize(_present(df, value).select(by, value))  # read for the ranges and for the counts
-    ranges = _ranges(present, value, by).select(by, "__lo", "__hi")
+    ranges = materialize(_ranges(present, value, by).select(by, "__lo", "__hi", "__n"))
     b = bin_index(F.col(value), F.col("__lo"), F.col("__hi"), bins)
-    counts = join_back_spread(present, ranges, by, [value]).groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = join_back_spread(present, ranges, by, [value], "__n").groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     step = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
     return join_back(every, counts, [by, "bin"], "left").select(
@@ -263,7 +266,7 @@ def kde(df: DataFrame, value: str = "ret", grid: int = 200, by: str = SYMBOL) ->
         raise ValueError("grid must be >= 2")
     present = materialize(_present(df, value).select(by, F.col(value).cast("double").alias("__v")))  # read twice
     stats = _ranges(present, "__v", by).withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
-    joined = join_back_spread(present, stats.select(by, "__lo", "__hi", "__n", "__h"), by, ["__v"])
+    joined = join_back_spread(present, stats.select(by, "__lo", "__hi", "__n", "__h"), by, ["__v"], "__n")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[object, list] = {}
@@ -282,9 +285,10 @@ def kde(df: DataFrame, value: str = "ret", grid: int = 200, by: str = SYMBOL) ->
             codes = batch.column(by).dictionary_encode(null_encoding="encode")
             names, which = codes.dictionary.to_pylist(), codes.indices.to_numpy()
             lo, hi, n, h, v = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__lo", "__hi", "__n", "__h", "__v"))
-            for k, name in enumerate(names):
-                rows = np.flatnonzero(which == k)
+            order = np.argsort(which, kind="stable")  # sorted once, cut where the key changes
+            for rows in np.split(order, np.flatnonzero(np.diff(which[order])) + 1) if len(order) else []:
                 first = rows[0]
+                name = names[which[first]]
                 if name not in found:
                     points = lo[first] + np.arange(grid) * ((hi[first] - lo[first]) / (grid - 1))
                     points[-1] = hi[first]
