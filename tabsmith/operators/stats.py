@@ -15,7 +15,7 @@ Null and NaN are both missing.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -53,11 +53,12 @@ def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -
 
     The benchmark's value reaches the other rows of its date by a window over
     the date, so ``returns`` is computed once; rows without a date have no
-    partner.
+    partner. Of several values of a symbol at one ``dt`` the greatest counts.
     """
     bench_symbol = normalize_symbol(benchmark)
     known = F.when(~F.isnan(value), F.col(value)).alias(value)
     dated = returns.filter(F.col(DT).isNotNull()).select(SYMBOL, DT, known)
+    dated = dated.repartition(DT).groupBy(DT, SYMBOL).agg(F.max(value).alias(value))  # dealt out once, for this and the window
     per_date = Window.partitionBy(DT)
     paired = dated.withColumn("__bench", F.max(F.when(F.col(SYMBOL) == bench_symbol, F.col(value))).over(per_date))
     return (
@@ -69,76 +70,117 @@ def corr_with(returns: DataFrame, benchmark: str = "AAPL", value: str = "ret") -
     )
 
 
-#: At most so many rows leave the tasks of corr_matrix, one per pair of symbols and task.
-MAX_PAIR_ROWS = 100_000_000
+#: Symbols on each side of a tile of the correlation matrix, and date slices at most.
+TILE, MAX_SLICES = 256, 1024
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def _tile_moments(low: np.ndarray, tile: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Strips ordered by (i, j, slice, dt) -> moments of the pairs of each tile
+    (i, j) and slice: a matrix per strip with a row per date, and products."""
+
+    def dense(rows: pa.Table, day: np.ndarray, strip: int, days: int) -> tuple[np.ndarray, np.ndarray]:
+        mine = np.flatnonzero(rows.column("strip").to_numpy() == strip)
+        x, there = np.zeros((days, tile)), np.zeros((days, tile))
+        cells = rows.column("cells").take(pa.array(mine)).combine_chunks()
+        flat = cells.flatten()
+        at = flat.field("at").to_numpy()
+        owner = np.repeat(day[mine], np.diff(cells.offsets.to_numpy()))
+        x[owner, at - strip * tile] = flat.field("v").to_numpy() - low[at]
+        there[owner, at - strip * tile] = 1.0
+        return x, there
+
+    def add(sums: np.ndarray, rows: pa.Table, key: tuple) -> None:
+        dates = rows.column(DT).to_numpy()
+        day = np.concatenate([[0], np.cumsum(dates[1:] != dates[:-1])])
+        for first in range(0, int(day[-1]) + 1, 512):
+            begin, end = np.searchsorted(day, [first, first + 512])
+            part = rows.slice(begin, end - begin)
+            days = int(day[end - 1]) - first + 1
+            x, here = dense(part, day[begin:end] - first, key[0], days)
+            y, there = (x, here) if key[0] == key[1] else dense(part, day[begin:end] - first, key[1], days)
+            for k, (left, right) in enumerate([(here, there), (x, there), (here, y), (x * x, there), (here, y * y), (x, y)]):
+                sums[k] += left.T @ right
+
+    def result(sums: np.ndarray, key: tuple) -> pa.RecordBatch:
+        a, b = np.nonzero(sums[0])
+        a, b = (a, b) if key[0] != key[1] else (a[a <= b], b[a <= b])
+        arrays = [pa.array((a + key[0] * tile).astype(np.int32)), pa.array((b + key[1] * tile).astype(np.int32)), *(pa.array(m[a, b]) for m in sums)]
+        return pa.RecordBatch.from_arrays(arrays, names=["a", "b", *_MOMENTS])
 
-
-def corr_matrix(returns: DataFrame, symbols: Sequence[str], value: str = "ret") -> DataFrame:
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sums, held = None, None, None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            keys = np.stack([table.column(c).to_numpy() for c in ("i", "j", "slice")], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for begin, end in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+                if begin == end:
+                    continue
+                if key != tuple(keys[begin]):
+                    if key is not None:
+                        add(sums, held, key)
+                        yield result(sums, key)
+                    key, sums, held = tuple(keys[begin]), np.zeros((6, tile, tile)), None
+                rows = table.slice(begin, end - begin)
+                rows = rows if held is None else pa.concat_tables([held, rows])
+                dates = rows.column(DT).to_numpy()
+                done = int(np.flatnonzero(dates == dates[-1])[0])  # the last date may go on in the next batch
+                if done:
+                    add(sums, rows.slice(0, done), key)
+                held = rows.slice(done)
+        if key is not None:
+            add(sums, held, key)
+            yield result(sums, key)
+
+    return moments
+
+
+def corr_matrix(returns: DataFrame, symbols: Sequence[str], value: str = "ret", tile: int = TILE) -> DataFrame:
     """Full correlation matrix in long form ``(symbol_a, symbol_b, corr)``.
 
-    Pairwise-complete: each pair uses the dates where both symbols have a
-    value (of several rows of a symbol and date, one counts). The matrix has
-    ``len(symbols)**2`` cells, so the symbol list is given by the caller; a
-    pair without two common dates, or of which one is flat there, is null.
-
-    One shuffle by date, then each task turns its dates into a matrix with a
-    column per symbol and adds up, by matrix products, the moments of all
-    pairs; one aggregate merges the tasks. The plan is the same for any number
-    of symbols. Values are taken from the symbol's smallest, which keeps the
+    Pairwise-complete: each pair uses the moments ``dt`` at which both symbols
+    have a value, as they stand (bars of one day at two times are two of them);
+    of several values of a symbol at one ``dt`` the greatest counts, as in
+    :func:`corr_with`. The matrix has ``len(symbols)**2`` cells, so the symbol
+    list is given by the caller; a pair without two common dates, or of which one
+    is flat there, is null.
+
+    A blocked product: symbols are cut into strips of ``tile``, a date's values
+    of a strip travel together, and each pair of strips is a tile whose moments
+    one task adds up by matrix products, date by date, or several tasks for
+    slices of the dates where tiles are few. A task holds six ``tile`` x ``tile``
+    tables whatever the number of symbols and dates, and there are never fewer
+    tasks than tiles. Values are taken from the symbol's smallest, which keeps the
     sums stable and a flat series exactly zero.
     """
     symbols = sorted(set(normalize_symbol(s) for s in symbols))
     if not symbols:
         raise ValueError("no symbols")
-    rows = _present(returns.select(SYMBOL, DT, F.col(value).cast("double").alias("v")), "v").filter(F.col(SYMBOL).isin(symbols) & F.col(DT).isNotNull())
-    rows = materialize(rows)  # read for the smallest values and for the moments
-    lows = {r[0]: r[1] for r in rows.groupBy(SYMBOL).agg(F.min("v")).collect()}  # one number per listed symbol
-    at = {s: k for k, s in enumerate(symbols)}
-    low = np.array([lows.get(s, 0.0) for s in symbols])
-    pairs = np.triu_indices(len(symbols))
-
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(symbols)
-        sums = np.zeros((6, n, n))
-
-        def add(days: np.ndarray, cols: np.ndarray, vals: np.ndarray) -> None:
-            _, day = np.unique(days, return_inverse=True)
-            for first in range(0, day.max(initial=-1) + 1, 512):
-                some = (day >= first) & (day < first + 512)
-                x, there = np.zeros((512, n)), np.zeros((512, n))
-                x[day[some] - first, cols[some]] = vals[some] - low[cols[some]]
-                there[day[some] - first, cols[some]] = 1.0
-                squares = x * x
-                sums[0] += there.T @ there
-                sums[1] += x.T @ there
-                sums[2] += there.T @ x
-                sums[3] += squares.T @ there
-                sums[4] += there.T @ squares
-                sums[5] += x.T @ x
-
-        rest: tuple[np.ndarray, ...] | None = None
-        for batch in batches:
-            now = (batch.column(DT).cast(pa.int32()).to_numpy(), np.array([at[s] for s in batch.column(SYMBOL).to_pylist()], dtype=int), batch.column("v").to_numpy())
-            if rest is not None:
-                now = tuple(np.concatenate([a, b]) for a, b in zip(rest, now, strict=True))
-            if len(now[0]):
-                last = now[0] == now[0][-1]  # the day may go on in the next batch
-                add(*(x[~last] for x in now))
-                rest = tuple(x[last] for x in now)
-        if rest is not None:
-            add(*rest)
-        i, j = pairs
-        good = sums[0][i, j] > 0
-        i, j = i[good], j[good]
-        arrays = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *(pa.array(s[i, j]) for s in sums)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["a", "b", "n", "sx", "sy", "sxx", "syy", "sxy"])
-
-    tasks = max(1, min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PAIR_ROWS // len(pairs[0])))
-    by_date = rows.withColumn(DT, F.col(DT).cast("date")).repartition(tasks, DT).sortWithinPartitions(DT)
+    spark = returns.sparkSession
+    tile = min(tile, len(symbols))
+    listed = spark.createDataFrame([(s, k) for k, s in enumerate(symbols)], f"{SYMBOL} string, at int")  # as long as the argument
+    rows = _present(returns.select(SYMBOL, DT, F.col(value).cast("double").alias("v")), "v").filter(F.col(DT).isNotNull())
+    rows = rows.join(F.broadcast(listed), SYMBOL).groupBy(DT, "at").agg(F.max("v").alias("v"))
+    strips = rows.groupBy(DT, F.floor(F.col("at") / tile).cast("int").alias("strip")).agg(F.collect_list(F.struct("at", "v")).alias("cells"))
+    strips = materialize(strips)  # read for the smallest values and for the moments
+    smallest = strips.select(F.inline("cells")).groupBy("at").agg(F.min("v"))
+    low = np.zeros(len(symbols))
+    for at, v in smallest.collect():  # one number per listed symbol
+        low[at] = v
+
+    n_strips = -(-len(symbols) // tile)
+    tiles = n_strips * (n_strips + 1) // 2
+    slices = min(MAX_SLICES, max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // tiles)))
+    other = F.explode(F.sequence(F.lit(0), F.lit(n_strips - 1)))
+    dealt = strips.withColumn("other", other).select(
+        F.least("strip", "other").alias("i"), F.greatest("strip", "other").alias("j"), F.pmod(F.xxhash64(DT), F.lit(slices)).cast("int").alias("slice"), DT, "strip", "cells"
+    )
+    dealt = dealt.repartition(tiles * slices, "i", "j", "slice").sortWithinPartitions("i", "j", "slice", DT)
     summed = (
-        by_date.mapInArrow(moments, "a int, b int, n double, sx double, sy double, sxx double, syy double, sxy double")
+        dealt.mapInArrow(_tile_moments(low, tile), "a int, b int, " + ", ".join(f"{c} double" for c in _MOMENTS))
         .groupBy("a", "b")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+        .agg(*[F.sum(c).alias(c) for c in _MOMENTS])
     )
 
     def spread(square: str, plain: str) -> Column:
@@ -152,8 +194,8 @@ def corr_matrix(returns: DataFrame, symbols: Sequence[str], value: str = "ret")
     )
     names = F.array(*[F.lit(s) for s in symbols])
     # every listed pair, also those without a common date
-    listed = rows.sparkSession.range(len(symbols)).select(F.col("id").cast("int").alias("a"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(len(symbols) - 1))).alias("b"))
-    cells = listed.join(summed.select("a", "b", corr.alias("corr")), ["a", "b"], "left")
+    pairs = spark.range(len(symbols)).select(F.col("id").cast("int").alias("a"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(len(symbols) - 1))).alias("b"))
+    cells = pairs.join(summed.select("a", "b", corr.alias("corr")), ["a", "b"], "left")
     both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
     return cells.withColumn("way", F.explode(both)).select(
         F.element_at(names, F.col("way.a") + 1).alias("symbol_a"), F.element_at(names, F.col("way.b") + 1).alias("symbol_b"), "corr"

@@ -232,6 +232,15 @@ def q_corr_matrix(spark, sf_dir):
     return corr_matrix(_returns(spark, sf_dir), SYMBOLS).select("symbol_a", "symbol_b", _r("corr", 6))
 
 
+def q_corr_intraday(spark, sf_dir):
+    """Correlation of turnovers at four times a day, as a made-up clock of the
+    order key gives them: moments count as they stand, not by day."""
+    orders = table(spark, sf_dir, "orders")
+    at = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 4).cast("int"))
+    turnover = orders.groupBy(F.col("o_orderpriority").alias("symbol"), at.alias("dt")).agg(F.sum("o_totalprice").alias("ret"))
+    return corr_matrix(turnover, SYMBOLS).select("symbol_a", "symbol_b", _r("corr", 6))
+
+
 def _keyed_bars(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("dt")).agg(
         F.max("o_orderkey").alias("k"), F.max_by("o_totalprice", "o_orderkey").alias("close")
@@ -359,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "indicators": q_indicators,
     "corr_benchmark": q_corr_benchmark,
     "corr_matrix": q_corr_matrix,
+    "corr_intraday": q_corr_intraday,
     "bars_null_keys": q_bars_null_keys,
     "corr_nan_gaps": q_corr_nan_gaps,
     "next_close_fit": q_next_close_fit,
@@ -590,6 +600,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, round(corr(a.ret, b.ret), 6) AS corr
         FROM rets a JOIN rets b ON a.dt = b.dt
         GROUP BY 1, 2""",
+    "corr_intraday": """WITH t AS (
+            SELECT o_orderpriority AS symbol, o_orderdate + to_hours(o_orderkey % 4) AS dt, sum(o_totalprice) AS ret
+            FROM orders GROUP BY 1, 2)
+        SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, round(corr(a.ret, b.ret), 6) AS corr
+        FROM t a JOIN t b ON a.dt = b.dt
+        GROUP BY 1, 2""",
     "next_close_fit": f"""WITH {_TRAIN}
         SELECT symbol, round(slope, 8) AS slope, round(intercept, 4) AS intercept, round(r2, 8) AS r2, n FROM fit""",
     "next_close_predict": f"""WITH {_TRAIN}
