@@ -91,7 +91,7 @@ def pack(
         mixed = hash32(np.arange(max(enc.n_ids, end_id) + 1))
         cell, sign = (mixed % HASHED).astype(np.int64), np.where(mixed & np.uint64(1 << 20), 1.0, -1.0)
         for batch in batches:
-            for part, texts in slices(batch, "text", 1_000_000):
+            for part, texts in slices(batch, "text", 2_000_000):
                 ids = [np.frombuffer(data, dtype=enc.dtype) for data in enc.encode(texts)]
                 counts = np.stack([np.bincount(cell[x], weights=sign[x], minlength=HASHED) for x in ids])
                 columns = {

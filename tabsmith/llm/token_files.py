@@ -181,7 +181,7 @@ def write_token_files(
         ids: list = []
         parts: list[bytes] = []
         for batch in batches:
-            for part, texts in slices(batch, "text", 1_000_000):
+            for part, texts in slices(batch, "text", 2_000_000):
                 for doc, data in zip(part.column("id").to_pylist(), enc.encode(texts), strict=True):
                     ids.append(doc)
                     parts.append((data if kind == enc.dtype else np.frombuffer(data, dtype=enc.dtype).astype(kind).tobytes()) + end)

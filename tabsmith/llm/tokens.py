@@ -23,6 +23,18 @@ _UNSAFE = re.compile("[^\n\x20-\x7e¡-ɏ‐-‧€]")
 _RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
+def _spelling() -> dict[int, int]:
+    """How byte-level tokenizers spell bytes (read as Latin-1): those that print
+    stand for themselves, the others for the characters from 256 on, in order.
+    The space is left, to part words."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden) if b != 32}
+
+
+_SPELLING = _spelling()
+
+
 class Encoder:
     """Ids of texts as little-endian bytes (2 per id when the vocabulary fits).
 
@@ -48,6 +60,9 @@ class Encoder:
         self.added = [c.lower() if self.mode == "dropped" else c for c in added if not special_as_text]
         self.cache = PieceCache(limit // 2)
         caches.append(self.cache)
+        if self.mode is not None:
+            without = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+            self.merges = Tokenizer.from_str(json.dumps({**spec, **without}))
         vocab = self.tokenizer.get_vocab()
         #: for ids of words encoded together: whether an id ends ("dropped") or begins ("spaced") a word
         self.edge = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
@@ -59,12 +74,18 @@ class Encoder:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """The same for words of letters only, a thousand to a call."""
+        """The same for words of letters only, a thousand to a call. Normalizer and
+        pattern change nothing in these but the spelling of their bytes, so the
+        tokenizer's model gets them spelt, parted by spaces, without both."""
         out: list[bytes] = []
-        lead = " " if self.mode == "spaced" else ""
+        lead = "Ġ" if self.mode == "spaced" else ""
         for k in range(0, len(words), 1000):
-            some = words[k : k + 1000]
-            (found,) = self.tokenizer.encode_batch_fast([lead + " ".join(some)], add_special_tokens=False)
+            spelt = " ".join(words[k : k + 1000])
+            if not spelt.isascii():
+                spelt = spelt.encode().decode("latin-1").translate(_SPELLING)
+            if lead:
+                spelt = lead + spelt.replace(" ", " " + lead)
+            (found,) = self.merges.encode_batch_fast([spelt], add_special_tokens=False)
             ids = np.array(found.ids, dtype=self.dtype)
             at = np.flatnonzero(self.edge[ids])
             cuts = [*at.tolist(), len(ids)] if lead else [0, *(at + 1).tolist()]
@@ -116,6 +137,7 @@ class Encoder:
         # the parts of marked pieces that are not known, nor about to be
         atoms = cache.missing({a for parts in marked.values() for a in parts}.difference(plain))
         words = plain + [a for a in atoms if a.isalpha()]
+        words.sort(key=str.isascii)  # only calls with other letters must spell them out
         cache.update(zip(words, self._encode_words(words), strict=True))
         others = [a for a in atoms if not a.isalpha()]
         cache.update(zip(others, self._encode([self._plain(a) for a in others]), strict=True))
@@ -170,6 +192,7 @@ def _mode(spec: dict) -> str | None:
         and steps[0].get("behavior") == "Removed"
         and steps[0].get("invert")
         and "[^\\s\\p{L}\\p{N}]+" in steps[0].get("pattern", {}).get("Regex", "")
+        and steps[1:] == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
         and kinds == ["NFC", "Replace", "Lowercase"]
     ):
         return "dropped"
