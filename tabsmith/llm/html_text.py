@@ -43,13 +43,17 @@ FRAME_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar rail nav navbar navigation "
     "menu breadcrumb breadcrumbs masthead header footer copyright cookie cookies consent gdpr notice notices notification popup modal overlay "
     "newsletter subscribe subscription signup login signin search form share sharing social related recommended recommendations trending "
-    "comment comments commentlist respond reply replies discussion disqus pagination pager widget toolbar skip alert".split()
+    "comment comments commentlist respond reply replies responses reviews discussion disqus pagination pager widget toolbar skip alert".split()
 )
+# of these, the ones that also mark a few words within a line
+INLINE_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion popup".split())
 # parts of a name that leave it a frame's, and words that are often a wrapper's
 BOX_WORDS = frozenset(
     "article articles area bar block box bottom button buttons container entry global group inner item items left link links list main outer page "
-    "panel post posts primary right secondary section site slot top unit wrap wrapper".split()
+    "panel post posts primary reader readers right secondary section site slot top unit user users wrap wrapper".split()
 )
+# parts of a name that may be that of an element around the whole page
+WIDE_WORDS = frozenset("body container content global main outer page site wrap wrapper".split())
 WRAPPER_WORDS = frozenset("form widget".split())
 STATE_WORDS = frozenset("has have hide no non not show with without".split())
 PROSE = 10  # words of a block that count as running text, if few of them are links
@@ -60,8 +64,10 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
-_ATTR = re.compile(r"(?<![\w-])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"(?<![\w-])(class|id|role|style|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW_TAGS}
 
 
 @dataclass
@@ -72,7 +78,7 @@ class Block:
     frame: bool
     article: bool
     heading: bool = False
-    unsure: tuple[int, ...] = ()  # elements around it that are frames or wrappers
+    unsure: int = -1  # the innermost element around it that is a frame or a wrapper
     outer: int = 0  # the outermost article around it, 0 inside <main>
 
     @property
@@ -80,41 +86,79 @@ class Block:
         return self.linked / self.words if self.words else 0.0
 
 
+@dataclass(frozen=True)
+class _Place:
+    """What the open elements make of a block, carried along with each of them."""
+
+    frame: bool = False
+    unsure: int = -1
+    outer: int = 0
+    main: bool = False
+
+
 @dataclass
 class _Page:
-    open: list[tuple[str, int, int, int]] = field(default_factory=list)  # tag, 1 for perhaps a frame or 2, 1 for an article or 2 for <main>, number
+    open: list[tuple[str, _Place]] = field(default_factory=list)
+    counts: Counter = field(default_factory=Counter)  # of the open elements, by tag
     elements: int = 0
+    around: list[int] = field(default_factory=list)  # of every perhaps-frame, the one around it
     parts: list[tuple[str, bool]] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
     link: int = 0
     heading: bool = False
+    mute: tuple[str, int, int] | None = None  # an unwanted inline element: tag, how often open, blocks around it
 
     def text(self, value: str) -> None:
-        if value:
+        if value and self.mute is None:
             self.parts.append((html.unescape(value) if "&" in value else value, self.link > 0))
 
     def cut(self) -> None:
         words = "".join([p for p, _ in self.parts]).split()
         if words:
             linked = sum(len(p.split()) for p, link in self.parts if link)
-            self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), *self.place()))
+            at = self.place()
+            self.blocks.append(Block(" ".join(words), len(words), min(linked, len(words)), at.frame, at.outer > 0, self.heading, at.unsure, 0 if at.main else at.outer))
         self.parts = []
         self.heading = False
 
-    def place(self) -> tuple[bool, bool, bool, tuple[int, ...], int]:
-        """frame, article, heading, unsure and outer of a block that stands here."""
-        frame, unsure, outer, main = False, [], 0, False
-        for _, sure, article, number in self.open:
-            if article:
-                unsure = []
-                if article == 2:
-                    frame, main = False, True
-                outer = outer or number
-            if sure == 2:
-                frame = True
-            elif sure:
-                unsure.append(number)
-        return frame, outer > 0, self.heading, tuple(unsure), 0 if main else outer
+    def place(self) -> _Place:
+        return self.open[-1][1] if self.open else _Place()
+
+    def push(self, tag: str, sure: int, article: int) -> None:
+        """``sure``: 2 for a frame, 1 for perhaps one. ``article``: 1, or 2 for <main>."""
+        self.elements += 1
+        at = self.place()
+        frame, unsure, outer, main = at.frame, at.unsure, at.outer, at.main
+        if article:
+            unsure, outer = -1, outer or self.elements
+            if article == 2:
+                frame, main = False, True
+        if sure == 2:
+            frame = True
+        elif sure:
+            self.around.append(unsure)
+            unsure = len(self.around) - 1
+        self.open.append((tag, _Place(frame, unsure, outer, main)))
+        self.counts[tag] += 1
+
+    def pop(self) -> str:
+        tag, _ = self.open.pop()
+        self.counts[tag] -= 1
+        if self.mute and len(self.open) < self.mute[2]:
+            self.mute = None
+        return tag
+
+    def inline(self, tag: str, attrs: str) -> None:
+        """Advertisements and hidden words within a line are not text."""
+        if self.mute:
+            if tag == self.mute[0]:
+                self.mute = (tag, self.mute[1] + 1, self.mute[2])
+        elif attrs and tag not in VOID_TAGS and tag not in RAW_TAGS:
+            for name, *values in _ATTR.findall(attrs):
+                value, kind = "".join(values), name.lower()
+                named = kind in ("class", "id") and any(_named(t, False) == 2 and not INLINE_WORDS.isdisjoint(_words(t)) for t in value.split())
+                if named or kind == "hidden" or (kind == "style" and _UNSEEN.search(value)):
+                    self.mute = (tag, 1, len(self.open))
 
     def begin(self, tag: str, attrs: str) -> None:
         if tag == "a":
@@ -122,6 +166,7 @@ class _Page:
         if tag not in BLOCK_TAGS:
             if tag == "br":
                 self.text(" ")
+            self.inline(tag, attrs)
             return
         self.cut()
         self.link = 0
@@ -130,73 +175,89 @@ class _Page:
             return
         self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         article = {"article": 1, "main": 2}.get(tag, 0)
-        inside = any(a for _, _, a, _ in self.open)
-        sure = 0
+        inside = self.place().outer > 0
+        sure = 2 if self.mute else 0
         if tag in FRAME_TAGS and not (tag == "header" and inside):
             sure = 1 if tag in WRAPPER_WORDS else 2
         if tag not in ("html", "body", "main"):
             for name, *values in _ATTR.findall(attrs):
-                value = "".join(values).lower()
-                if name.lower() == "role":
-                    words = set(_WORDS.findall(value))
+                value, kind = "".join(values), name.lower()
+                if kind == "role":
+                    words = set(_words(value))
                     article = max(article, 2 * ("main" in words), int("article" in words))
                     if words & {"banner", "navigation", "complementary", "contentinfo", "search", "dialog", "alert"}:
                         sure = 2
                     sure = max(sure, int("form" in words))
-                elif name.lower() == "hidden":
+                elif kind == "hidden":
                     sure = 2
+                elif kind == "style":
+                    sure = 2 if _UNSEEN.search(value) else sure
                 else:
                     sure = max([sure, *(_named(token, inside) for token in value.split())])
         if article and sure == 1:
             sure = 0
-        self.elements += 1
-        self.open.append((tag, sure, article, self.elements))
+        self.push(tag, sure, article)
 
     def close_implied(self, tag: str) -> None:
         """A paragraph ends where another block begins, an item where its next one does."""
         if self.open and self.open[-1][0] == "p":
-            self.open.pop()
+            self.pop()
         group = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
         while self.open and self.open[-1][0] in group.get(tag, ()):
-            self.open.pop()
+            self.pop()
 
     def end(self, tag: str) -> None:
         if tag == "a":
             self.link = 0
         if tag not in BLOCK_TAGS:
+            if self.mute and tag == self.mute[0]:
+                self.mute = (tag, self.mute[1] - 1, self.mute[2]) if self.mute[1] > 1 else None
             return
         self.cut()
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                del self.open[at:]
-                break
+        if self.counts[tag]:  # else a stray end, which closes nothing
+            while self.pop() != tag:
+                pass
+
+
+def _words(name: str) -> list[str]:
+    """The words of a name: at hyphens, underscores and capitals."""
+    return [w.lower() for w in _WORDS.findall(name)]
 
 
 def _named(name: str, inside: bool) -> int:
     """2 if a class or id is a frame's name, 1 if it may be, else 0."""
-    words = _WORDS.findall(name)
+    words = _words(name)
     frames = FRAME_WORDS - {"header"} if inside else FRAME_WORDS
     if frames.isdisjoint(words) or words[0] in STATE_WORDS:
         return 0
-    return 2 if (frames - WRAPPER_WORDS).union(BOX_WORDS).issuperset(words) else 1
+    return 2 if (frames - WRAPPER_WORDS).union(BOX_WORDS - WIDE_WORDS).issuperset(words) else 1
 
 
-def _settle(found: list[Block]) -> None:
+def _settle(found: list[Block], around: list[int]) -> None:
     """Decide which elements are frames or wrappers, and whether the articles
-    of the page are its main text."""
+    of the page are its main text. ``around``: of every element that may be
+    either, the next one around it."""
 
     def prose(some: Iterable[Block]) -> int:
         return sum(b.words - b.linked for b in some if b.words >= PROSE and b.density < 0.5)
 
     open_text = [b for b in found if not b.frame]
-    all_words = prose(open_text)
-    within: dict[int, list[Block]] = {}
+    least = PROSE if prose(open_text) else 1  # a page of short blocks is judged by these
+    within = [0] * len(around)
+    all_words = 0
     for b in open_text:
-        for number in b.unsure:
-            within.setdefault(number, []).append(b)
-    wrappers = {number for number, some in within.items() if 0 < all_words <= 2 * prose(some)}
+        if b.words >= least and b.density < 0.5:
+            all_words += b.words - b.linked
+            if b.unsure >= 0:
+                within[b.unsure] += b.words - b.linked
+    for k in range(len(around) - 1, -1, -1):  # inner ones come after outer ones
+        if around[k] >= 0:
+            within[around[k]] += within[k]
+    clear: list[bool] = []
+    for k, outer in enumerate(around):
+        clear.append(0 < all_words <= 2 * within[k] and (outer < 0 or clear[outer]))
     for b in open_text:
-        b.frame = not wrappers.issuperset(b.unsure)
+        b.frame = b.unsure >= 0 and not clear[b.unsure]
     articles = Counter()
     for b in found:
         if b.article and not b.frame:
@@ -212,7 +273,6 @@ def blocks(page: str) -> list[Block]:
     of the page is not text."""
     out = _Page()
     at = 0
-    low = ""
     while m := _TOKEN.search(page, at):
         out.text(page[at : m.start()])
         at = m.end()
@@ -224,12 +284,11 @@ def blocks(page: str) -> list[Block]:
         else:
             out.begin(tag, m["attrs"] or m["attrs2"] or "")
             if tag in RAW_TAGS:
-                low = low or page.lower()
-                stop = low.find(f"</{tag}", at) if len(low) == len(page) else page.find(f"</{tag}", at)
-                at = len(page) if stop < 0 else stop
+                stop = _RAW_END[tag].search(page, at)
+                at = stop.start() if stop else len(page)
     out.text(page[at:])
     out.cut()
-    _settle(out.blocks)
+    _settle(out.blocks, out.around)
     return out.blocks
 
 
@@ -253,6 +312,9 @@ LABELLED = np.array(
         (80, 0.0, 8, 0.0, 60, 0.0, 0, 1, 0, 1), (3, 0.0, 90, 0.0, 70, 0.0, 0, 1, 0, 1), (1, 0.0, 40, 0.0, 0, 0.0, 0, 1, 0, 1), (9, 0.0, 6, 1.0, 80, 0.0, 0, 1, 1, 1),
         (2, 0.0, 3, 1.0, 5, 0.0, 0, 1, 0, 1), (25, 0.2, 1, 0.0, 2, 0.0, 0, 1, 0, 1), (12, 0.5, 30, 0.0, 8, 0.0, 0, 1, 0, 1), (4, 0.0, 10, 0.0, 12, 0.0, 0, 1, 0, 1),
         (150, 0.05, 1, 1.0, 1, 1.0, 0, 1, 0, 1), (6, 1.0, 50, 0.0, 50, 0.0, 0, 1, 0, 1), (7, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (300, 0.0, 9, 0.0, 9, 0.0, 0, 1, 0, 1),
+        (1, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (1, 0.0, 0, 0.0, 1, 0.0, 0, 1, 0, 1), (1, 0.0, 1, 0.0, 0, 0.0, 0, 1, 0, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+        (2, 0.0, 0, 0.0, 2, 0.0, 0, 1, 0, 1), (4, 0.0, 2, 0.0, 0, 0.0, 0, 1, 0, 1),
+        (20, 0.0, 2, 1.0, 0, 0.0, 0, 1, 0, 1), (5, 0.0, 3, 1.0, 0, 0.0, 0, 1, 0, 1), (3, 0.0, 6, 1.0, 4, 1.0, 0, 1, 0, 1),
         # in a frame, within the article or not
         (30, 0.0, 60, 0.0, 60, 0.0, 1, 1, 0, 0), (4, 0.0, 60, 0.0, 60, 0.0, 1, 1, 0, 0), (90, 0.0, 20, 0.0, 0, 0.0, 1, 1, 0, 0), (8, 1.0, 60, 0.0, 8, 1.0, 1, 1, 0, 0),
         (1, 1.0, 1, 1.0, 1, 1.0, 1, -1, 0, 0), (12, 0.0, 1, 1.0, 9, 0.0, 1, -1, 0, 0), (45, 0.0, 80, 0.0, 0, 0.0, 1, -1, 0, 0), (5, 0.0, 60, 0.0, 0, 0.0, 1, -1, 1, 0),
@@ -264,6 +326,12 @@ LABELLED = np.array(
         (60, 0.0, 50, 0.0, 70, 0.0, 0, 0, 0, 1), (25, 0.1, 4, 0.0, 40, 0.0, 0, 0, 0, 1), (18, 0.0, 30, 0.0, 0, 0.0, 0, 0, 0, 1), (120, 0.2, 2, 1.0, 1, 1.0, 0, 0, 0, 1),
         (16, 0.0, 2, 1.0, 20, 0.0, 0, 0, 0, 1), (6, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1, 1), (4, 0.0, 50, 0.0, 45, 0.0, 0, 0, 0, 1), (3, 0.0, 40, 0.0, 30, 0.1, 0, 0, 1, 1),
         (8, 0.0, 35, 0.0, 22, 0.0, 0, 0, 0, 1), (5, 0.0, 25, 0.0, 5, 0.0, 0, 0, 0, 1), (5, 0.0, 5, 0.0, 25, 0.0, 0, 0, 0, 1),
+        # ... short pages and lists: lines beside lines without links, the first and the last, a page of one block
+        (5, 0.0, 6, 0.0, 5, 0.0, 0, 0, 0, 1), (7, 0.0, 7, 0.0, 0, 0.0, 0, 0, 0, 1), (11, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 1), (6, 0.0, 0, 0.0, 7, 0.0, 0, 0, 0, 1),
+        (3, 0.0, 0, 0.0, 6, 0.0, 0, 0, 1, 1), (8, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (2, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 1), (1, 0.0, 1, 0.0, 0, 0.0, 0, 0, 0, 1),
+        (2, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1, 1), (6, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0, 1), (5, 0.0, 2, 1.0, 6, 0.0, 0, 0, 1, 1), (6, 0.0, 5, 0.0, 2, 1.0, 0, 0, 0, 1),
+        (4, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (3, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0), (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0),
+        (5, 0.0, 1, 0.0, 0, 0.0, 0, 0, 0, 1), (2, 0.0, 2, 0.0, 0, 0.0, 0, 0, 0, 1), (40, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 5, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 3, 0.0, 0, 0, 1, 1),
         (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (6, 1.0, 40, 0.0, 6, 1.0, 0, 0, 0, 0), (14, 0.9, 10, 1.0, 12, 0.8, 0, 0, 0, 0),
         (3, 0.0, 2, 0.0, 2, 1.0, 0, 0, 0, 0), (2, 0.5, 1, 1.0, 0, 0.0, 0, 0, 0, 0), (5, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0), (30, 0.8, 40, 0.0, 3, 1.0, 0, 0, 0, 0), (20, 0.7, 2, 1.0, 50, 0.0, 0, 0, 0, 0),
     ]
@@ -287,7 +355,7 @@ class Tree:
         return out
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8) -> Tree:
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 16) -> Tree:
     """A binary tree of the splits that lower Gini impurity most; of equal
     splits the first feature's, at the middle between two values."""
 
