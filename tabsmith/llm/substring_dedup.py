@@ -359,15 +359,16 @@ def remove_repeats(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumns({"a": F.xxhash64("id", "text"), "b": F.hash("text", "id")})
+    spent = [""] * 4  # scratch tables that nothing reads any more once all documents are looked at
     occurrences, path = _stored(map_batches(rows.select("a", "b", "text"), _occurrences(size), _OCCURRENCE), "occurrences")
     # counts are written before they are joined back: a join of written tables is one whose hot keys are split
-    frequent, _ = _stored(occurrences.groupBy("prefix").agg(F.count("*").alias("rows")).filter("rows > 1").select("prefix"), "frequent")
-    shared, _ = _stored(occurrences.join(frequent, "prefix"), "shared")
+    frequent, spent[0] = _stored(occurrences.groupBy("prefix").agg(F.count("*").alias("rows")).filter("rows > 1").select("prefix"), "frequent")
+    shared, spent[1] = _stored(occurrences.join(frequent, "prefix"), "shared")
     remove_path(spark, path)
 
     # one row per different stretch, with the place of one copy
-    one, _ = _stored(shared.groupBy("prefix", "content").agg(F.count("*").alias("copies"), F.min(F.struct("a", "b", "pos")).alias("copy")), "contents")
-    several, _ = _stored(one.groupBy("prefix").agg(F.count("*").alias("contents")), "prefixes")
+    one, spent[2] = _stored(shared.groupBy("prefix", "content").agg(F.count("*").alias("copies"), F.min(F.struct("a", "b", "pos")).alias("copy")), "contents")
+    several, spent[3] = _stored(one.groupBy("prefix").agg(F.count("*").alias("contents")), "prefixes")
     status = one.join(several, "prefix")
     mixed = F.col("contents") > 1
     told = shared.join(status, ["prefix", "content"])
@@ -382,6 +383,8 @@ def remove_repeats(
     )
     looked = looked.withColumns({"row": F.monotonically_increasing_id(), "kept": F.when(F.col("settled"), keep(F.col("kept"))), "removed": F.when(F.col("settled"), F.col("removed"))})
     looked, _ = _stored(looked, "looked")
+    for path in spent:
+        remove_path(spark, path)
 
     # rows alike ask for the same stretches
     masks = _repeats(looked.select(F.inline("contents")).distinct(), size, group)
