@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -161,24 +162,27 @@ def near_duplicate_vectors(vectors: DataFrame, least: float = 0.95, id_col: str
 
     Cosines are taken in double precision, so no pair below ``least`` links; a
     pair above it is missed only if no filter holds both (see ``MISS``). Equal vectors always
-    link. A vector that is null, empty, zero, of another length than the
-    longest or with a null, NaN or infinite component links with nothing.
+    link. A vector that is null, empty, zero or with a null, NaN or infinite
+    component links with nothing. Vectors of different lengths have no cosine;
+    each length is searched by itself.
     Repeated rows are vectors of their own. A null id stays a row; its
     component is named by the smallest id that is not null, if any. An empty
     table gives no rows; other columns are ignored.
     """
     single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    dim = rows.agg(F.max(F.size("v"))).first()[0] or 0
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()))
-    finite = (F.size("v") == dim) & F.lit(dim > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
+    finite = (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(finite, F.lit(False))
     # a node is a set of equal vectors; 0.0 and -0.0 are equal
     same = F.transform("v", lambda x: x + F.lit(0.0))
     nodes = rows.filter(usable).groupBy(same.alias("v")).agg(F.min("row").alias("node"), F.min("vec_id").alias("first"), F.count("*").alias("copies"))
     nodes = materialize(nodes)
-    codes = Codes(max(dim, 1), nodes.count(), least)
-    found = _links(nodes, codes, max(dim, 1), "<f4" if single else "<f8", least, bucket)
+    lengths = sorted(map(tuple, nodes.groupBy(F.size("v").alias("dim")).count().collect()))  # a number for each different length
+    kind = "<f4" if single else "<f8"
+    by_length = [_links(nodes.filter(F.size("v") == dim), Codes(dim, n, least), dim, kind, least, bucket) for dim, n in lengths]
+    none = vectors.sparkSession.createDataFrame([], "node long, links long, root long")
+    found = reduce(lambda x, y: x.unionByName(y), by_length) if by_length else none
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))

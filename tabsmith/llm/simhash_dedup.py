@@ -238,6 +238,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
     id stay where their texts are not near. All columns stay, and so do rows
     without an id, of which none is known to be another's copy."""
     row = "near_duplicates_row"
+    while row.lower() in map(str.lower, docs.columns):  # no column of the caller's
+        row += "_"
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash")
     prints = fingerprints(rows, shingle, id_col, text_col, row)
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row")))
