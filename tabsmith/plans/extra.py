@@ -31,8 +31,8 @@ from tabsmith.plans.stocks import stock_view
 from tabsmith.plans.sales import FEED_SCHEMA, FINAL_SCHEMA, transform_sales
 from tabsmith.session import scratch_path
 from tabsmith.sinks import load_table, preview, write_csv, write_json_arrays
-from tabsmith.sources.files import read_csv, read_json
-from tabsmith.sources.registry import SourceSpec, load_sources
+from tabsmith.sources.files import REJECTED, read_csv, read_json
+from tabsmith.sources.registry import SourceSpec, load_sources, stage_sources
 from tabsmith.streaming.bank import run_failed_stream
 
 
@@ -83,6 +83,26 @@ def q_csv_mixed_headers(spark, sf_dir):
     return read_csv(spark, root, schema=orders.schema, recursive=True)
 
 
+def q_damaged_feeds(spark, sf_dir):
+    """Orders as JSON lines and CSV of which every 50th record is cut off: read
+    as two feeds, with the damaged records kept apart and found again by the key
+    that their text still shows."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    root = scratch_path(spark, "damaged")
+    cut, even = F.col("o_orderkey") % 50 == 7, F.col("o_custkey") % 2 == 0
+    record = F.to_json(F.struct(*orders.columns))
+    line = F.concat_ws(",", *orders.columns)
+    orders.filter(even).select(F.when(cut, F.substring_index(record, ",", 2)).otherwise(record).alias("value")).write.text(f"{root}/json")
+    orders.filter(~even).select(F.when(cut, F.substring_index(line, ",", 2)).otherwise(line).alias("value")).write.text(f"{root}/csv")
+    kinds = orders.schema
+    specs = [SourceSpec("json", f"{root}/json", options={"schema": kinds, "multi_line": False}), SourceSpec("csv", f"{root}/csv", options={"schema": kinds, "header": False})]
+    rows, _ = stage_sources(spark, specs, schema=kinds, rejects_path=f"{root}/rejects")
+    found = spark.read.schema(f"_feed string, {REJECTED} string").parquet(f"{root}/rejects")
+    key = F.regexp_extract(REJECTED, "([0-9]+)", 1).cast("long")
+    lost = found.select(key.alias("o_orderkey"), F.lit(None).cast("double").alias("o_totalprice"), F.lit(True).alias("rejected"))
+    return rows.select("o_orderkey", "o_totalprice", F.lit(False).alias("rejected")).unionByName(lost)
+
+
 def q_preview_clean(spark, sf_dir):
     """Any five cleaned transactions (a look at the data, not a report)."""
     return preview(clean_transactions(transactions_from_orders(table(spark, sf_dir, "orders"))), 5)
@@ -201,6 +221,7 @@ EXTRA_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "csv_nested_read": q_csv_nested_read,
     "csv_mixed_headers": q_csv_mixed_headers,
+    "damaged_feeds": q_damaged_feeds,
     "preview_clean": q_preview_clean,
     "json_round_trip": q_json_round_trip,
     "conform_sink": q_conform_sink,
@@ -221,6 +242,7 @@ EXTRA_ORACLE_SQL = {
     "csv_round_trip": "SELECT * FROM orders",
     "csv_nested_read": "SELECT * FROM orders",
     "csv_mixed_headers": "SELECT * FROM orders",
+    "damaged_feeds": "SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 7 THEN o_totalprice END AS o_totalprice, o_orderkey % 50 = 7 AS rejected FROM orders",
     "json_round_trip": "SELECT * FROM orders",
     "conform_sink": ORACLE_SQL["sales_load"],
     "sales_feeds_load": ORACLE_SQL["sales_load"],

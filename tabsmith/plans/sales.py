@@ -10,7 +10,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from tabsmith.operators.enrich import amount, convert, random_int
 from tabsmith.operators.quality import drop_any
 from tabsmith.sinks import conform, load_table
-from tabsmith.sources.registry import SourceSpec, load_sources
+from tabsmith.sources.registry import SourceSpec, load_sources, stage_sources
 
 # Conversion factor to INR per country, as the sales load uses
 # them. A country not listed converts with factor 1.
@@ -86,9 +86,18 @@ def run_sales_load(
     rates: Mapping[str, float] | DataFrame = CURRENCY_RATES,
     seed: int | None = None,
     fmt: str = "parquet",
+    rejects_path: str | None = None,
+    max_rejects: int | None = None,
 ) -> DataFrame:
     """Read every feed, transform and replace the table, in one pass over the
-    feeds; no rows at all raise and leave the old table in place."""
-    combined = load_sources(spark, specs, schema=FEED_SCHEMA)
+    feeds; no rows at all raise and leave the old table in place.
+
+    With ``rejects_path`` or ``max_rejects`` damaged records are kept apart, put
+    on record and counted (``sources.stage_sources``); without, they are rows
+    with missing values, which go."""
+    if rejects_path is None and max_rejects is None:
+        combined = load_sources(spark, specs, schema=FEED_SCHEMA)
+    else:
+        combined, _ = stage_sources(spark, specs, schema=FEED_SCHEMA, rejects_path=rejects_path, max_rejects=max_rejects)
     cleaned = transform_sales(combined, rates=rates, seed=seed)
     return load_table(cleaned, table=table, path=path, schema=FINAL_SCHEMA, fmt=fmt, empty_message="Dataframe is empty, no data to process")

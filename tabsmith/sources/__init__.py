@@ -1,11 +1,12 @@
 """Sources: file scans (CSV, JSON, XLSX), JDBC tables and a feed registry."""
 
-from tabsmith.sources.files import read_csv, read_json
+from tabsmith.sources.files import REJECTED, read_csv, read_json, split_rejected
 from tabsmith.sources.jdbc import quote_name, read_jdbc, write_jdbc
-from tabsmith.sources.registry import SourceSpec, load_sources, read_source
+from tabsmith.sources.registry import SourceSpec, load_sources, read_source, stage_sources
 from tabsmith.sources.xlsx import read_xlsx, sheet_rows
 
 __all__ = [
+    "REJECTED",
     "SourceSpec",
     "load_sources",
     "quote_name",
@@ -15,5 +16,7 @@ __all__ = [
     "read_source",
     "read_xlsx",
     "sheet_rows",
+    "split_rejected",
+    "stage_sources",
     "write_jdbc",
 ]

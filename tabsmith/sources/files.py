@@ -19,11 +19,15 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tabsmith.functions import null_tokens
 
 
+#: The column for records that could not be read, as they stood.
+REJECTED = "_rejected"
+
+
 def _normalise_tokens(df: DataFrame, tokens: Iterable[str] | None) -> DataFrame:
     if tokens is None:
         return df
     tokens = list(tokens)
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name != REJECTED]
     return df.withColumns({c: null_tokens(c, tokens) for c in strings}) if strings else df
 
 
@@ -80,9 +84,8 @@ def _read_by_name(
         kinds = StructType([StructField(wanted[n].name if n in wanted else c, wanted[n].dataType if n in wanted else StringType()) for n, c in zip(names, header, strict=True)])
         if schema is None and infer_schema:
             kinds = _configured(spark, {**settings, "inferSchema": "true"}).csv([unquote(f) for f in by_header[header]]).schema
-        corrupt = settings.get("columnNameOfCorruptRecord")
-        if corrupt and fold(corrupt) in wanted:
-            kinds = kinds.add(wanted[fold(corrupt)])
+        if "columnNameOfCorruptRecord" in settings:
+            kinds = kinds.add(StructField(settings["columnNameOfCorruptRecord"], StringType()))
         feed = _configured(spark, settings).schema(kinds).csv(path)
         mine = feed.filter(F.col("_metadata.file_path").isin(by_header[header])) if len(by_header) > 1 else feed  # prunes the listing
         if schema is not None:
@@ -103,6 +106,7 @@ def read_csv(
     glob: str | None = None,
     missing_tokens: Iterable[str] | None = None,
     by_name: bool = True,
+    rejects: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV folder or files with a header row.
@@ -124,14 +128,23 @@ def read_csv(
     ``**`` glob in the path does not reach all depths. ``glob`` filters file
     names (``pathGlobFilter``, e.g. ``*.csv``). ``missing_tokens`` turns text
     cells such as ``NA`` or ``null`` into nulls before any cast.
+
+    With ``rejects`` a column ``_rejected`` holds the text of every line that has
+    too many or too few cells, or one that is not of its type; else it is null.
     """
     settings = {"header": str(header).lower(), **options}
+    if rejects:
+        if schema is None and not (header and by_name):
+            raise ValueError("rejected lines need a schema or header rows")
+        settings |= {"columnNameOfCorruptRecord": REJECTED, "mode": "PERMISSIVE"}
     if recursive:
         settings["recursiveFileLookup"] = "true"
     if glob:
         settings["pathGlobFilter"] = glob
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
+    if rejects and schema is not None:
+        schema = StructType([*schema.fields, StructField(REJECTED, StringType())])
     headers = _headers(spark, path, settings) if header and by_name else []
     if _by_position(spark, headers, schema, settings):
         reader = _configured(spark, settings)
@@ -145,10 +158,10 @@ def read_csv(
 
 def _by_position(spark: SparkSession, headers: list[tuple[str, ...]], schema: StructType | None, settings: dict[str, str]) -> bool:
     """Whether positions and names agree in all files, or no name is known."""
-    if len(headers) < 2 and (schema is None or not headers):
+    if not headers:
         return True
     if schema is None:
-        return False
+        return len(headers) < 2 and "columnNameOfCorruptRecord" not in settings
     fold = str if spark.conf.get("spark.sql.caseSensitive", "false") == "true" else str.lower
     names = [fold(n) for n in schema.names if n != settings.get("columnNameOfCorruptRecord")]
     found = [[fold(c) for c in h] for h in headers]
@@ -160,18 +173,32 @@ def read_json(
     path: str | list[str],
     schema: StructType | str | None = None,
     multi_line: bool = True,
+    rejects: bool = False,
     **options: str,
 ) -> DataFrame:
     """JSON records. ``multi_line=True`` reads files holding one top-level
     array of records (or pretty-printed objects); ``False`` reads line
-    -delimited JSON, which splits across tasks inside a file."""
-    reader = spark.read.option("multiLine", str(multi_line).lower())
+    -delimited JSON, which splits across tasks inside a file.
+
+    A record that is no JSON, or has a value that is not of its type, reads as
+    nulls. With ``rejects`` its text stands in a column ``_rejected``, null for
+    all others; of a damaged multi-line file that is the whole file."""
+    settings = {"multiLine": str(multi_line).lower(), **options}
+    if rejects:
+        settings |= {"columnNameOfCorruptRecord": REJECTED, "mode": "PERMISSIVE"}
+    reader = _configured(spark, settings)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     if schema is not None:
-        reader = reader.schema(schema)
-    for key, value in options.items():
-        reader = reader.option(key, value)
+        reader = reader.schema(StructType([*schema.fields, StructField(REJECTED, StringType())]) if rejects else schema)
     df = reader.json(path)
-    if "_corrupt_record" in df.columns and len(df.columns) == 1:
+    if len(df.columns) == 1 and df.columns[0] in ("_corrupt_record", REJECTED):
         raise ValueError(f"no JSON records could be parsed from {path!r} (multi_line={multi_line})")
-    return df
+    return df if not rejects or REJECTED in df.columns else df.withColumn(REJECTED, F.lit(None).cast("string"))
+
 
+def split_rejected(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that were read whole, without the column ``_rejected``, and the
+    others with it. Give it a written copy: both are read from it."""
+    bad = F.col(REJECTED).isNotNull()
+    return df.filter(~bad).drop(REJECTED), df.filter(bad)
