@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -112,6 +113,46 @@ def _location(spark: SparkSession, table: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
+def _beside(target: str, name: str) -> str:
+    """A path beside ``target`` that readers of its folder pass over."""
+    folder, slash, leaf = target.rstrip("/").rpartition("/")
+    return f"{folder}{slash}_{leaf}.{name}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _recover(spark: SparkSession, target: str) -> None:
+    """Finish what a lost driver left: a table moved aside goes, if the new one
+    is in place, and comes back, if it is not."""
+    aside, fs = _file_system(spark, _beside(target, "previous"))
+    if fs.exists(aside):
+        place, _ = _file_system(spark, target)
+        if fs.exists(place):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, place):
+            raise OSError(f"{target} could not be brought back from {aside}")
+
+
+def _publish(spark: SparkSession, staging: str, target: str) -> None:
+    """Put a staged folder in the place of ``target``: two renames, between
+    which the old table stands beside it, and comes back if the second fails."""
+    staged, fs = _file_system(spark, staging)
+    place, _ = _file_system(spark, target)
+    aside, _ = _file_system(spark, _beside(target, "previous"))
+    had = fs.exists(place)
+    if had and not fs.rename(place, aside):
+        raise OSError(f"{target} could not be moved aside")
+    if not fs.rename(staged, place):
+        if had:
+            fs.rename(aside, place)
+        raise OSError(f"{staging} could not be put in the place of {target}")
+    if had:
+        fs.delete(aside, True)
+
+
 def load_table(
     df: DataFrame,
     table: str | None = None,
@@ -124,11 +165,17 @@ def load_table(
 ) -> DataFrame:
     """Replace a table (by name in the catalog, or a path) with ``df``.
 
-    The frame is conformed to ``schema`` first. It is computed once, into a
-    staging folder of the shared scratch area, with its rows counted on the
-    way; an empty frame raises there, before the table is touched. The staged
-    copy is then written as the table, and removed. Returns the conformed
-    frame.
+    The frame is conformed to ``schema`` first, and computed once, with its rows
+    counted on the way; an empty frame raises before the table is touched.
+    Returns the conformed frame.
+
+    A table at a ``path`` is written once: beside its place, in the wanted format
+    and folders, and then renamed into it, so a failed load leaves the old table
+    and a lost driver leaves one that the next load brings back (``_recover``).
+    Where the store has renames of folders that is at once; a store that copies
+    instead still never shows a half-written table. Loads in another ``mode``, of
+    catalog tables or over Spark Connect are staged in the scratch area and
+    written from there.
     """
     if (table is None) == (path is None):
         raise ValueError("give exactly one of table or path")
@@ -137,14 +184,22 @@ def load_table(
     target = path if path is not None else _location(spark, table)
     if target is not None and mode == "overwrite":
         refuse_overwriting_inputs(out, target)
-    staging = scratch_path(spark, "load")
+    in_place = path is not None and mode == "overwrite" and hasattr(spark, "_jvm")
+    if in_place:
+        _recover(spark, path)
+    staging = _beside(path, f"staging-{uuid.uuid4().hex[:12]}") if in_place else scratch_path(spark, "load")
     seen = Observation()
-    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staging)
+    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    if in_place:
+        writer = writer.format(fmt).partitionBy(*(partition_by or []))
     try:
+        (writer if in_place else writer.format("parquet")).save(staging)
         if not seen.get["rows"]:
             raise ValueError(empty_message)
-        staged = spark.read.schema(out.schema).parquet(staging)
-        writer = staged.write.mode(mode).format(fmt)
+        if in_place:
+            _publish(spark, staging, path)
+            return out
+        writer = spark.read.schema(out.schema).parquet(staging).write.mode(mode).format(fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if table is not None:
