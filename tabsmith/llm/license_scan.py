@@ -5,7 +5,13 @@ anchors; the longest run of anchors that ascends in both (a longest increasing
 subsequence) is kept, matching words next to an anchor join it, and each gap
 between anchors is aligned in the same way. A gap without anchors, no longer
 than a template on one side, is aligned by a longest common subsequence.
-Coverage is the share of the template's words that are aligned.
+Coverage is the share of the template's words that are aligned, and must be
+reached the other way too: by the share of the words from the first aligned one
+to the last. Stray matches at either end are let go for that.
+
+Licences of one family differ in a word or a number. Those that tell them apart
+(``TELLING``, and numbers) may not be missed: a template's must all be aligned,
+and the place may hold none that the template has not.
 
 A long text is looked at in overlapping windows of ``SPAN`` times the
 template's length, each window that holds enough of the template's words to
@@ -30,6 +36,12 @@ COVERAGE = 0.8
 SPAN = 2
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 
+# Words of which a notice that has one more or less is another licence's.
+TELLING = frozenset(
+    "affero apache artistic attribution boost bsd cc cc0 commons creative eclipse gnu isc lesser library mit mozilla mpl nc nd noncommercial "
+    "noderivatives noderivs sa sharealike unlicense zlib".split()
+)
+
 # Notices of common licences, in their own words.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -58,8 +70,69 @@ TEMPLATES = {
 }
 
 
+# Siblings of these, by their parts: every kind of one family has its own templates.
+_CC = {"BY": "", "BY-SA": "-ShareAlike", "BY-NC": "-NonCommercial", "BY-ND": "-NoDerivatives", "BY-NC-SA": "-NonCommercial-ShareAlike", "BY-NC-ND": "-NonCommercial-NoDerivatives"}
+for _kind, _named in _CC.items():
+    TEMPLATES.setdefault(f"CC-{_kind}-4.0", f"Licensed under CC {_kind} 4.0.")
+    TEMPLATES[f"CC-{_kind}-4.0-short"] = f"Licensed under CC {_kind} 4.0."
+    TEMPLATES[f"CC-{_kind}-4.0-long"] = f"This work is licensed under a Creative Commons Attribution{_named} 4.0 International License."
+for _short, _family, _versions in (("GPL", "", ("2.0", "3.0")), ("LGPL", "Lesser ", ("2.1", "3.0")), ("AGPL", "Affero ", ("3.0",))):
+    TEMPLATES[f"{_short}-header"] = (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {_family}General Public License as published "
+        "by the Free Software Foundation"
+    )
+    for _v in _versions:
+        TEMPLATES[f"{_short}-{_v}"] = f"This work is licensed under the GNU {_family}General Public License, version {_v.removesuffix('.0')}."
+for _name in ("BSD", "ISC"):
+    TEMPLATES[f"{_name}-line"] = f"Released under the {_name} License."
+TEMPLATES["Apache-1.1"] = "Licensed under the Apache License, Version 1.1."
+
+# Notices in full.
+_AS_IS = "the software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose"
+TEMPLATES["MIT-full"] = (
+    f"{TEMPLATES['MIT-grant']}, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    f"{_AS_IS} and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an "
+    "action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software."
+)
+TEMPLATES["BSD-2-Clause"] = (
+    f"{TEMPLATES['BSD']}: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution."
+)
+TEMPLATES["BSD-3-Clause"] = (
+    f"{TEMPLATES['BSD-2-Clause']} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+TEMPLATES["ISC-full"] = (
+    f"{TEMPLATES['ISC']}, provided that the above copyright notice and this permission notice appear in all copies."
+)
+TEMPLATES["Apache-2.0-full-header"] = (
+    f"{TEMPLATES['Apache-2.0-header']} http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed "
+    "under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+    "specific language governing permissions and limitations under the License."
+)
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Lower-case words and numbers; 2.0 and 2 are one number."""
+    return [w[:-2] if w.endswith(".0") and w[:-2].isdigit() else w for w in _WORD.findall(text.lower())]
+
+
+def _telling(word: str) -> bool:
+    return word in TELLING or word.replace(".", "").isdigit()
+
+
+def trim(pairs: list[tuple[int, int]], coverage: float) -> list[tuple[int, int]]:
+    """``pairs`` without stray ones at the ends, so that of the words from the
+    first to the last a share of ``coverage`` is aligned."""
+    begin, end = 0, len(pairs)
+    while end - begin > 1 and end - begin < coverage * (pairs[end - 1][1] - pairs[begin][1] + 1):
+        if pairs[begin + 1][1] - pairs[begin][1] >= pairs[end - 1][1] - pairs[end - 2][1]:
+            begin += 1
+        else:
+            end -= 1
+    return pairs[begin:end]
 
 
 def _ascending(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -132,10 +205,11 @@ class Scanner:
         self.coverage = coverage
         self.templates = [(name, words) for name, text in sorted(templates.items()) if (words := words_of(text))]
         self.ids = {w: k for k, w in enumerate(sorted({w for _, words in self.templates for w in words}))}
-        self.needs = []  # per template: how often it has each word, and how many words must be there
+        self.needs = []  # per template: how often it has each word, how many words must be there, and which may not be missed
         for _, words in self.templates:
             need = np.bincount([self.ids[w] for w in words], minlength=len(self.ids))
-            self.needs.append((need, int(np.ceil(coverage * len(words) - 1e-9))))
+            must = sorted({self.ids[w] for w in words if _telling(w)})
+            self.needs.append((need, int(np.ceil(coverage * len(words) - 1e-9)), must))
 
     def scan(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """(template, words aligned, words in the template, start, stop) of the
@@ -149,17 +223,22 @@ class Scanner:
             return []
         have = np.bincount(codes[at], minlength=len(self.ids))
         out: set[tuple[int, float, str, int, int, int]] = set()
-        for (name, template), (need, least) in zip(self.templates, self.needs, strict=True):
-            if np.minimum(have, need).sum() < least:
+        for (name, template), (need, least, must) in zip(self.templates, self.needs, strict=True):
+            if (must and not have[must].all()) or np.minimum(have, need).sum() < least:
                 continue
+            telling = [i for i, w in enumerate(template) if _telling(w)]
+            names = TELLING.intersection(template)
             mine = at[need[codes[at]] > 0]
             size, step = SPAN * len(template), max(1, len(template) // 2)
             for begin in sorted({max(0, int(p) // step * step - k * step) for p in mine for k in range(size // step + 1)}):
                 inside = mine[np.searchsorted(mine, begin) : np.searchsorted(mine, begin + size)]
                 if len(inside) < least or np.minimum(np.bincount(codes[inside], minlength=len(need)), need).sum() < least:
                     continue
-                pairs = align(template, words[begin : begin + size])
-                if len(pairs) >= least:
+                pairs = trim(align(template, words[begin : begin + size]), self.coverage)
+                if len(pairs) < least or not {i for i, _ in pairs}.issuperset(telling):
+                    continue
+                place = words[begin + pairs[0][1] : begin + pairs[-1][1] + 1]
+                if TELLING.intersection(place) == names:
                     out.add((-len(pairs), -len(pairs) / len(template), name, begin + pairs[0][1], begin + pairs[-1][1] + 1, len(template)))
         kept: dict[str, tuple[str, int, int, int, int]] = {}
         starts: list[int] = []  # of the places taken, which do not overlap
@@ -177,8 +256,8 @@ class Scanner:
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, coverage, n_aligned, start_word, stop_word): one row per
     document row and template whose words are aligned to ``coverage`` or more
-    in some window of the whole text; of several windows the best, and of
-    equally good ones the first. Where windows overlap in a text, only the one
+    in some window of the whole text, with all words that tell licences apart and
+    none besides; of several windows the best, and of equally good ones the first. Where windows overlap in a text, only the one
     with the most aligned words counts, so a template that stands within a
     longer notice is reported if it also stands elsewhere.
 
