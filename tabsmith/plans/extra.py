@@ -20,6 +20,7 @@ from tabsmith.plans.catalog import (
     RANGE_START,
     RANGE_SYMBOL,
     RETS_OF_BARS,
+    SYMBOLS,
     TRAIN_OF_BARS,
     _bars,
     _sales_feed,
@@ -187,6 +188,16 @@ def _stock_view(name, **digits):
     return query
 
 
+def _all_symbols_view(name, **digits):
+    """The same over all symbols and the whole range of dates at once."""
+
+    def query(spark, sf_dir):
+        view = stock_view(name, _bars(spark, sf_dir), SYMBOLS, None, None, benchmark=SYMBOLS[0], page_no=3)
+        return view.withColumns({c: F.round(c, n) for c, n in digits.items()}) if digits else view
+
+    return query
+
+
 def q_json_array_round_trip(spark, sf_dir):
     """Orders as files that each hold one JSON array of at most
     ``ARRAY_RECORDS`` records, read back with multi-line parsing."""
@@ -217,6 +228,13 @@ _VIEW_QUERIES = {
     "stock_view_price": _stock_view("price"),
 }
 
+_ALL_SYMBOLS_QUERIES = {
+    "stock_views_all_details": _all_symbols_view("details"),
+    "stock_views_all_return_histogram": _all_symbols_view("return_histogram", bin_lo=8, bin_hi=8),
+    "stock_views_all_correlation": _all_symbols_view("correlation", corr=6),
+    "stock_views_all_prediction_fit": _all_symbols_view("prediction_fit", slope=8, intercept=4, r2=8),
+}
+
 EXTRA_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "csv_nested_read": q_csv_nested_read,
@@ -230,6 +248,7 @@ EXTRA_QUERIES = {
     "json_array_round_trip": q_json_array_round_trip,
     "sales_feeds_untyped": q_sales_feeds_untyped,
     **_VIEW_QUERIES,
+    **_ALL_SYMBOLS_QUERIES,
     "stream_failed": q_stream_failed,
 }
 
@@ -239,6 +258,10 @@ bars AS (SELECT * FROM all_bars WHERE symbol = upper('{RANGE_SYMBOL}') AND dt >=
 """
 
 EXTRA_ORACLE_SQL = {
+    "stock_views_all_details": ORACLE_SQL["page_3"],
+    "stock_views_all_return_histogram": ORACLE_SQL["return_histogram"],
+    "stock_views_all_correlation": ORACLE_SQL["corr_matrix"],
+    "stock_views_all_prediction_fit": ORACLE_SQL["next_close_fit"],
     "csv_round_trip": "SELECT * FROM orders",
     "csv_nested_read": "SELECT * FROM orders",
     "csv_mixed_headers": "SELECT * FROM orders",
