@@ -244,7 +244,9 @@ def contaminated(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, in which no benchmark item occurs; the
-    rows stay where they are."""
+    rows stay where they are. A null or empty text holds no item, and neither does
+    any text where the benchmark is empty or its items are null or blank; rows that
+    repeat are judged alike; an empty table stays empty; columns of any name stay."""
     spark = docs.sparkSession
 
     def clean(frame: DataFrame, shared) -> DataFrame:

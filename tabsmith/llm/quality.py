@@ -224,7 +224,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_r
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, weak_score) of every row: the scorer's probability that
-    the whole text is good, and the weak labels' own posterior.
+    the whole text is good, and the weak labels' own posterior (null for a
+    pattern of votes that no document had when the model was trained).
 
     A null or wordless text is scored as empty: no labeller votes on it.
     Repeated rows each give their row; an empty table gives none; other columns
@@ -245,7 +246,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def good_documents(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that score ``threshold`` or more; the
-    rows stay where they are."""
+    rows stay where they are. Null and empty texts are scored as texts without
+    words; rows that repeat are judged alike; an empty table stays empty; columns
+    of any name stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -205,7 +205,9 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per document, from the files alone: ``doc_id``, ``start`` (ids of
     all documents before it), ``n_tokens`` with the end id, and ``ids`` as
-    little-endian unsigned 32-bit integers."""
+    little-endian unsigned 32-bit integers. A null or empty text comes back as its
+    end id, repeated rows come back each, a null id as null; files without blocks
+    give no rows; no column of the documents but the id is in the files."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

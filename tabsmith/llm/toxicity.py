@@ -194,7 +194,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below ``threshold``;
-    the rows stay where they are."""
+    the rows stay where they are. Null and empty texts are scored as texts
+    without words; rows that repeat are judged alike; an empty table stays empty;
+    columns of any name stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
