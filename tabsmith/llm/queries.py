@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, merkle, packing, periodic_runs, quality, simhash_dedup, substring_dedup, token_files, toxicity
+from tabsmith.llm import decontaminate, embedding_dedup, html_text, language, license_scan, merkle, oracle_sql, packing, periodic_runs, quality, simhash_dedup, substring_dedup, token_files, toxicity
 from tabsmith.llm.common import held_out, table
 from tabsmith.session import scratch_path
 
@@ -134,4 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_substring_dedup": oracle_sql.SUBSTRING_DEDUP,
+    "op13_merkle_manifest": oracle_sql.MERKLE_MANIFEST,
+}
