@@ -25,6 +25,13 @@ SPREAD_ROWS = 1_000_000
 MAX_SPREAD_KEYS = 100_000
 
 
+def to_all(small: DataFrame) -> DataFrame:
+    """``small``, of a size that its caller has checked or bounded, to be sent to
+    every task; a session that switches broadcasts off joins it by a shuffle."""
+    off = small.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    return small if off else F.broadcast(small)
+
+
 def join_back_spread(rows: DataFrame, small: DataFrame, by: str, spread_on: Sequence[str], count: str, target: int = SPREAD_ROWS) -> DataFrame:
     """The same for one key that may hold a large share of the rows.
 
@@ -41,7 +48,7 @@ def join_back_spread(rows: DataFrame, small: DataFrame, by: str, spread_on: Sequ
     target = max(target, -(-total // MAX_SPREAD_KEYS))
     parts = F.greatest(F.ceil(F.col(count) / target), F.lit(1)).cast("int")
     hot = small.filter(F.col(count) > target).select(F.col(by).alias("__part_key"), parts.alias("__parts"))
-    known = rows.join(F.broadcast(hot), F.col(by).eqNullSafe(F.col("__part_key")), "left")
+    known = rows.join(to_all(hot), F.col(by).eqNullSafe(F.col("__part_key")), "left")
     salted = known.withColumn("__part", F.coalesce(F.pmod(F.xxhash64(*spread_on), F.col("__parts")), F.lit(0)).cast("int")).drop("__part_key", "__parts")
     repeated = small.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return join_back(salted, repeated, [by, "__part"]).drop("__part")

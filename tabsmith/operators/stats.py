@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.operators._joins import join_back, join_back_spread
+from tabsmith.operators._joins import join_back, join_back_spread, to_all
 from tabsmith.operators.quality import drop_missing
 from tabsmith.operators.timeseries import DT, SYMBOL, next_close, normalize_symbol
 from tabsmith.session import materialize
@@ -161,7 +161,7 @@ def corr_matrix(returns: DataFrame, symbols: Sequence[str], value: str = "ret",
     tile = min(tile, len(symbols))
     listed = spark.createDataFrame([(s, k) for k, s in enumerate(symbols)], f"{SYMBOL} string, at int")  # as long as the argument
     rows = _present(returns.select(SYMBOL, DT, F.col(value).cast("double").alias("v")), "v").filter(F.col(DT).isNotNull())
-    rows = rows.join(F.broadcast(listed), SYMBOL).groupBy(DT, "at").agg(F.max("v").alias("v"))
+    rows = rows.join(to_all(listed), SYMBOL).groupBy(DT, "at").agg(F.max("v").alias("v"))
     strips = rows.groupBy(DT, F.floor(F.col("at") / tile).cast("int").alias("strip")).agg(F.collect_list(F.struct("at", "v")).alias("cells"))
     strips = materialize(strips)  # read for the smallest values and for the moments
     smallest = strips.select(F.inline("cells")).groupBy("at").agg(F.min("v"))

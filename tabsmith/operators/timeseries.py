@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from tabsmith.functions import fmt_price
-from tabsmith.operators._joins import join_back
+from tabsmith.operators._joins import join_back, to_all
 from tabsmith.session import materialize
 
 SYMBOL, DT = "symbol", "dt"
@@ -117,7 +117,7 @@ def positions(rows: DataFrame, unit: str = "month", by: str = SYMBOL) -> DataFra
     pieces = materialize(
         pieces.select("__part", by, (F.coalesce(earlier, F.lit(0)) - F.col("__first") + 1).alias("__shift"), F.sum("__cnt").over(per_symbol).alias(TOTAL))
     )
-    small = F.broadcast(pieces) if pieces.count() <= MAX_PIECES else pieces
+    small = to_all(pieces) if pieces.count() <= MAX_PIECES else pieces
     return join_back(laid, small, ["__part", by]).withColumn(POS, F.col("__at") + F.col("__shift")).drop("__part", "__at", "__shift")
 
 

@@ -21,8 +21,8 @@ def undated(spark):
 
 @pytest.fixture()
 def no_help(spark):
-    """No broadcast by size and no merging of small partitions."""
-    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    """Nothing is small enough for a broadcast by size, and small partitions are not merged."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     old = {k: spark.conf.get(k) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
