@@ -41,8 +41,18 @@ def clean_transactions(
     """Distinct raw rows -> parse the date (bad or missing rows go) -> amounts
     to double with 0 for missing or unparsable -> branch code without any
     white space. Other columns pass through unchanged."""
-    df = dedupe(raw)
-    df = parse_dates(df, [date_col], date_format)
+    return clean_distinct(dedupe(raw), date_col, amount_cols, branch_col, date_format)
+
+
+def clean_distinct(
+    rows: DataFrame,
+    date_col: str = DATE_COL,
+    amount_cols: Sequence[str] = AMOUNT_COLS,
+    branch_col: str = BRANCH_COL,
+    date_format: str = "yyyy-MM-dd",
+) -> DataFrame:
+    """The steps after the distinct, each row by itself: these run on a stream too."""
+    df = parse_dates(rows, [date_col], date_format)
     df = drop_missing(df, [date_col])
     df = cast_double(df, amount_cols)
     df = fill(df, {c: 0.0 for c in amount_cols})

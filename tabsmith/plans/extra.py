@@ -34,7 +34,7 @@ from tabsmith.session import scratch_path
 from tabsmith.sinks import load_table, preview, write_csv, write_json_arrays
 from tabsmith.sources.files import REJECTED, read_csv, read_json
 from tabsmith.sources.registry import SourceSpec, load_sources, stage_sources
-from tabsmith.streaming.bank import run_failed_stream
+from tabsmith.streaming.bank import run_clean_stream, run_failed_stream
 
 
 CSV_REGIONS = ["AFRICA", "AMERICA", "ASIA"]
@@ -216,6 +216,19 @@ def q_stream_failed(spark, sf_dir):
     return spark.read.parquet(out_dir)
 
 
+def q_stream_cleaned(spark, sf_dir):
+    """Raw transactions as a stream of CSV files in several batches, one of which
+    comes twice: the streamed clean is the batch one."""
+    raw = transactions_from_orders(table(spark, sf_dir, "orders"))
+    root = scratch_path(spark, "stream-raw")
+    batches = _batches(raw, "Transaction_Status", ["Failed", "Success"])
+    for at, part in enumerate([*batches, batches[0]]):
+        write_csv(part, "/".join([f"{root}/raw"] + ["day"] * at + [f"batch_{at}"]))
+    out = f"{root}/cleaned"
+    run_clean_stream(spark, f"{root}/raw", out, f"{root}/progress", raw.schema, max_files_per_trigger=4).awaitTermination()
+    return spark.read.parquet(out)
+
+
 _VIEW_QUERIES = {
     "stock_view_details": _stock_view("details"),
     "stock_view_details_pages": _stock_view("details_pages"),
@@ -250,6 +263,7 @@ EXTRA_QUERIES = {
     **_VIEW_QUERIES,
     **_ALL_SYMBOLS_QUERIES,
     "stream_failed": q_stream_failed,
+    "stream_cleaned": q_stream_cleaned,
 }
 
 # the bars of one symbol and year, under the name that the SQL of the views reads
@@ -258,6 +272,7 @@ bars AS (SELECT * FROM all_bars WHERE symbol = upper('{RANGE_SYMBOL}') AND dt >=
 """
 
 EXTRA_ORACLE_SQL = {
+    "stream_cleaned": ORACLE_SQL["orders_clean"],
     "stock_views_all_details": ORACLE_SQL["page_3"],
     "stock_views_all_return_histogram": ORACLE_SQL["return_histogram"],
     "stock_views_all_correlation": ORACLE_SQL["corr_matrix"],

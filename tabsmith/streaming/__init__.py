@@ -1,5 +1,5 @@
-"""Structured Streaming forms of the operators that are stateless."""
+"""Structured Streaming forms of the bank jobs."""
 
-from tabsmith.streaming.bank import failed_stream, run_failed_stream
+from tabsmith.streaming.bank import cleaned_stream, failed_stream, run_clean_stream, run_failed_stream
 
-__all__ = ["failed_stream", "run_failed_stream"]
+__all__ = ["cleaned_stream", "failed_stream", "run_clean_stream", "run_failed_stream"]
