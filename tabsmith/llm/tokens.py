@@ -58,9 +58,10 @@ class Encoder:
             self.mode = None  # words encoded together could form it
         #: what a text must not hold to be cut
         self.added = [c.lower() if self.mode == "dropped" else c for c in added if not special_as_text]
-        self.cache = PieceCache(limit // 2)
+        self.cache: dict[str, bytes] = {}
+        self.limit = limit
         caches.append(self.cache)
-        if self.mode is not None:
+        if self.mode == "dropped":
             without = {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
             self.merges = Tokenizer.from_str(json.dumps({**spec, **without}))
         vocab = self.tokenizer.get_vocab()
@@ -74,18 +75,21 @@ class Encoder:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """The same for words of letters only, a thousand to a call. Normalizer and
-        pattern change nothing in these but the spelling of their bytes, so the
-        tokenizer's model gets them spelt, parted by spaces, without both."""
+        """The same for words of letters only, a thousand to a call. In lower-case
+        words, normalizer and pattern change nothing but the spelling of their
+        bytes, so the tokenizer's merges get them spelt, without both (for words
+        that carry their space that was measured to save nothing)."""
         out: list[bytes] = []
-        lead = "Ġ" if self.mode == "spaced" else ""
+        lead = " " if self.mode == "spaced" else ""
+        if not lead:
+            words.sort(key=str.isascii)  # only calls with other letters must spell them out
         for k in range(0, len(words), 1000):
-            spelt = " ".join(words[k : k + 1000])
-            if not spelt.isascii():
-                spelt = spelt.encode().decode("latin-1").translate(_SPELLING)
+            some = " ".join(words[k : k + 1000])
             if lead:
-                spelt = lead + spelt.replace(" ", " " + lead)
-            (found,) = self.merges.encode_batch_fast([spelt], add_special_tokens=False)
+                found = self.tokenizer.encode(lead + some, add_special_tokens=False)
+            else:
+                spelt = some if some.isascii() else some.encode().decode("latin-1").translate(_SPELLING)
+                (found,) = self.merges.encode_batch_fast([spelt], add_special_tokens=False)
             ids = np.array(found.ids, dtype=self.dtype)
             at = np.flatnonzero(self.edge[ids])
             cuts = [*at.tolist(), len(ids)] if lead else [0, *(at + 1).tolist()]
@@ -125,54 +129,25 @@ class Encoder:
         """The ids of every text, in order."""
         cache = self.cache
         only(cache)
-        cache.age()
+        if len(cache) > self.limit:
+            cache.clear()
         cut = [self._pieces(t) for t in texts]
         wanted: set[str] = set()
         for pieces in cut:
             if pieces is not None:
                 wanted.update(pieces)
-        fresh = cache.missing(wanted)
-        plain = [p for p in fresh if p.isalpha()]
-        marked = {p: self._parts(p) for p in fresh if not p.isalpha()}
-        # the parts of marked pieces that are not known, nor about to be
-        atoms = cache.missing({a for parts in marked.values() for a in parts}.difference(plain))
-        words = plain + [a for a in atoms if a.isalpha()]
-        words.sort(key=str.isascii)  # only calls with other letters must spell them out
+        known = {p: cache.get(p) for p in wanted}  # a small table for this call
+        fresh = {p: self._parts(p) for p, ids in known.items() if ids is None}
+        atoms = {a for parts in fresh.values() for a in parts if a not in cache}
+        words = [a for a in atoms if a.isalpha()]
         cache.update(zip(words, self._encode_words(words), strict=True))
-        others = [a for a in atoms if not a.isalpha()]
-        cache.update(zip(others, self._encode([self._plain(a) for a in others]), strict=True))
-        cache.update({piece: b"".join([cache[a] for a in parts]) for piece, parts in marked.items() if len(parts) > 1})
+        atoms = [a for a in atoms if not a.isalpha()]
+        cache.update(zip(atoms, self._encode([self._plain(a) for a in atoms]), strict=True))
+        for piece, parts in fresh.items():
+            known[piece] = b"".join([cache[a] for a in parts])
         whole = [i for i, pieces in enumerate(cut) if pieces is None]
         found = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
-        ids = cache.__getitem__
-        return [found[i] if pieces is None else b"".join(map(ids, pieces)) for i, pieces in enumerate(cut)]
-
-
-class PieceCache(dict):
-    """Ids of the pieces in use, whole ones with their marks included. When half
-    of the room is taken, what was not asked for since the last time goes: the
-    pieces so far are set aside, and come back when they are asked for again."""
-
-    def __init__(self, half: int):
-        super().__init__()
-        self.half, self.aside = half, {}
-
-    def age(self) -> None:
-        if len(self) > self.half:
-            self.aside = dict(self)
-            super().clear()
-
-    def missing(self, pieces: set[str]) -> list[str]:
-        """Those of ``pieces`` that are not known; the others are in use from now on."""
-        absent = pieces.difference(self)
-        aside = self.aside
-        again = [p for p in absent if p in aside]
-        self.update(zip(again, map(aside.__getitem__, again), strict=True))
-        return list(absent.difference(again))
-
-    def clear(self) -> None:
-        super().clear()
-        self.aside = {}
+        return [found[i] if pieces is None else b"".join([known[p] for p in pieces]) for i, pieces in enumerate(cut)]
 
 
 def _mode(spec: dict) -> str | None:
