@@ -14,6 +14,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tabsmith.llm.common import caches, only
 
@@ -21,6 +23,9 @@ from tabsmith.llm.common import caches, only
 # tokenizers library agree on letters, digits, white space and lower case.
 _UNSAFE = re.compile("[^\n\x20-\x7e¡-ɏ‐-‧€]")
 _RUNS = ("  ", "\n\n", " \n", "\n ")
+# Letters and the punctuation after them are encoded apart by both patterns (an
+# apostrophe may begin an ending of its own, so it is none of it).
+_CLOSED = r"^(\n?\p{L}+)([!-&(-/:-@\[-`{-~]+)$"
 
 
 def _spelling() -> dict[int, int]:
@@ -86,7 +91,7 @@ class Encoder:
         for k in range(0, len(words), 1000):
             some = " ".join(words[k : k + 1000])
             if lead:
-                found = self.tokenizer.encode(lead + some, add_special_tokens=False)
+                (found,) = self.tokenizer.encode_batch_fast([lead + some], add_special_tokens=False)
             else:
                 spelt = some if some.isascii() else some.encode().decode("latin-1").translate(_SPELLING)
                 (found,) = self.merges.encode_batch_fast([spelt], add_special_tokens=False)
@@ -97,8 +102,9 @@ class Encoder:
             out += [data[a * size : b * size] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """Pieces whose ids, joined, are the text's ids; None if unsure."""
+    def _parted(self, text: str) -> str | None:
+        """The text with one space between pieces whose ids, joined, are the
+        text's ids; None if unsure."""
         if self.mode is None or _UNSAFE.search(text):
             return None
         if self.mode == "dropped":
@@ -106,48 +112,57 @@ class Encoder:
         if any(content in text for content in self.added):
             return None
         if self.mode == "dropped":
-            return text.split()
+            return text.replace("\n", " ")
         if any(run in text for run in _RUNS):
             return None
         # each piece but the first, and but those around a line break, begins with
         # its space; "\n" is the mark of a piece without one
-        return ("\n" + text.replace("\n", " \n\n \n")).split(" ")
+        return "\n" + text.replace("\n", " \n\n \n")
 
     def _plain(self, piece: str) -> str:
         if self.mode == "dropped":
             return piece
         return piece[1:] if piece[0:1] == "\n" else " " + piece
 
-    def _parts(self, piece: str) -> tuple[str, ...]:
-        """Cut a piece further, where that is exact: before a final full stop or
-        comma after a letter."""
-        if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha():
-            return piece[:-1], piece[-1] if self.mode == "dropped" else "\n" + piece[-1]
-        return (piece,)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text, in order."""
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces; those not in the cache are encoded."""
         cache = self.cache
-        only(cache)
-        if len(cache) > self.limit:
-            cache.clear()
-        cut = [self._pieces(t) for t in texts]
-        wanted: set[str] = set()
-        for pieces in cut:
-            if pieces is not None:
-                wanted.update(pieces)
-        known = {p: cache.get(p) for p in wanted}  # a small table for this call
-        fresh = {p: self._parts(p) for p, ids in known.items() if ids is None}
-        atoms = {a for parts in fresh.values() for a in parts if a not in cache}
-        words = [a for a in atoms if a.isalpha()]
+        found = [cache.get(p) for p in pieces]
+        fresh = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+        words = [p for p in fresh if p.isalpha()]
+        others = [p for p in fresh if not p.isalpha()]
         cache.update(zip(words, self._encode_words(words), strict=True))
-        atoms = [a for a in atoms if not a.isalpha()]
-        cache.update(zip(atoms, self._encode([self._plain(a) for a in atoms]), strict=True))
-        for piece, parts in fresh.items():
-            known[piece] = b"".join([cache[a] for a in parts])
-        whole = [i for i, pieces in enumerate(cut) if pieces is None]
-        found = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
-        return [found[i] if pieces is None else b"".join([known[p] for p in pieces]) for i, pieces in enumerate(cut)]
+        cache.update(zip(others, self._encode([self._plain(p) for p in others]), strict=True))
+        return [cache[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text, in order. Arrow cuts the texts, numbers their
+        different pieces and lays the pieces' ids end to end, so that Python sees
+        each different word once a call."""
+        only(self.cache)
+        if len(self.cache) > self.limit:
+            self.cache.clear()
+        parted = [self._parted(t) for t in texts]
+        sure = pa.array([t for t in parted if t is not None], pa.large_string())
+        first, pieces = _split(sure)
+        second, words = _split(pc.replace_substring_regex(pieces.dictionary, _CLOSED, r"\1 \2" if self.mode == "dropped" else "\\1 \n\\2"))
+        ids = pa.array(self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        found = iter(_laid(_laid(ids, words, second), pieces, first).to_pylist())
+        whole = iter(self._encode([t for t, p in zip(texts, parted, strict=True) if p is None]))
+        return [next(whole if p is None else found) for p in parted]
+
+
+def _split(texts: pa.LargeStringArray) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The places at which texts begin and end among their pieces, and the pieces."""
+    cut = pc.split_pattern(texts, " ")
+    return cut.offsets.to_numpy(), cut.flatten().dictionary_encode()
+
+
+def _laid(ids: pa.LargeBinaryArray, pieces: pa.DictionaryArray, places: np.ndarray) -> pa.LargeBinaryArray:
+    """The ids of texts, from those of their different pieces."""
+    _, ends, data = ids.take(pieces.indices).buffers()
+    ends = np.frombuffer(ends, dtype=np.int64)[places]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(ends), data])
 
 
 def _mode(spec: dict) -> str | None:

@@ -32,6 +32,29 @@ def test_cut_texts_have_the_ids_of_whole_texts(path):
     assert got == enc._encode(texts)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_each_word_is_encoded_once_whatever_punctuation_ends_it(path):
+    ends = ["", ".", ",", "!", "?!", "***", ".$$$", ")"]
+    texts = [f"x {w}{end} {w}{end}" for w in ("lynx", "naïve") for end in ends] + ["", "日本 lynx."]
+    enc = Encoder(path)
+    asked = []
+    for name in ("_encode_words", "_encode"):
+        setattr(enc, name, lambda some, real=getattr(enc, name): asked.extend(some) or real(some))
+    got = enc.encode(texts)
+    assert sorted(a.strip() for a in asked if "lynx" in a or "naïve" in a) == ["lynx", "naïve", "日本 lynx."]
+    assert got == Encoder(path)._encode(texts)
+    assert enc.encode([]) == [] and enc.encode(["", ""]) == [b"", b""]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_punctuation_parts_from_letters_as_in_the_library(path):
+    random.seed(6)
+    parts = ["a", "Zé", "ª", "²", "3", "_", "'", "'s", "’", "—", "…", " ", " ", "\n", *"!#&(-/:@[`{~|,."]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(4000)]
+    enc = Encoder(path)
+    assert enc.encode(texts) == enc._encode(texts)
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_special_tokens_as_in_the_plain_library(path):
     random.seed(5)
