@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabsmith.llm.common import arrow_table, map_batches, slices
-from tabsmith.llm.tokens import as_u32, encoder
+from tabsmith.llm.tokens import Encoder, as_u32, encoder
 
 ROUNDS = 6
 PAIRS = 2048
@@ -43,32 +43,31 @@ BLOCK_SCHEMA = (
 def compress(ids: np.ndarray, doc_lengths: np.ndarray, n_terminals: int, rounds: int = ROUNDS, pairs: int = PAIRS, min_count: int = MIN_COUNT):
     """(symbols, symbols per document, rules as an (n, 2) array, rule lengths)."""
     s = ids.astype(np.uint32)
-    last = np.zeros(len(s), dtype=bool)
-    last[np.cumsum(doc_lengths) - 1] = True
+    ends = np.cumsum(doc_lengths) - 1
     rules: list[np.ndarray] = []
     lengths = np.ones(n_terminals, dtype=np.int64)
     for turn in range(rounds):
-        at, rank, made = _replaceable(s, last, pairs, min_count, turn)
+        at, rank, made = _replaceable(s, ends, pairs, min_count, turn)
         if not len(made):
             break
         # where two replaceable pairs overlap, the more frequent one wins; in a run of one pair, the first
-        ranks = np.full(len(s) + 1, len(made), dtype=np.int32)
-        ranks[at + 1] = rank
-        wins = (rank < ranks[at]) & (rank <= ranks[np.minimum(at + 2, len(s))])
+        overlap, order = np.diff(at) == 1, np.diff(rank)
+        wins = np.ones(len(at), dtype=bool)
+        wins[1:][overlap & (order >= 0)] = False
+        wins[:-1][overlap & (order < 0)] = False
         at, rank = at[wins], rank[wins]
         s[at] = len(lengths) + rank
-        last[at] = last[at + 1]
         keep = np.ones(len(s), dtype=bool)
         keep[at + 1] = False
-        s, last = s[keep], last[keep]
+        s, ends = s[keep], ends - np.searchsorted(at, ends)
         rules.append(made)
         lengths = np.concatenate([lengths, lengths[made[:, 0]] + lengths[made[:, 1]]])
-    per_doc = np.diff(np.flatnonzero(last), prepend=-1)
+    per_doc = np.diff(ends, prepend=-1)
     return s, per_doc, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64), lengths[n_terminals:]
 
 
-def _replaceable(s: np.ndarray, last: np.ndarray, most: int, min_count: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places of the most frequent pairs, their rank by frequency, the pairs).
+def _replaceable(s: np.ndarray, ends: np.ndarray, most: int, min_count: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ascending places of the most frequent pairs, their rank by frequency, the pairs).
 
     Pairs are counted in hashed cells. A cell stands for the pair that last fell
     into it, nearly always its most frequent one, and that pair's own
@@ -76,23 +75,28 @@ def _replaceable(s: np.ndarray, last: np.ndarray, most: int, min_count: int, tur
     next turn, which hashes otherwise.
     """
     bits = 18
-    mixed = s[:-1] * np.uint32(0x9E3779B1 + 2 * turn) ^ s[1:] * np.uint32(0x85EBCA6B + 2 * turn)
-    cell = ((mixed ^ mixed >> np.uint32(15)) * np.uint32(0xC2B2AE35) >> np.uint32(32 - bits)).astype(np.int64)
-    cell[last[:-1]] = 1 << bits  # no pair reaches over the end of a document
+    mixed = s[:-1] * np.uint32(0x9E3779B1 + 2 * turn)
+    mixed ^= s[1:] * np.uint32(0x85EBCA6B + 2 * turn)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0xC2B2AE35)
+    mixed >>= np.uint32(32 - bits)
+    cell = mixed.astype(np.int64)
+    cell[ends[:-1]] = 1 << bits  # no pair reaches over the end of a document
     filled = np.bincount(cell, minlength=(1 << bits) + 1)
     filled[-1] = 0
     sizes = np.bincount(np.minimum(filled, 1 << 16))
     enough = np.flatnonzero(np.cumsum(sizes[::-1])[::-1] <= most)  # fillings that at most so many cells reach
-    at = np.flatnonzero(filled[cell] >= max(min_count, int(enough[0]) if len(enough) else 1 << 16))
-    cell, key = cell[at], s[at].astype(np.int64) << 32 | s[at + 1]
-    owner = np.zeros((1 << bits) + 1, dtype=np.int64)
+    full = filled >= max(min_count, int(enough[0]) if len(enough) else 1 << 16)
+    at = np.flatnonzero(full[cell])
+    cell, key = (np.cumsum(full) - 1)[cell[at]], s[at].astype(np.int64) << 32 | s[at + 1]
+    owner = np.zeros(np.count_nonzero(full), dtype=np.int64)
     owner[cell] = key
     mine = owner[cell] == key
     at, cell = at[mine], cell[mine]
-    counts = np.bincount(cell, minlength=(1 << bits) + 1)
+    counts = np.bincount(cell, minlength=len(owner))
     cells = np.flatnonzero(counts >= min_count)
     cells = cells[np.lexsort((owner[cells], -counts[cells]))]
-    rank = np.full((1 << bits) + 1, -1, dtype=np.int32)
+    rank = np.full(len(owner), -1, dtype=np.int32)
     rank[cells] = np.arange(len(cells), dtype=np.int32)
     ranks = rank[cell]
     good = ranks >= 0
@@ -102,14 +106,16 @@ def _replaceable(s: np.ndarray, last: np.ndarray, most: int, min_count: int, tur
 def expand(symbols: np.ndarray, rules: np.ndarray, n_terminals: int) -> np.ndarray:
     """The ids that the symbols stand for."""
     made = _expand_by_level(np.arange(n_terminals, n_terminals + len(rules)), rules, n_terminals)
-    flat = np.concatenate([np.arange(n_terminals), made])
+    flat = np.concatenate([np.arange(n_terminals), made]).astype(np.uint32)
     lengths = np.ones(n_terminals + len(rules), dtype=np.int64)
     for k, (a, b) in enumerate(rules.tolist(), n_terminals):
         lengths[k] = lengths[a] + lengths[b]
     offsets = np.cumsum(lengths) - lengths
     sizes = lengths[symbols]
     ends = np.cumsum(sizes)
-    return flat[np.repeat(offsets[symbols] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    places = np.repeat(offsets[symbols] - ends + sizes, sizes)
+    places += np.arange(len(places))
+    return flat[places]
 
 
 def _expand_by_level(s: np.ndarray, rules: np.ndarray, n_terminals: int) -> np.ndarray:
@@ -156,6 +162,28 @@ def _pack_block(shard: int, block: int, first: int, docs: list, parts: list[byte
     return arrow_table(row, dict.fromkeys(row, ints) | types | lists)
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], enc: Encoder, shard: int, end_id: int, block_ids: int, settings: dict) -> Iterator[pa.RecordBatch]:
+    """The blocks of one file. Texts are encoded in slices about as large as two
+    blocks of English, since a word is looked up once a slice."""
+    n_terminals = max(enc.n_ids, end_id + 1)
+    kind = enc.dtype if end_id < enc.n_ids else np.dtype("<u4")
+    end = np.array([end_id], dtype=kind).tobytes()
+    block = first = held = 0
+    ids: list = []
+    parts: list[bytes] = []
+    for batch in batches:
+        for part, texts in slices(batch, "text"):
+            for doc, data in zip(part.column("id").to_pylist(), enc.encode(texts), strict=True):
+                ids.append(doc)
+                parts.append((data if kind == enc.dtype else np.frombuffer(data, dtype=enc.dtype).astype(kind).tobytes()) + end)
+                held += len(parts[-1]) // kind.itemsize
+                if held >= block_ids:
+                    yield _pack_block(shard, block, first, ids, parts, kind, n_terminals, settings)
+                    block, first, held, ids, parts = block + 1, first + held, 0, [], []
+    if ids:
+        yield _pack_block(shard, block, first, ids, parts, kind, n_terminals, settings)
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
     block_ids: int = BLOCK_IDS, rounds: int = ROUNDS, pairs: int = PAIRS, min_count: int = MIN_COUNT, special_as_text: bool = True,
@@ -166,31 +194,13 @@ def write_token_files(
     text), range-partitioned, so that a file is a contiguous run of documents.
     A null text is empty and gives the end id alone; an empty table gives an
     empty folder of Parquet without rows; other columns are ignored, whatever
-    their names. A task holds one block of ids at a time, and one document.
-    ``special_as_text``: see ``tokens.Encoder``.
+    their names. A task holds the ids of one block and one slice of texts at a
+    time, and one document. ``special_as_text``: see ``tokens.Encoder``.
     """
     settings = {"rounds": rounds, "pairs": pairs, "min_count": min_count}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, special_as_text)
-        n_terminals = max(enc.n_ids, end_id + 1)
-        kind = enc.dtype if end_id < enc.n_ids else np.dtype("<u4")
-        end = np.array([end_id], dtype=kind).tobytes()
-        shard = TaskContext.get().partitionId()
-        block = first = held = 0
-        ids: list = []
-        parts: list[bytes] = []
-        for batch in batches:
-            for part, texts in slices(batch, "text", 1_000_000):
-                for doc, data in zip(part.column("id").to_pylist(), enc.encode(texts), strict=True):
-                    ids.append(doc)
-                    parts.append((data if kind == enc.dtype else np.frombuffer(data, dtype=enc.dtype).astype(kind).tobytes()) + end)
-                    held += len(parts[-1]) // kind.itemsize
-                    if held >= block_ids:
-                        yield _pack_block(shard, block, first, ids, parts, kind, n_terminals, settings)
-                        block, first, held, ids, parts = block + 1, first + held, 0, [], []
-        if ids:
-            yield _pack_block(shard, block, first, ids, parts, kind, n_terminals, settings)
+        yield from _blocks(batches, encoder(tokenizer, special_as_text), TaskContext.get().partitionId(), end_id, block_ids, settings)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     tie = F.xxhash64("text")
@@ -214,12 +224,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             for at in range(batch.num_rows):
                 block = batch.slice(at, 1).to_pylist()[0]
                 symbols, rules = _unpack(block)
-                ids = expand(symbols, rules, block["n_terminals"]).astype("<u4")
+                ids = as_u32(expand(symbols, rules, block["n_terminals"]))
                 lengths = np.asarray(block["doc_length"], dtype=np.int64)
                 ends = np.cumsum(lengths)
+                places = pa.array(4 * np.append(0, ends), pa.int32()).buffers()[1]
                 columns = {
                     "shard": np.full(len(lengths), block["shard"]), "doc_id": block["doc_id"], "local": block["first_id"] + ends - lengths,
-                    "n_tokens": lengths, "ids": [as_u32(ids[a:b]) for a, b in zip(ends - lengths, ends, strict=True)],
+                    "n_tokens": lengths, "ids": pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, places, pa.py_buffer(ids)]),
                 }
                 types = dict.fromkeys(columns, pa.int64()) | {"shard": pa.int32(), "ids": pa.binary()}
                 yield arrow_table(columns, types)

@@ -21,8 +21,7 @@ from tabsmith.llm.common import caches, only
 
 # Texts with other characters take the plain path: within these, Python and the
 # tokenizers library agree on letters, digits, white space and lower case.
-_UNSAFE = re.compile("[^\n\x20-\x7e¡-ɏ‐-‧€]")
-_RUNS = ("  ", "\n\n", " \n", "\n ")
+_SAFE = re.compile("[\n\x20-\x7e¡-ɏ‐-‧€]*")
 # Letters and the punctuation after them are encoded apart by both patterns (an
 # apostrophe may begin an ending of its own, so it is none of it).
 _CLOSED = r"^(\n?\p{L}+)([!-&(-/:-@\[-`{-~]+)$"
@@ -105,15 +104,16 @@ class Encoder:
     def _parted(self, text: str) -> str | None:
         """The text with one space between pieces whose ids, joined, are the
         text's ids; None if unsure."""
-        if self.mode is None or _UNSAFE.search(text):
+        if self.mode is None or not _SAFE.fullmatch(text):
             return None
         if self.mode == "dropped":
             text = text.lower()
         if any(content in text for content in self.added):
             return None
+        spaces = text.replace("\n", " ")
         if self.mode == "dropped":
-            return text.replace("\n", " ")
-        if any(run in text for run in _RUNS):
+            return spaces
+        if "  " in spaces:
             return None
         # each piece but the first, and but those around a line break, begins with
         # its space; "\n" is the mark of a piece without one
@@ -125,23 +125,25 @@ class Encoder:
         return piece[1:] if piece[0:1] == "\n" else " " + piece
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of different pieces; those not in the cache are encoded."""
-        cache = self.cache
-        found = [cache.get(p) for p in pieces]
+        """The ids of different pieces; those not in the cache are encoded. The
+        cache starts anew when they would not all fit."""
+        found = list(map(self.cache.get, pieces))
         fresh = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
         words = [p for p in fresh if p.isalpha()]
         others = [p for p in fresh if not p.isalpha()]
-        cache.update(zip(words, self._encode_words(words), strict=True))
-        cache.update(zip(others, self._encode([self._plain(p) for p in others]), strict=True))
-        return [cache[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+        new = dict(zip(words, self._encode_words(words), strict=True))
+        new.update(zip(others, self._encode([self._plain(p) for p in others]), strict=True))
+        if len(self.cache) + len(new) > self.limit:
+            self.cache.clear()
+        if len(new) <= self.limit:
+            self.cache.update(new)
+        return [new[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, in order. Arrow cuts the texts, numbers their
         different pieces and lays the pieces' ids end to end, so that Python sees
         each different word once a call."""
         only(self.cache)
-        if len(self.cache) > self.limit:
-            self.cache.clear()
         parted = [self._parted(t) for t in texts]
         sure = pa.array([t for t in parted if t is not None], pa.large_string())
         first, pieces = _split(sure)

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -46,6 +47,28 @@ def test_each_word_is_encoded_once_whatever_punctuation_ends_it(path):
     assert enc.encode([]) == [] and enc.encode(["", ""]) == [b"", b""]
 
 
+def test_a_word_is_looked_up_once_for_millions_of_characters():
+    enc = Encoder(BYTE)
+    looked, real = [], enc._ids
+    enc._ids = lambda pieces: looked.append(sorted(pieces)) or real(pieces)
+    texts = ["the lynx " * 120_000 + "ends"] * 3  # a million characters each
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "text": texts})
+    (block,) = token_files._blocks(iter([batch]), enc, 0, 0, 10_000_000, {})
+    assert looked == [["\nthe", "ends", "lynx", "the"]]
+    assert block.column("doc_length").to_pylist() == [[len(ids_of(BYTE, texts[0])) + 1] * 3]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_the_cache_keeps_to_its_limit(path):
+    random.seed(8)
+    words = ["".join(random.choices("abcdefgh", k=6)) for _ in range(300)]
+    enc = Encoder(path, limit=50)
+    for k in (3, 20, 100, 7, 300, 40):
+        texts = [" ".join(words[:k]), " ".join(words[-k:])]
+        assert enc.encode(texts) == enc._encode(texts)
+        assert len(enc.cache) <= 50
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_punctuation_parts_from_letters_as_in_the_library(path):
     random.seed(6)
